@@ -93,7 +93,7 @@ def _erfc_tail(kind: str, statistic: float, n0: float, n1: float, distinct: int)
     return math.exp(-half) * (1 + half)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _p_value(kind: pd.Series, statistic: pd.Series, n0: pd.Series, n1: pd.Series, distinct: pd.Series) -> pd.Series:
     rows = zip(kind, statistic, n0, n1, distinct)
     return pd.Series([None if k == "" or s is None or math.isnan(s) else _erfc_tail(k, s, a, b, d) for k, s, a, b, d in rows])

@@ -162,6 +162,7 @@ def isolation_scores(
         grow, f"{key_schema}, _tree int, _size int, _nodes array<double>"
     )
     per_bucket = rows.select(*keys, BUCKET).distinct().join(forest, keys)
+    per_bucket = per_bucket.toDF(*per_bucket.columns)  # own column identities, as both sides stem from `rows`
 
     def score(part: pd.DataFrame, trees_: pd.DataFrame) -> pd.DataFrame:
         out = part[[*keys, IDX]].copy()
