@@ -80,6 +80,13 @@ def series_bounds(df: DataFrame, axis: Axis) -> DataFrame:
     )
 
 
+def last_rows(df: DataFrame, axis: Axis, steps: int) -> DataFrame:
+    """The last ``steps`` grid steps of each series."""
+    ends = series_bounds(df, axis).select(*axis.keys, F.col("end_idx").alias("_last"))
+    rows = join_series(df, ends, axis).where(F.col(IDX) > F.col("_last") - steps)
+    return drop_helpers(rows.drop("_last"))
+
+
 def dense_index(df: DataFrame, axis: Axis) -> DataFrame:
     """0-based position of each row within its series, as ``position``, without a per-series sort."""
     df = with_bucket(df, axis)
