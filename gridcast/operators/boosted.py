@@ -81,7 +81,7 @@ def fit_quantile_heads(
     placed = forest.transform(assemble(df, features)).select(
         F.col(target).alias("_y"), F.posexplode(vector_to_array("_leaf")).alias("_tree", "_node")
     )
-    bounds = exact_quantiles(placed, ["_tree", "_node"], "_y", {"lo": lower, "hi": upper}, broadcast_groups=True)
+    bounds = exact_quantiles(placed, ["_tree", "_node"], "_y", {"lo": lower, "hi": upper})
     per_tree = bounds.groupBy("_tree").agg(
         F.map_from_entries(F.collect_list(F.struct("_node", F.struct("lo", "hi")))).alias("_leaves")
     )

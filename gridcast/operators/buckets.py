@@ -72,19 +72,31 @@ def join_series(df: DataFrame, stats: DataFrame, axis: Axis) -> DataFrame:
     return df.join(spread, keys, "left")
 
 
-def series_bounds(df: DataFrame, axis: Axis) -> DataFrame:
-    """First and last grid index, and row count, per series."""
-    df = with_index(df, axis)
-    return df.groupBy(*axis.keys).agg(
-        F.min(IDX).alias("start_idx"), F.max(IDX).alias("end_idx"), F.count(F.lit(1)).alias("n_rows")
+def add_series_bounds(df: DataFrame, axis: Axis) -> DataFrame:
+    """First and last grid index, and row count, of each row's series, as ``start_idx, end_idx, n_rows``.
+
+    One row per (series, bucket) is aggregated, completed over the series, and joined back on (series, bucket).
+    """
+    df = with_bucket(df, axis)
+    keys = bucket_keys(axis)
+    series = Window.partitionBy(*axis.keys)
+    edges = (
+        df.groupBy(*keys)
+        .agg(F.min(IDX).alias("_lo"), F.max(IDX).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+        .select(
+            *keys,
+            F.min("_lo").over(series).alias("start_idx"),
+            F.max("_hi").over(series).alias("end_idx"),
+            F.sum("_n").over(series).alias("n_rows"),
+        )
     )
+    return df.join(edges, keys)
 
 
 def last_rows(df: DataFrame, axis: Axis, steps: int) -> DataFrame:
     """The last ``steps`` grid steps of each series."""
-    ends = series_bounds(df, axis).select(*axis.keys, F.col("end_idx").alias("_last"))
-    rows = join_series(df, ends, axis).where(F.col(IDX) > F.col("_last") - steps)
-    return drop_helpers(rows.drop("_last"))
+    rows = add_series_bounds(df, axis).where(F.col(IDX) > F.col("end_idx") - steps)
+    return drop_helpers(rows.drop("start_idx", "end_idx", "n_rows"))
 
 
 def dense_index(df: DataFrame, axis: Axis) -> DataFrame:
@@ -116,29 +128,33 @@ def neighbours(df: DataFrame, axis: Axis, columns: Sequence[str], short_run: int
     df = with_bucket(df, axis)
     keys = bucket_keys(axis)
     within = bucket_window(axis)
-    within_back = Window.partitionBy(*keys).orderBy(F.desc(IDX))
     upto = (Window.unboundedPreceding, Window.currentRow)
     strictly_before = (Window.unboundedPreceding, -1)
+    over = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY `{IDX}`)"
 
-    def point(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.struct(F.col(IDX).alias("i"), F.col(c).cast("double").alias("v")))
+    def known_at(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.col(IDX))
 
     def is_short(length: Column) -> Column:
         return length.between(1, short_run)
 
     base = df.select(*keys, IDX, *columns)
     if short_run is not None:
-        for c in columns:
-            earlier = F.last(F.when(F.col(c).isNotNull(), F.col(IDX)), ignorenulls=True)
-            gap = F.col(IDX) - earlier.over(within.rowsBetween(*strictly_before)) - 1
-            base = base.withColumn(f"_gap_{c}", F.when(F.col(c).isNotNull(), is_short(gap)))
+        gaps = {c: F.col(IDX) - F.last(known_at(c), True).over(within.rowsBetween(*strictly_before)) - 1 for c in columns}
+        base = base.withColumns({f"_gap_{c}": F.when(F.col(c).isNotNull(), is_short(gap)) for c, gap in gaps.items()})
 
     per_bucket = [F.min(IDX).alias("_lo"), F.max(IDX).alias("_hi")]
     for c in columns:
-        per_bucket += [F.min(point(c)).alias(f"_first_{c}"), F.max(point(c)).alias(f"_last_{c}")]
+        value = F.col(c).cast("double")
+        per_bucket += [F.min(known_at(c)).alias(f"_fi_{c}"), F.max(known_at(c)).alias(f"_li_{c}")]
+        per_bucket += [F.min_by(value, known_at(c)).alias(f"_fv_{c}"), F.max_by(value, known_at(c)).alias(f"_lv_{c}")]
         if short_run is not None:
             per_bucket.append(F.max(f"_gap_{c}").alias(f"_inner_{c}"))
     edges = base.groupBy(*keys).agg(*per_bucket)
+    for c in columns:
+        for side, i, v in (("first", "_fi_", "_fv_"), ("last", "_li_", "_lv_")):
+            point = F.struct(F.col(f"{i}{c}").alias("i"), F.col(f"{v}{c}").alias("v"))
+            edges = edges.withColumn(f"_{side}_{c}", F.when(F.col(f"{i}{c}").isNotNull(), point))
 
     series = Window.partitionBy(*axis.keys)
     forward, backward = series.orderBy(BUCKET), series.orderBy(F.desc(BUCKET))
@@ -168,11 +184,23 @@ def neighbours(df: DataFrame, axis: Axis, columns: Sequence[str], short_run: int
             edges = edges.withColumn(f"_short_{c}", F.max(found).over(series))
             keep.append(f"_short_{c}")
 
-    out = df.join(edges.select(*keys, *keep), keys)
+    # Windows first, then the join: its required order on (series, bucket) is already there.
+    inside = {}
     for c in columns:
-        prev = F.last(point(c), ignorenulls=True).over(within.rowsBetween(*upto))
-        nxt = F.last(point(c), ignorenulls=True).over(within_back.rowsBetween(*upto))
-        out = out.withColumn(f"_prev_{c}", F.coalesce(prev, F.col(f"_before_{c}"))).withColumn(
-            f"_next_{c}", F.coalesce(nxt, F.col(f"_after_{c}"))
-        )
-    return out.drop(*[f"_{side}_{c}" for c in columns for side in ("before", "after")])
+        inside[f"_pi_{c}"] = F.last(known_at(c), ignorenulls=True).over(within.rowsBetween(*upto))
+        inside[f"_pv_{c}"] = F.last(F.col(c).cast("double"), ignorenulls=True).over(within.rowsBetween(*upto))
+        inside[f"_ni_{c}"] = F.expr(f"lead(CASE WHEN `{c}` IS NOT NULL THEN `{IDX}` END) IGNORE NULLS {over}")
+        inside[f"_nv_{c}"] = F.expr(f"lead(CAST(`{c}` AS DOUBLE)) IGNORE NULLS {over}")
+    out = df.withColumns(inside).join(edges.select(*keys, *keep), keys)
+
+    def point_or(i: str, v: str, otherwise: str) -> Column:
+        return F.when(F.col(i).isNotNull(), F.struct(F.col(i).alias("i"), F.col(v).alias("v"))).otherwise(F.col(otherwise))
+
+    found = {}
+    for c in columns:
+        itself = F.struct(F.col(IDX).alias("i"), F.col(c).cast("double").alias("v"))
+        later = point_or(f"_ni_{c}", f"_nv_{c}", f"_after_{c}")
+        found[f"_prev_{c}"] = point_or(f"_pi_{c}", f"_pv_{c}", f"_before_{c}")
+        found[f"_next_{c}"] = F.when(F.col(c).isNotNull(), itself).otherwise(later)
+    scratch = [f"_{p}_{c}" for c in columns for p in ("pi", "pv", "ni", "nv", "before", "after")]
+    return out.withColumns(found).drop(*scratch)

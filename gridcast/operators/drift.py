@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridcast.functions.timegrid import in_slice, type_of
+from gridcast.operators.skew import join_groups
 from gridcast.params import DriftParams, DriftWindow
 
 # Which columns are monitored, how the test is chosen and when it fires.
@@ -63,9 +64,7 @@ def _value_counts(df: DataFrame, by: list[str], features: Sequence[str], flags:
     cuts = sketches.select(*by, F.inline(F.array(*entries)))
     long = marked.unpivot([*by, *counters], list(features), "feature", "value").where(F.col("value").isNotNull())
     counts = long.groupBy(*by, "feature", "value").agg(*[F.sum(c).alias(c) for c in counters])
-    if not by:
-        cuts = F.broadcast(cuts)  # one row per feature
-    ranged = counts.join(cuts, [*by, "feature"]).withColumn(
+    ranged = join_groups(counts, cuts, [*by, "feature"]).withColumn(
         "range", F.size(F.filter("_cuts", lambda cut: cut < F.col("value")))
     )
     return ranged.drop("_cuts")

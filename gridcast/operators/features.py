@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridcast.functions.calendar import CALENDAR_COLUMNS, add_calendar, fourier_columns, fourier_names, national_holidays
 from gridcast.operators.buckets import (
-    IDX, OWN, bucket_window, drop_helpers, halo, join_series, series_bounds, with_index,
+    IDX, OWN, add_series_bounds, bucket_window, drop_helpers, halo, with_index,
 )
 from gridcast.params import Axis, FeatureParams
 
@@ -82,9 +82,9 @@ def fourier_features(
     df = with_index(df, axis)
     if anchor_index is not None:
         return drop_helpers(df.withColumns(fourier_columns(F.col(IDX) - anchor_index, periods, order)))
-    starts = series_bounds(df, axis).select(*axis.keys, F.col("start_idx").alias("_anchor"))
-    out = join_series(df, starts, axis)
-    return drop_helpers(out.withColumns(fourier_columns(F.col(IDX) - F.col("_anchor"), periods, order)).drop("_anchor"))
+    clock = F.col(IDX) - F.col("start_idx")
+    out = add_series_bounds(df, axis).withColumns(fourier_columns(clock, periods, order))
+    return drop_helpers(out.drop("start_idx", "end_idx", "n_rows"))
 
 
 def build_feature_matrix(

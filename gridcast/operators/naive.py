@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.operators.buckets import IDX, OWN, bucket_window, drop_helpers, halo, join_series, series_bounds, with_index
+from gridcast.operators.buckets import IDX, OWN, add_series_bounds, bucket_window, drop_helpers, halo, join_series
 from gridcast.operators.metrics import forecast_metrics
 from gridcast.params import Axis
 
@@ -20,9 +20,8 @@ def seasonal_naive(df: DataFrame, axis: Axis, target: str, season: int = 168) ->
 
 def last_season(df: DataFrame, axis: Axis, target: str, season: int = 168) -> DataFrame:
     """The last ``season`` steps of each series as ``(keys, slot, value)``; slot 0 is the oldest."""
-    ends = series_bounds(df, axis).select(*axis.keys, F.col("end_idx").alias("_last"))
-    rows = join_series(with_index(df, axis), ends, axis)
-    slot = F.col(IDX) - F.col("_last") + season - 1
+    rows = add_series_bounds(df, axis)
+    slot = F.col(IDX) - F.col("end_idx") + season - 1
     return rows.where(slot >= 0).select(*axis.keys, slot.cast("int").alias("slot"), F.col(target).alias("value"))
 
 

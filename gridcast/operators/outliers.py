@@ -14,6 +14,7 @@ from gridcast.functions.timegrid import type_of
 from gridcast.operators.buckets import BUCKET, IDX, drop_helpers, join_series, with_bucket
 from gridcast.operators.gaps import fill_limited
 from gridcast.operators.quantiles import linear_position, order_statistics, wide_quantiles
+from gridcast.operators.skew import join_groups
 from gridcast.params import Axis
 from gridcast.sources.tables import cut
 
@@ -61,7 +62,7 @@ def fence_report(df: DataFrame, by: Sequence[str], column: str, multiplier: floa
     """Quartiles, fences, and how many known values lie outside them."""
     limits = fences(df, by, [column], multiplier)
     rows = df.where(F.col(column).isNotNull())
-    rows = rows.join(limits, list(by)) if by else rows.crossJoin(F.broadcast(limits))  # one row
+    rows = join_groups(rows, limits, by)
     lo, hi, q1, q3 = (F.col(f"{column}_{n}") for n in ("lo", "hi", "q1", "q3"))
     outside = (F.col(column) < lo) | (F.col(column) > hi)
     return rows.groupBy(*by).agg(
@@ -192,7 +193,7 @@ def null_isolated(
     scores = cut(isolation_scores(df, axis, columns, trees=trees, seed=seed))  # read three times below
     p = 1.0 - contamination
     limits = order_statistics(scores, axis.keys, "_score", {"_limit": (p, linear_position(p))}).drop("n")
-    flagged = scores.join(limits, list(axis.keys)).where(F.col("_score") > F.col("_limit"))
+    flagged = join_groups(scores, limits, axis.keys).where(F.col("_score") > F.col("_limit"))
     flagged = flagged.select(*axis.keys, IDX, F.lit(True).alias("_out"))
     out = df.join(flagged, [*axis.keys, IDX], "left")
     out = out.withColumns({c: F.when(F.col("_out").isNull(), F.col(c)) for c in columns}).drop("_out")

@@ -2,8 +2,9 @@
 
 ``percentile`` keeps every distinct value of a group in one task. Here a mergeable sketch first narrows each wanted rank
 to a thin slice of the value range (the sketch's rank error is bounded), then only the rows of that slice are sorted
-and everything outside collapses into counts. Two passes over the data, nothing per group that grows with it except the
-slice (0.2 % of the group per rank). A check that the rank really fell into its slice raises otherwise.
+and everything outside collapses into counts before the shuffle. Two passes over the data; of a group's slice (0.2 % of
+its rows per rank) only the 256th that holds the rank is sorted. A check that the rank really fell into its slice raises
+otherwise.
 """
 
 from __future__ import annotations
@@ -13,9 +14,12 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcast.operators.skew import join_groups
+
 ACCURACY = 10_000
 MARGIN = 10.0 / ACCURACY
 SMALL_GROUP = 10_000
+SLICE_PARTS = 256
 
 Position = Callable[[Column], Column]
 
@@ -30,13 +34,11 @@ def order_statistics(
     by: Sequence[str],
     column: str,
     picks: Mapping[str, tuple[float, Position]],
-    broadcast_groups: bool = False,
 ) -> DataFrame:
     """One row per group with its non-null count ``n`` and one value per pick.
 
     A pick is ``(p, position)``: roughly where the rank lies as a share of the group, and its exact 0-based position as
-    a function of ``n``. A fractional position interpolates between its two neighbours. ``broadcast_groups`` may be set
-    where the number of groups has a fixed bound.
+    a function of ``n``. A fractional position interpolates between its two neighbours.
     """
     by = list(by)
     values = df.select(*by, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
@@ -56,11 +58,7 @@ def order_statistics(
         ).alias(f"_s{i}")
         for i in range(len(picks))
     ]
-    bounds = sketch.select(*by, *slices)
-    if not by:
-        tagged = values.crossJoin(F.broadcast(bounds))  # one row
-    else:
-        tagged = values.join(F.broadcast(bounds) if broadcast_groups else bounds, by)
+    tagged = join_groups(values, sketch.select(*by, *slices), by)
 
     v = F.col("_v")
     inside = F.lit(False)
@@ -69,15 +67,35 @@ def order_statistics(
         lo, hi = F.col(f"_s{i}.lo"), F.col(f"_s{i}.hi")
         inside = inside | ((v >= lo) & (v <= hi))
         floor = F.greatest(floor, F.when(hi < v, hi).otherwise(F.lit(-inf)))
-    # Rows outside every slice fold into one counter that sorts right after the slice below them.
+    # Rows outside every slice fold into one counter that sorts right after the slice below them. `_z` numbers equal
+    # parts of each slice: a sum of clipped, growing functions of the value, so it grows with the value.
+    x = F.when(inside, v).otherwise(floor)
+    part = F.lit(0)
+    for i in range(len(picks)):
+        lo, hi = F.col(f"_s{i}.lo"), F.col(f"_s{i}.hi")
+        finite = (lo > -inf) & (hi < inf) & (lo < hi)
+        share = F.floor(F.greatest(F.least((x - lo) / (hi - lo), F.lit(1.0)), F.lit(0.0)) * SLICE_PARTS)
+        part = part + F.when(finite, share).when((hi < inf) & (x >= hi), F.lit(SLICE_PARTS)).otherwise(F.lit(0))
     counted = (
-        tagged.select(*by, F.when(inside, v).otherwise(floor).alias("_x"), (~inside).alias("_gap"))
-        .groupBy(*by, "_x", "_gap")
+        tagged.select(*by, part.cast("int").alias("_z"), x.alias("_x"), (~inside).alias("_gap"))
+        .groupBy(*by, "_z", "_x", "_gap")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    upto = group.orderBy("_x", "_gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumn("_cum", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(group))
+    # Only the parts that hold a wanted rank are sorted.
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # a few hundred parts per group
+    earlier = group.orderBy("_z").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counted.groupBy(*by, "_z").agg(F.sum("_c").alias("_zc"))
+    parts = parts.select(
+        *by, "_z", "_zc", F.coalesce(F.sum("_zc").over(earlier), F.lit(0)).alias("_before"), F.sum("_zc").over(group).alias("_n")
+    )
+    wanted = F.lit(False)
+    for _, position in picks.values():
+        pos = position(F.col("_n"))
+        wanted = wanted | ((F.ceil(pos) >= F.col("_before")) & (F.floor(pos) < F.col("_before") + F.col("_zc")))
+    local = Window.partitionBy(*by, "_z").orderBy("_x", "_gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.join(parts.where(wanted).drop("_zc"), [*by, "_z"]).withColumn(
+        "_cum", F.col("_before") + F.sum("_c").over(local)
+    )
 
     value = F.when(~F.col("_gap"), F.col("_x")).otherwise(
         F.raise_error(F.lit("order statistic outside its sketched slice")).cast("double")
@@ -98,11 +116,11 @@ def order_statistics(
 
 
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], column: str, probs: Mapping[str, float], broadcast_groups: bool = False
+    df: DataFrame, by: Sequence[str], column: str, probs: Mapping[str, float]
 ) -> DataFrame:
     """Linear-interpolation quantiles of one column per group: ``by``, ``n`` and one column per name in ``probs``."""
     picks = {name: (p, linear_position(p)) for name, p in probs.items()}
-    return order_statistics(df, by, column, picks, broadcast_groups)
+    return order_statistics(df, by, column, picks)
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:

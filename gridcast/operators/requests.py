@@ -77,17 +77,18 @@ def request_features(
     Without them both compatibility values apply: zeros, and a clock that starts at 0 with the request.
     """
     past = [*lag_names(params.lags), *rolling_names(params.windows)]
+    # History and anchor belong to the request, so they're joined before a request becomes up to 168 rows.
+    if history is not None:
+        requests = point_in_time_join(requests, history, axis.keys, "start_ts", axis.ts, ttl_seconds, columns=past)
+        requests = requests.drop(f"{axis.ts}_used")
+    if anchors is not None:
+        requests = requests.join(anchors.select(*axis.keys, "start_idx"), list(axis.keys), "left")
     rows = expand_requests(requests, axis)
     if history is None:
         rows = rows.withColumns({c: F.lit(0.0) for c in past})
-    else:
-        rows = point_in_time_join(rows, history, axis.keys, "start_ts", axis.ts, ttl_seconds, columns=past).drop(
-            f"{axis.ts}_used"
-        )
     if anchors is None:
         clock = F.col("step_no")
     else:
-        rows = rows.join(anchors.select(*axis.keys, "start_idx"), list(axis.keys), "left")
         clock = step_index(F.col(axis.ts), axis) - F.coalesce("start_idx", F.lit(0))
     rows = rows.withColumns(fourier_columns(clock, params.fourier_periods, params.fourier_order)).drop("start_idx")
     if params.holidays == "compat":

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.functions.timegrid import type_of
-from gridcast.operators.buckets import IDX, drop_helpers, join_series, series_bounds
+from gridcast.operators.buckets import IDX, add_series_bounds, drop_helpers
 from gridcast.params import Axis, SplitParams
 
 PARTS = ("train", "val", "test")
@@ -67,17 +67,13 @@ def split_overlap(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def walk_forward_folds(df: DataFrame, axis: Axis, folds: int) -> DataFrame:
     """Expanding folds per series: with n steps and size n // (folds + 1), fold i trains on the first i sizes and
     validates on the next one; the remainder is left out. Adds ``fold`` (from 1) and ``role``."""
-    bounds = series_bounds(df, axis).select(
-        *axis.keys,
-        F.col("start_idx").alias("_first"),
-        F.floor((F.col("end_idx") - F.col("start_idx") + 1) / (folds + 1)).alias("_size"),
-    )
-    out = join_series(df, bounds, axis)
-    position = F.col(IDX) - F.col("_first")
+    out = add_series_bounds(df, axis)
+    position = F.col(IDX) - F.col("start_idx")
+    size = F.floor((F.col("end_idx") - F.col("start_idx") + 1) / (folds + 1))
     roles = [
         F.struct(
             F.lit(i).alias("fold"),
-            F.when(position < F.col("_size") * i, "train").when(position < F.col("_size") * (i + 1), "val").alias("role"),
+            F.when(position < size * i, "train").when(position < size * (i + 1), "val").alias("role"),
         )
         for i in range(1, folds + 1)
     ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.operators.gaps import fill_gaps
-from gridcast.operators.grid import make_grid
+from gridcast.operators.grid import event_bounds, make_grid
 from gridcast.params import Axis, SplitParams
 from gridcast.sources.panels import aggregate_to_steps, cents
 
@@ -59,7 +59,8 @@ def hourly(spark: SparkSession, sf: str, series: str = "event_type") -> DataFram
 
 
 def grid(spark: SparkSession, sf: str, series: str = "event_type", keep_helpers: bool = False) -> DataFrame:
-    return make_grid(hourly(spark, sf, series), HOURLY, ["y"], keep_helpers)
+    bounds = event_bounds(table(spark, sf, "events"), HOURLY, F.col(series).cast("string"), "ts")
+    return make_grid(hourly(spark, sf, series), HOURLY, ["y"], keep_helpers, bounds)
 
 
 def filled(spark: SparkSession, sf: str, series: str = "event_type", mode: str = "strict") -> DataFrame:

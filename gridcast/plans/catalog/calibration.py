@@ -127,7 +127,7 @@ def pooled_conformal_offset(spark, sf):
 )
 def calibrated_coverage(spark, sf):
     """Coverage after widening by the split-conformal offset: at least nominal on the calibration rows."""
-    rows = scored(spark, sf)
+    rows = cut(scored(spark, sf))
     offsets = conformal_offset(rows, ["series_id"], 0.2, "y").drop("n")
     out = interval_metrics(widen(rows.join(offsets, "series_id"), "y_lower", "y_upper", "q"), ["series_id"], "y", "y_lower", "y_upper")
     return rounded(out, "coverage", "width")

@@ -11,7 +11,7 @@ from gridcast.functions.timegrid import floor_time
 from gridcast.operators.asof import entities_without_features, point_in_time_join
 from gridcast.operators.buckets import dense_index
 from gridcast.operators.features import (
-    build_feature_matrix, feature_names, fourier_features, lag_by_join, lag_features, rolling_features,
+    build_feature_matrix, feature_names, fourier_features, history_features, lag_by_join, lag_features, rolling_features,
 )
 from gridcast.operators.naive import hour_profile_baseline, last_season, seasonal_naive, tile_last_season
 from gridcast.operators.requests import check_requests, expand_requests, request_features, valid_requests
@@ -20,6 +20,7 @@ from gridcast.params import FeatureParams
 from gridcast.plans.catalog.base import (
     HOURLY, SPLIT, filled, grid, hourly, query, r4, rounded, sql_filled, sql_grid, sql_hourly, sql_r4, sql_split, table, with_,
 )
+from gridcast.sources.tables import cut
 
 LAGS, WINDOWS = (1, 2, 3, 6, 12, 24, 48, 168), (6, 12, 24, 168)
 PARAMS = FeatureParams(target="y")
@@ -188,7 +189,7 @@ def seasonal_naive_forecast(spark, sf):
 )
 def tiled_naive_forecast(spark, sf):
     """Two weeks ahead from the last week alone."""
-    panel = filled(spark, sf)
+    panel = cut(filled(spark, sf))
     future = panel.select("series_id").distinct().withColumn("step", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(335).cast("bigint"))))
     return tile_last_season(future, last_season(panel, HOURLY, "y"), ["series_id"], "step")
 
@@ -202,7 +203,7 @@ def tiled_naive_forecast(spark, sf):
     + f"SELECT s.series_id, s.ts, s.split, {sql_r4('p.predicted')} AS predicted FROM s LEFT JOIN p USING (series_id, h) WHERE split <> 'train'"
 )
 def hour_mean_forecast(spark, sf):
-    labelled = assign_split(filled(spark, sf), "ts", SPLIT)
+    labelled = cut(assign_split(filled(spark, sf), "ts", SPLIT))
     return hour_profile_baseline(labelled, HOURLY, "y").select("series_id", "ts", "split", r4("predicted").alias("predicted"))
 
 
@@ -309,8 +310,8 @@ def request_features_compat(spark, sf):
 def request_features_with_history(spark, sf):
     """Lags known at the request's start, and a Fourier clock in phase with the series."""
     params = FeatureParams(target="y", lags=(1, 24), windows=(6,))
-    panel = filled(spark, sf)
-    history = build_feature_matrix(panel, HOURLY, FeatureParams(target="y", lags=(1, 24), windows=(6,), drop_nulls=False))
+    panel = cut(filled(spark, sf))
+    history = history_features(panel, HOURLY, "y", params.lags, params.windows)
     anchors = panel.groupBy("series_id").agg(
         (F.unix_seconds(F.min("ts").cast("timestamp")) / 3600).cast("bigint").alias("start_idx")
     )

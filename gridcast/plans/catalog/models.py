@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridcast.operators.boosted import bundle_metrics, cross_validate, fit_bundle, importance
 from gridcast.operators.explain import attributions, stable_sample
-from gridcast.operators.features import build_feature_matrix, feature_names
+from gridcast.operators.features import build_feature_matrix, feature_names, history_features
 from gridcast.operators.metrics import forecast_metrics
 from gridcast.operators.requests import check_requests, request_features, score_requests, valid_requests
 from gridcast.operators.split import assign_split, split_part
@@ -66,14 +66,14 @@ def boosted_attributions(spark, sf):
 
 @query()
 def structural_forecast(spark, sf):
-    rows = assign_split(filled(spark, sf).where(F.col("y").isNotNull()), "ts", SPLIT)
+    rows = cut(assign_split(filled(spark, sf).where(F.col("y").isNotNull()), "ts", SPLIT))
     model = fit_structural(split_part(rows, "train"), HOURLY, TRAIN)
     return rounded(model.predict(split_part(rows, "val")), "predicted")
 
 
 @query()
 def structural_validation(spark, sf):
-    rows = assign_split(filled(spark, sf).where(F.col("y").isNotNull()), "ts", SPLIT)
+    rows = cut(assign_split(filled(spark, sf).where(F.col("y").isNotNull()), "ts", SPLIT))
     model = fit_structural(split_part(rows, "train"), HOURLY, TRAIN)
     return forecast_metrics(model.predict(split_part(rows, "val")), ["series_id"], "y", "predicted", "val_")
 
@@ -81,9 +81,9 @@ def structural_validation(spark, sf):
 @query()
 def scored_requests(spark, sf):
     """Forecasts for every valid request, features from the history known at its start."""
-    panel = filled(spark, sf)
+    panel = cut(filled(spark, sf))
     _, model = bundle(spark, sf)
-    history = build_feature_matrix(panel, HOURLY, FEATURES).drop("y")
+    history = history_features(panel, HOURLY, "y", FEATURES.lags, FEATURES.windows).drop("y")
     anchors = panel.groupBy("series_id").agg(
         (F.unix_seconds(F.min("ts").cast("timestamp")) / 3600).cast("bigint").alias("start_idx")
     )

@@ -19,6 +19,8 @@ from gridcast.plans.catalog.base import (
     HOURLY, SPLIT, filled, grid, hourly, query, rounded, sql_filled, sql_grid, sql_hourly, sql_r4, sql_split, table, with_,
 )
 
+from gridcast.sources.tables import cut
+
 
 @query(f"SELECT CAST(hour(ts) AS INTEGER) AS hour, {sql_r4('avg(value)')} AS mean FROM events GROUP BY 1")
 def mean_by_hour(spark, sf):
@@ -151,7 +153,7 @@ bv AS (SELECT max(version) AS bv FROM v, best WHERE run_id = b)"""
 
 def runs(spark, sf):
     """Long run table of three baselines on every series: the metrics of each on the validation part."""
-    labelled = assign_split(filled(spark, sf), "ts", SPLIT)
+    labelled = cut(assign_split(filled(spark, sf), "ts", SPLIT))
     parts = {
         "naive_24": seasonal_naive(labelled, HOURLY, "y", 24).where(F.col("split") == "val"),
         "naive_168": seasonal_naive(labelled, HOURLY, "y", 168).where(F.col("split") == "val"),
@@ -197,7 +199,7 @@ def ranked_runs(spark, sf):
     _RUNS.rstrip() + _VERSIONS + f" SELECT {_SHOWN}, run_id = b AND bv IS NOT NULL AS promoted FROM c, best, bv"
 )
 def model_selection(spark, sf):
-    out = registry.select_model(registry.candidates(runs(spark, sf)), versions(spark, sf))
+    out = registry.select_model(cut(registry.candidates(runs(spark, sf))), cut(versions(spark, sf)))
     return rounded(out, "val_mape", "val_rmse", "val_mae")
 
 
@@ -206,7 +208,8 @@ def model_selection(spark, sf):
     + " SELECT version, run_id, CASE WHEN version = bv THEN 'Production' WHEN stage IN ('Production', 'Staging') THEN 'Archived' ELSE stage END AS stage FROM v, bv"
 )
 def model_promotion(spark, sf):
-    return registry.promote(registry.candidates(runs(spark, sf)), versions(spark, sf)).select("version", "run_id", "stage")
+    out = registry.promote(cut(registry.candidates(runs(spark, sf))), cut(versions(spark, sf)))
+    return out.select("version", "run_id", "stage")
 
 
 @query(_RUNS.rstrip() + _VERSIONS + " SELECT CAST(max(version) + 1 AS INTEGER) AS version, 'new' AS run_id, 'p' AS path, 'None' AS stage FROM v")
