@@ -11,7 +11,7 @@ from gridcast.plans.catalog.base import query, rounded, sql_hourly, sql_r4, tabl
 from gridcast.plans.catalog.calibration import scored, sql_scored
 from gridcast.sources.tables import cut, shared_folder
 from gridcast.streaming.jobs import (
-    error_monitor_stream, hourly_series_stream, latest_table_stream, quality_gate_stream, read_latest_table,
+    adaptive_conformal_stream, error_monitor_stream, hourly_series_stream, latest_table_stream, quality_gate_stream, read_latest_table,
 )
 
 
@@ -88,3 +88,17 @@ def streamed_error_monitor(spark, sf):
     return rounded(out, "mape", "baseline_mape")
 
 
+@query()
+def streamed_adaptive_intervals(spark, sf):
+    """Adaptive intervals with state kept per series; the state store must be RocksDB for this one."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    rows = scored(spark, sf).select("series_id", F.col("ts").cast("timestamp").alias("ts"), "y", "y_lower", "y_upper")
+    path = _folder(spark, "raw-intervals")
+    rows.write.parquet(path)
+    spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        return rounded(_run(adaptive_conformal_stream(stream, ["series_id"], "ts"), spark, "intervals"), "q")
+    finally:
+        spark.conf.set(setting, before)
