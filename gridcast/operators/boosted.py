@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.operators.conformal import conformal_offset, widen
-from gridcast.operators.metrics import forecast_metrics, interval_metrics
+from gridcast.operators.metrics import coverage, forecast_metrics, point_metrics, width
 from gridcast.operators.quantiles import exact_quantiles
 from gridcast.operators.split import walk_forward_folds
 from gridcast.params import Axis, BoostParams, TrainParams
@@ -166,15 +166,12 @@ def fit_bundle(
 def bundle_metrics(bundle: ForecastBundle, df: DataFrame, target: str, prefix: str = "val_", by: Sequence[str] = ()) -> DataFrame:
     """Point metrics, and raw and calibrated interval coverage and width."""
     scored = bundle.score(df)
-    out = forecast_metrics(scored, by, target, "predicted", prefix)
-    if bundle.heads is None:
-        return out
-    for lower, upper, tag in (("y_lower", "y_upper", "raw_"), ("lower_bound", "upper_bound", "")):
-        part = interval_metrics(scored, by, target, lower, upper).select(
-            *by, F.col("coverage").alias(f"{prefix}pi_coverage_{tag}".rstrip("_")), F.col("width").alias(f"{prefix}pi_width_{tag}".rstrip("_"))
-        )
-        out = out.join(part, list(by)) if by else out.crossJoin(F.broadcast(part))  # one row each
-    return out
+    columns = point_metrics(F.col(target), F.col("predicted"), prefix)
+    if bundle.heads is not None:
+        for lower, upper, tag in (("y_lower", "y_upper", "_raw"), ("lower_bound", "upper_bound", "")):
+            columns.append(coverage(target, lower, upper).alias(f"{prefix}pi_coverage{tag}"))
+            columns.append(width(lower, upper).alias(f"{prefix}pi_width{tag}"))
+    return scored.groupBy(*by).agg(*columns)
 
 
 def cross_validate(

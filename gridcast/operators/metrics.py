@@ -20,20 +20,26 @@ def smape(actual: Column, predicted: Column) -> Column:
     return F.avg(F.when(scale != 0, 2 * F.abs(actual - predicted) / scale)) * 100
 
 
-def forecast_metrics(
-    df: DataFrame, by: Sequence[str], actual: str, predicted: str, prefix: str = "", with_smape: bool = False
-) -> DataFrame:
-    """MAPE, RMSE and MAE per group, over rows that have both values."""
-    y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
+def point_metrics(actual: Column, predicted: Column, prefix: str = "") -> list[Column]:
+    """Aggregates MAPE, RMSE and MAE, over rows that have both values."""
+    y, p = actual.cast("double"), predicted.cast("double")
     error = y - p
-    columns = [
-        F.count(F.lit(1)).alias("n"),
+    return [
+        F.count(error).alias("n"),
         mape(y, p).alias(f"{prefix}mape"),
         F.sqrt(F.avg(error * error)).alias(f"{prefix}rmse"),
         F.avg(F.abs(error)).alias(f"{prefix}mae"),
     ]
+
+
+def forecast_metrics(
+    df: DataFrame, by: Sequence[str], actual: str, predicted: str, prefix: str = "", with_smape: bool = False
+) -> DataFrame:
+    """MAPE, RMSE and MAE per group, over rows that have both values; groups without such rows are left out."""
+    y, p = F.col(actual), F.col(predicted)
+    columns = point_metrics(y, p, prefix)
     if with_smape:
-        columns.append(smape(y, p).alias(f"{prefix}smape"))
+        columns.append(smape(y.cast("double"), p.cast("double")).alias(f"{prefix}smape"))
     return df.where(y.isNotNull() & p.isNotNull()).groupBy(*by).agg(*columns)
 
 
@@ -44,11 +50,20 @@ def error_columns(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.withColumn("abs_error", error).withColumn("mape_contribution", share)
 
 
+def coverage(actual: str, lower: str, upper: str) -> Column:
+    """Share of actuals inside the closed interval."""
+    return F.avg(F.col(actual).between(F.col(lower), F.col(upper)).cast("int"))
+
+
+def width(lower: str, upper: str) -> Column:
+    return F.avg(F.col(upper) - F.col(lower))
+
+
 def interval_metrics(df: DataFrame, by: Sequence[str], actual: str, lower: str, upper: str) -> DataFrame:
-    """Share of actuals inside the closed interval, and its mean width."""
-    hit = F.col(actual).between(F.col(lower), F.col(upper)).cast("int")
+    """Coverage and mean width of the interval per group."""
+    known = F.col(actual).between(F.col(lower), F.col(upper))
     return df.groupBy(*by).agg(
-        F.count(hit).alias("n"), F.avg(hit).alias("coverage"), F.avg(F.col(upper) - F.col(lower)).alias("width")
+        F.count(known).alias("n"), coverage(actual, lower, upper).alias("coverage"), width(lower, upper).alias("width")
     )
 
 

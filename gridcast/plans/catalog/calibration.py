@@ -112,12 +112,12 @@ offsets AS (SELECT g, any_value(n) AS n, max(s) FILTER (k = 1 + ceil(least(ceil(
 
 @query(with_(sql_scored("user_id"), sql_offset("scored", "series_id", 0.2)) + f"SELECT g AS series_id, n, {sql_r4('q')} AS q FROM offsets")
 def split_conformal_offsets(spark, sf):
-    return rounded(conformal_offset(scored(spark, sf, "user_id"), ["series_id"], 0.2, "y"), "q")
+    return rounded(conformal_offset(cut(scored(spark, sf, "user_id")), ["series_id"], 0.2, "y"), "q")
 
 
 @query(with_(sql_scored(), sql_offset("scored", "1", 0.1)) + f"SELECT n, {sql_r4('q')} AS q FROM offsets")
 def pooled_conformal_offset(spark, sf):
-    return rounded(conformal_offset(scored(spark, sf), [], 0.1, "y"), "q")
+    return rounded(conformal_offset(cut(scored(spark, sf)), [], 0.1, "y"), "q")
 
 
 @query(
