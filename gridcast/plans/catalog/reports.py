@@ -19,17 +19,22 @@ from gridcast.plans.catalog.base import (
     HOURLY, SPLIT, filled, grid, hourly, query, rounded, sql_filled, sql_grid, sql_hourly, sql_r4, sql_split, table, with_,
 )
 
+from gridcast.sources.panels import cents
 from gridcast.sources.tables import cut
 
 
-@query(f"SELECT CAST(hour(ts) AS INTEGER) AS hour, {sql_r4('avg(value)')} AS mean FROM events GROUP BY 1")
+def _in_cents(spark, sf):
+    return table(spark, sf, "events").withColumn("value", cents(F.col("value")))
+
+
+@query(f"SELECT CAST(hour(ts) AS INTEGER) AS hour, {sql_r4('avg(CAST(round(value * 100) AS BIGINT))')} AS mean FROM events GROUP BY 1")
 def mean_by_hour(spark, sf):
-    return rounded(seasonal_profile(table(spark, sf, "events"), "ts", "value", ["hour"]), "mean")
+    return rounded(seasonal_profile(_in_cents(spark, sf), "ts", "value", ["hour"]), "mean")
 
 
-@query(f"SELECT event_type, CAST(isodow(ts) - 1 AS INTEGER) AS weekday, {sql_r4('avg(value)')} AS mean FROM events GROUP BY 1, 2")
+@query(f"SELECT event_type, CAST(isodow(ts) - 1 AS INTEGER) AS weekday, {sql_r4('avg(CAST(round(value * 100) AS BIGINT))')} AS mean FROM events GROUP BY 1, 2")
 def mean_by_weekday(spark, sf):
-    return rounded(seasonal_profile(table(spark, sf, "events"), "ts", "value", ["weekday"], ["event_type"]), "mean")
+    return rounded(seasonal_profile(_in_cents(spark, sf), "ts", "value", ["weekday"], ["event_type"]), "mean")
 
 
 @query(
@@ -217,7 +222,7 @@ def version_registration(spark, sf):
     return registry.register_version(versions(spark, sf), "new", "p")
 
 
-_FOLDS = """weeks AS (SELECT event_type AS parent_run_id, CAST(week(ts) AS INTEGER) AS fold, avg(value) AS fold_mape FROM events GROUP BY 1, 2)"""
+_FOLDS = """weeks AS (SELECT event_type AS parent_run_id, CAST(week(ts) AS INTEGER) AS fold, avg(CAST(round(value * 100) AS BIGINT)) AS fold_mape FROM events GROUP BY 1, 2)"""
 
 
 @query(
@@ -226,7 +231,7 @@ _FOLDS = """weeks AS (SELECT event_type AS parent_run_id, CAST(week(ts) AS INTEG
 )
 def fold_metrics(spark, sf):
     """Fold numbers parsed from run names (weeks stand in for folds)."""
-    weekly = table(spark, sf, "events").groupBy(F.col("event_type").alias("parent_run_id"), F.weekofyear("ts").alias("w")).agg(
+    weekly = _in_cents(spark, sf).groupBy(F.col("event_type").alias("parent_run_id"), F.weekofyear("ts").alias("w")).agg(
         F.avg("value").alias("value")
     )
     rows = weekly.withColumn("run_name", F.concat(F.lit("fold_"), "w")).withColumn("metric", F.lit("fold_mape"))
