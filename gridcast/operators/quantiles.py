@@ -20,6 +20,7 @@ ACCURACY = 10_000
 MARGIN = 10.0 / ACCURACY
 SMALL_GROUP = 10_000
 SLICE_PARTS = 256
+LOWEST = -1.7976931348623157e308  # smallest finite double: sorts below every value
 
 Position = Callable[[Column], Column]
 
@@ -51,33 +52,36 @@ def order_statistics(
         F.percentile_approx("_v", highs, ACCURACY).alias("_hi"),
     )
     small = F.col("_n") <= SMALL_GROUP
-    slices = [
-        F.struct(
-            F.when(small | F.lit(lows[i] == 0.0), F.lit(-inf)).otherwise(F.col("_lo")[i]).alias("lo"),
-            F.when(small | F.lit(highs[i] == 1.0), F.lit(inf)).otherwise(F.col("_hi")[i]).alias("hi"),
-        ).alias(f"_s{i}")
-        for i in range(len(picks))
-    ]
+    slices = []
+    for i in range(len(picks)):
+        lo = F.when(small | F.lit(lows[i] == 0.0), F.lit(-inf)).otherwise(F.col("_lo")[i])
+        hi = F.when(small | F.lit(highs[i] == 1.0), F.lit(inf)).otherwise(F.col("_hi")[i])
+        # Steps of the slice per unit of value; 0 leaves an open or empty slice in one part.
+        scale = F.when((lo > -inf) & (hi < inf) & (lo < hi), SLICE_PARTS / (hi - lo)).otherwise(F.lit(0.0))
+        base = F.when(lo > -inf, lo).otherwise(F.lit(0.0))
+        slices += [lo.alias(f"_lo{i}"), hi.alias(f"_hi{i}"), scale.alias(f"_sc{i}"), base.alias(f"_ba{i}")]
     tagged = join_groups(values, sketch.select(*by, *slices), by)
 
     v = F.col("_v")
+    slice_names = [f"{n}{i}" for i in range(len(picks)) for n in ("_sc", "_ba")]
     inside = F.lit(False)
-    floor = F.lit(-inf)
+    floor = F.lit(LOWEST)
     for i in range(len(picks)):
-        lo, hi = F.col(f"_s{i}.lo"), F.col(f"_s{i}.hi")
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         inside = inside | ((v >= lo) & (v <= hi))
-        floor = F.greatest(floor, F.when(hi < v, hi).otherwise(F.lit(-inf)))
+        floor = F.greatest(floor, F.when(hi < v, hi).otherwise(F.lit(LOWEST)))
     # Rows outside every slice fold into one counter that sorts right after the slice below them. `_z` numbers equal
     # parts of each slice: a sum of clipped, growing functions of the value, so it grows with the value.
-    x = F.when(inside, v).otherwise(floor)
-    part = F.lit(0)
+    placed = tagged.select(*by, *slice_names, "_v", inside.alias("_in"), floor.alias("_floor"))
+    placed = placed.select(
+        *by, *slice_names, F.when(F.col("_in"), v).otherwise(F.col("_floor")).alias("_x"), (~F.col("_in")).alias("_gap")
+    )
+    part = F.lit(0.0)
     for i in range(len(picks)):
-        lo, hi = F.col(f"_s{i}.lo"), F.col(f"_s{i}.hi")
-        finite = (lo > -inf) & (hi < inf) & (lo < hi)
-        share = F.floor(F.greatest(F.least((x - lo) / (hi - lo), F.lit(1.0)), F.lit(0.0)) * SLICE_PARTS)
-        part = part + F.when(finite, share).when((hi < inf) & (x >= hi), F.lit(SLICE_PARTS)).otherwise(F.lit(0))
+        steps = (F.col("_x") - F.col(f"_ba{i}")) * F.col(f"_sc{i}")
+        part = part + F.least(F.greatest(steps, F.lit(0.0)), F.lit(float(SLICE_PARTS)))
     counted = (
-        tagged.select(*by, part.cast("int").alias("_z"), x.alias("_x"), (~inside).alias("_gap"))
+        placed.select(*by, F.floor(part).alias("_z"), "_x", "_gap")
         .groupBy(*by, "_z", "_x", "_gap")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
