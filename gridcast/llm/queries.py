@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import decontaminate, packing, pii, quality_crf, shingle_join
+from gridcast.llm import chunk_dedup, decontaminate, packing, pii, quality_crf, robust_rules, secret_scan, shingle_join
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -35,6 +35,19 @@ def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return robust_rules.quality_rules(table(spark, sf, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))
+    of = lambda i: lambda s: s["kind"] == i
+    counts = [F.size(F.filter("secrets", of(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(secret_scan.KINDS[:3])]
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    text = secret_scan.as_text
+    return found.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("secrets")).alias("spans"))
+
+
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     found = pii.add_spans(docs.select("doc_id", "text"), pii.train_trees(docs))
@@ -45,6 +58,14 @@ def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("pii")).alias("spans"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = chunk_dedup.drop_repeated_chunks(table(spark, sf, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    where = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])))
+    size = F.size("spans").cast("long").alias("n_spans")
+    return kept.select("doc_id", "n_bytes", gone.alias("n_removed"), size, F.sha2("text", 256).alias("kept_sha256"), where.alias("spans"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_benchmark(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
