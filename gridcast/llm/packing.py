@@ -8,6 +8,7 @@ have all moved is gone.
 
 from __future__ import annotations
 
+import functools
 import json
 import zlib
 from collections.abc import Iterator
@@ -17,35 +18,66 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.text import batch_of, blocks, bounded_batches, flat, only, span_hashes, word_spans
+from gridcast.llm.text import BLOCK, batch_of, blocks, bounded_batches, flat, only, span_hashes, word_spans
 from gridcast.sources.tables import cut
 
 GROUP = 20_000
 NEIGHBOURS = 48
 NEARLY_FULL = 0.995
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 
 
-def _word_wise(path: str) -> bool:
-    """Whether the tokenizer drops white space and never lets a token span it, so words can be encoded one by one."""
+def _word_pattern(path: str) -> str | None:
+    """The pattern by which the tokenizer cuts words, if it drops white space, maps bytes and lets no token span words."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
-    split = [s for s in steps if s.get("type") == "Split"]
-    return bool(split) and split[0]["behavior"] == "Removed" and split[0]["invert"] and not spec.get("post_processor")
+    if [s.get("type") for s in steps] != ["Split", "ByteLevel"] or steps[1].get("use_regex") or spec.get("post_processor"):
+        return None
+    lower = {"type": "Lowercase"} in (spec.get("normalizer") or {}).get("normalizers", [])
+    split = steps[0]
+    return split["pattern"].get("Regex") if split["behavior"] == "Removed" and split["invert"] and lower else None
 
 
 class Encoder:
-    """Token ids of whole texts. Words are looked up once for each block and kept in a table of bounded size."""
+    """Token ids of whole texts. Words are looked up once for each block and kept in tables of bounded size.
+
+    For a tokenizer that splits at white space, plain ASCII words are cut by the tokenizer's own pattern, and each cut is
+    encoded once by its vocabulary; all other words go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.word_wise, self.known = Tokenizer.from_file(path), _word_wise(path), {}
+        self.tokenizer, self.known, self.parts = Tokenizer.from_file(path), {}, {}
+        pattern = _word_pattern(path)
+        self.word_wise, self.cut = pattern is not None, pattern and regex.compile(pattern).findall
+        self.model = self.tokenizer.model
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def words(self, words: list[str]) -> list[bytes]:
+        out: list = [None] * len(words)
+        rest, parts, cut_, tokenize = [], self.parts, self.cut, self.model.tokenize
+        for i, word in enumerate(words):
+            if not word.isascii() or not word.isprintable() or "<" in word:  # "<" may begin a special token
+                rest.append(i)
+                continue
+            found = b""
+            for part in cut_(word.lower()):
+                ids = parts.get(part)
+                if ids is None:
+                    ids = parts[part] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(part)])
+                found += ids
+            out[i] = found
+        if len(parts) > CACHE_WORDS:
+            parts.clear()
+        for i, ids in zip(rest, self.encode([words[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
     def block(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's start."""
         data, offsets = flat(batch.column("text"))
@@ -54,15 +86,15 @@ class Encoder:
             return np.frombuffer(b"".join(ids), "<u4"), np.cumsum([0, *(len(x) // 4 for x in ids)])
         starts, ends, before = word_spans(data, offsets)
         hashes, first, each = np.unique(span_hashes(data, starts, ends, fold=False), return_index=True, return_inverse=True)
-        if len(self.known) + len(hashes) > CACHE_WORDS + len(hashes) * (len(self.known) <= len(hashes)):
-            self.known.clear()
         known, names = self.known, hashes.tolist()
-        new = [i for i, h in enumerate(names) if h not in known]
+        each_ids = [known.get(h) for h in names]
+        new = [i for i, ids in enumerate(each_ids) if ids is None]
         raw = data.tobytes()
         words = [raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
-        for i, ids in zip(new, self.encode(words), strict=True):
-            known[names[i]] = ids
-        each_ids = [known[h] for h in names]
+        for i, ids in zip(new, self.words(words), strict=True):
+            each_ids[i] = known[names[i]] = ids
+        if len(known) > CACHE_WORDS:  # words of this block are the likeliest to come again
+            self.known = dict(zip(names, each_ids, strict=True))
         table = np.frombuffer(b"".join(each_ids), "<u4")
         n = np.array([len(x) // 4 for x in each_ids], np.int64)
         length = n[each]
@@ -73,15 +105,20 @@ class Encoder:
         return out, np.concatenate([[0], end])[before]
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One for each Python worker."""
+    return Encoder(path)
+
+
 def token_pieces(docs: DataFrame, key: str, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
     """(key, piece, start, length, ids_crc32) of every text's ids and the end id, cut every ``capacity`` ids."""
     schema = pa.schema([("key", docs.schema["key"].dataType.typeName() == "string" and pa.string() or pa.int64()),
                         ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        for b in blocks(batches):
-            ids, begin = encoder.block(b)
+        for b in blocks(batches, limit=BLOCK // 2):
+            ids, begin = encoder(tokenizer).block(b)
             rows: list[list] = [[], [], [], [], []]
             last = np.array([end_id], "<u4").tobytes()
             for i, k in enumerate(b.column("key").to_pylist()):

@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 BLOCK = 4 << 20
+HASH_BLOCK = 1 << 20
 BATCH_BYTES = 8 << 20
 
 SPACE = np.zeros(256, bool)
@@ -90,7 +91,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bo
     table = BYTE[LOWER] if fold else BYTE
     at = 0
     while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + BLOCK, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + HASH_BLOCK, "right")))
         a, b = int(starts[at]), int(ends[to - 1])
         power = np.empty(b - a, np.uint64)
         power[0], power[1:] = 1, BASE
@@ -110,7 +111,7 @@ _UNDO = np.ones(1, np.uint64)
 def _inverse_powers(n: int) -> np.ndarray:
     global _UNDO
     if len(_UNDO) < n:
-        _UNDO = np.full(max(n, BLOCK), UNBASE, np.uint64)
+        _UNDO = np.full(max(n, HASH_BLOCK), UNBASE, np.uint64)
         _UNDO[0] = 1
         np.multiply.accumulate(_UNDO, out=_UNDO)
     return _UNDO
