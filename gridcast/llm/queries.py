@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import chunk_dedup, decontaminate, packing, pii, quality_crf, robust_rules, secret_scan, shingle_join
+from gridcast.llm import chunk_dedup, decontaminate, lm_score, packing, pii, quality_crf, robust_rules, secret_scan, shingle_join, suffix_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -15,10 +15,24 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    train = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    scored = lm_score.score_texts(table(spark, sf, "documents"), train)
+    names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), *names)
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return shingle_join.jaccard_components(table(spark, sf, "documents"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = suffix_dedup.drop_repeated_strings(table(spark, sf, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), TOKENIZER)
 
