@@ -31,10 +31,9 @@ from gridcast.llm.text import (
 )
 from gridcast.sources.tables import cut
 
-COORDINATES = 256
+MOST_BITS = 14
 NODE = 64
 PIVOT_SHARE = 256
-OUT_BYTES = 4 << 20
 EMPTY = np.uint64(0x632BE59BD9B4E019)
 
 
@@ -113,11 +112,11 @@ def digest_sets(docs: DataFrame, key: str, size: int) -> DataFrame:
 def shared_roots(docs: DataFrame, size: int, percent: int, parts: int) -> DataFrame:
     """(root, name, pivot) of every root with two or more different sets. Roots with the same sets count once.
 
-    Root keys travel as packed arrays, one row for each block of texts and part of the key space, 13 bytes a key.
+    Root keys travel as packed arrays, one row for each block of texts and part of the key space, about 8 bytes a key.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("part", pa.int32()), ("low", pa.binary()), ("mid", pa.binary()), ("names", pa.binary())])
+        schema = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("low", "mid", "local", "names"))])
         for b in blocks(batches):
             sets, ends = block_sets(b, size)
             names = set_names(sets, ends)
@@ -130,18 +129,23 @@ def shared_roots(docs: DataFrame, size: int, percent: int, parts: int) -> DataFr
             part, keys, whose = part[order], keys[order], whose[order]
             edges = np.searchsorted(part, np.arange(parts + 1))
             some = np.flatnonzero(np.diff(edges))
-            cols = [[], [], []]
+            cols = [[], [], [], []]
             for p in some:
                 s = slice(edges[p], edges[p + 1])
+                here, local = np.unique(whose[s], return_inverse=True)
                 cols[0].append((keys[s] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
                 cols[1].append(((keys[s] >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8).tobytes())
-                cols[2].append(names[whose[s]].tobytes())
+                cols[2].append(local.astype(np.uint16 if len(here) < 65536 else np.uint32).tobytes())
+                cols[3].append(names[here].tobytes())
             yield batch_of(schema, some.astype(np.int32), *cols)
 
     def meet(group: pa.Table) -> pa.Table:
         blob = lambda name, kind: np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
         keys = (blob("mid", np.uint8).astype(np.uint64) << np.uint64(32)) | blob("low", np.uint32)
-        names = blob("names", np.int64)
+        names = [np.frombuffer(x, np.int64) for x in group.column("names").to_pylist()]
+        kinds = (np.uint16 if len(x) < 65536 else np.uint32 for x in names)
+        local = group.column("local").to_pylist()
+        names = np.concatenate([n[np.frombuffer(x, kind)] for n, x, kind in zip(names, local, kinds, strict=True)])
         order = np.lexsort((names, keys))
         keys, names = keys[order], names[order]
         new = np.ones(len(keys), bool)
@@ -162,16 +166,16 @@ def shared_roots(docs: DataFrame, size: int, percent: int, parts: int) -> DataFr
             pivot = np.repeat(names[at[many]], n)
         return pa.table({"root": root, "name": names[index], "pivot": pivot})
 
-    packed = docs.select("text").mapInArrow(pack, "part int, low binary, mid binary, names binary")
+    packed = docs.select("text").mapInArrow(pack, "part int, low binary, mid binary, local binary, names binary")
     met = packed.groupBy("part").applyInArrow(meet, "root long, name long, pivot long")
     return met.dropDuplicates(["root", "name"])
 
 
-def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) of names whose sets reach the similarity.
+def verify(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those pairs (a, b) of names whose sets reach the similarity; ``texts`` has a (name, text) for each name.
 
-    Each set is rebuilt once from its class's text and sent to the pairs' pivots ``a``; a pivot with many partners is
-    dealt over several tasks, ``PIVOT_SHARE`` partners in each or so.
+    Texts, which are smaller than their sets, are sent to the pairs' pivots ``a``; a pivot with many partners is dealt
+    over several tasks, ``PIVOT_SHARE`` partners in each or so.
     """
     load = pairs.groupBy("a").agg(F.count("*").alias("n"))
     load = load.select("a", F.ceil(F.col("n") / PIVOT_SHARE).cast("int").alias("shares"))
@@ -179,34 +183,17 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
                                          F.pmod(F.xxhash64("b"), F.col("shares")).cast("int").alias("share"))
     heads = load.select(F.col("a").alias("name"), F.col("a").alias("pivot"),
                         F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
-    wanted = dealt.unionByName(heads).groupBy("name").agg(F.collect_list(F.struct("pivot", "share")).alias("to"))
-    texts = wanted.join(classes, "name").join(docs, F.col("rep") == F.col("key")).select("name", "to", "text")
-    schema = pa.schema([("pivot", pa.int64()), ("share", pa.int32()), ("name", pa.int64()), ("own", pa.binary())])
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches):
-            sets, ends = block_sets(b, size)
-            rows, held = [[], [], [], []], 0
-            for i, (name, to) in enumerate(zip(b.column("name").to_pylist(), b.column("to").to_pylist(), strict=True)):
-                own = sets[ends[i] : ends[i + 1]].tobytes()
-                for t in to:
-                    for column, value in zip(rows, (t["pivot"], t["share"], name, own), strict=True):
-                        column.append(value)
-                    held += len(own)
-                    if held > OUT_BYTES:
-                        yield batch_of(schema, *rows)
-                        rows, held = [[], [], [], []], 0
-            if rows[0]:
-                yield batch_of(schema, *rows)
+    sent = dealt.unionByName(heads).join(texts, "name").select("pivot", "share", "name", "text")
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         at, head = None, None
-        for b in batches:
+        for b in blocks(batches):
+            sets, ends = block_sets(b, size)
             found = [[], []]
-            columns = (b.column(i).to_pylist() for i in range(4))
-            for pivot, share, name, own in zip(*columns, strict=True):
-                own = np.frombuffer(own, np.uint64)
+            columns = (b.column(i).to_pylist() for i in range(3))
+            for i, (pivot, share, name) in enumerate(zip(*columns, strict=True)):
+                own = sets[ends[i] : ends[i + 1]]
                 if name == pivot:
                     at, head = (pivot, share), own
                     continue
@@ -220,40 +207,60 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
                     found[1].append(name)
             yield batch_of(out, *found)
 
-    sent = texts.mapInArrow(send, "pivot long, share int, name long, own binary")
     ordered = sent.repartition("pivot", "share").sortWithinPartitions("pivot", "share", F.col("name") != F.col("pivot"))
     return ordered.mapInArrow(test, "a long, b long")
 
 
-def search_trees(docs: DataFrame, classes: DataFrame, points: DataFrame, size: int, percent: int) -> DataFrame:
+def _counts(own: np.ndarray) -> np.ndarray:
+    """Count vector of a set, with a coordinate or two for each window; coordinates are nested, so pairs of them add up."""
+    bits = min(max(len(own).bit_length(), 4), MOST_BITS)
+    return np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint16)
+
+
+def _folded(vector: np.ndarray, width: int) -> np.ndarray:
+    return vector.reshape(width, -1).sum(1, dtype=np.int32)
+
+
+def _narrow(vectors: np.ndarray, width: int) -> np.ndarray:
+    return vectors if vectors.shape[1] == width else vectors.reshape(len(vectors), width, -1).sum(2, dtype=np.int32)
+
+
+def _overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Summed coordinate minima of each row of ``a`` with each of ``b``: for t = 1, 2, ... the coordinates where both reach t."""
+    total, t = np.zeros((len(a), len(b)), np.float32), 1
+    while (some := (a.max(0) >= t) & (b.max(0) >= t)).any():
+        total += (a[:, some] >= t).astype(np.float32) @ (b[:, some] >= t).astype(np.float32).T
+        t += 1
+    return total
+
+
+def search_trees(texts: DataFrame, points: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) of points (root, name, label) of one root and of different labels that pass the count-vector bound."""
     out = pa.schema([("name", pa.int64()), ("n", pa.int64()), ("vector", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
             sets, ends = block_sets(b, size)
-            at = (sets >> np.uint64(64 - COORDINATES.bit_length() + 1)).astype(np.int64)
-            rows = [np.bincount(at[i:j], minlength=COORDINATES).astype(np.int32).tobytes()
-                    for i, j in zip(ends, ends[1:], strict=False)]
+            rows = [_counts(sets[i:j]).tobytes() for i, j in zip(ends, ends[1:], strict=False)]
             yield batch_of(out, b.column("name"), np.diff(ends), rows)
 
-    wanted = points.select("name").distinct().join(classes, "name").join(docs, F.col("rep") == F.col("key"))
-    vectors = cut(wanted.select("name", "text").mapInArrow(count, "name long, n long, vector binary"))
-    rank = F.row_number().over(Window.partitionBy("root").orderBy("n", "name"))
+    wanted = texts.join(points.select("name").distinct(), "name", "left_semi")
+    vectors = wanted.select("name", "text").mapInArrow(count, "name long, n long, vector binary")
+    rank = F.row_number().over(Window.partitionBy("root").orderBy("label", "n", "name"))
     leaves = points.join(vectors, "name").withColumn("node", F.floor((rank - 1) / NODE).cast("long"))
-    node = pa.schema([("root", pa.int64()), ("node", pa.int64()), ("low", pa.int64()), ("high", pa.int64()),
-                      ("corner", pa.binary()), ("names", pa.binary()), ("labels", pa.binary()), ("sizes", pa.binary()),
-                      ("vectors", pa.binary())])
+    kinds = [("root", pa.int64()), ("node", pa.int64()), ("low", pa.int64()), ("high", pa.int64())]
+    node = pa.schema([*kinds, *((c, pa.binary()) for c in ("corner", "names", "labels", "sizes", "vectors"))])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def close() -> list:
             names, labels, sizes = (np.array([r[i] for r in held], np.int64) for i in (2, 3, 4))
-            vectors = b"".join(r[5] for r in held)
-            corner = np.frombuffer(vectors, np.int32).reshape(-1, COORDINATES).max(0)
-            return [held[0][0], held[0][1], int(sizes.min()), int(sizes.max()), corner.tobytes(),
-                    names.tobytes(), labels.tobytes(), sizes.tobytes(), vectors]
+            vectors = [np.frombuffer(r[5], np.uint16) for r in held]
+            width = min(map(len, vectors))
+            vectors = np.stack([_folded(v, width) for v in vectors]).astype(np.uint16)
+            return [held[0][0], held[0][1], int(sizes.min()), int(sizes.max()), vectors.max(0).tobytes(),
+                    names.tobytes(), labels.tobytes(), sizes.tobytes(), vectors.tobytes()]
 
         for b in batches:
             rows = []
@@ -267,37 +274,63 @@ def search_trees(docs: DataFrame, classes: DataFrame, points: DataFrame, size: i
         if held:
             yield batch_of(node, *[[x] for x in close()])
 
-    kinds = "root long, node long, low long, high long, corner binary, names binary, labels binary, sizes binary, vectors binary"
+    schema = "root long, node long, low long, high long, corner binary, names binary, labels binary, sizes binary, vectors binary"
     ordered = leaves.select("root", "node", "name", "label", "n", "vector").repartition("root", "node")
-    nodes = cut(ordered.sortWithinPartitions("root", "node").mapInArrow(build, kinds))
+    nodes = cut(ordered.sortWithinPartitions("root", "node").mapInArrow(build, schema))
     right = nodes.select(*[F.col(c).alias(f"r_{c}") for c in nodes.columns])
-    met = nodes.join(right, (F.col("root") == F.col("r_root")) & (F.col("node") <= F.col("r_node"))
+    met = nodes.join(right, (F.col("root") == F.col("r_root")) & (F.col("node") < F.col("r_node"))
                      & (F.col("r_low") * percent <= F.col("high") * 100))
+    none = nodes.select("*", *[F.lit(None).cast(t).alias(f"r_{c}") for c, t in nodes.dtypes])
     pair = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    need = lambda x, y: (percent * (x + y) + 99 + percent) // (100 + percent)
+    longs = lambda row, names: [np.frombuffer(row[c], np.int64) for c in names]
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # pairs meet in many roots
         for b in batches:
             found = [[], []]
             for row in b.to_pylist():
-                need = lambda x, y: (percent * (x + y) + 99 + percent) // (100 + percent)
-                corners = (np.frombuffer(row[c], np.int32) for c in ("corner", "r_corner"))
-                if np.minimum(*corners).sum() < need(row["low"], row["r_low"]):
-                    continue
-                left = [np.frombuffer(row[c], np.int64) for c in ("names", "labels", "sizes")]
-                right = [np.frombuffer(row[c], np.int64) for c in ("r_names", "r_labels", "r_sizes")]
-                theirs = np.frombuffer(row["r_vectors"], np.int32).reshape(-1, COORDINATES)
-                for i, own in enumerate(np.frombuffer(row["vectors"], np.int32).reshape(-1, COORDINATES)):
-                    ok = right[1] != left[1][i]
-                    if row["node"] == row["r_node"]:
-                        ok &= right[0] > left[0][i]
-                    some = np.flatnonzero(ok)
-                    bound = np.minimum(theirs[some], own).sum(1)
-                    some = some[bound >= need(left[2][i], right[2][some])]
-                    found[0].extend(np.minimum(left[0][i], right[0][some]).tolist())
-                    found[1].extend(np.maximum(left[0][i], right[0][some]).tolist())
+                alone = row["r_node"] is None  # a node with itself
+                left = longs(row, ("names", "labels", "sizes"))
+                right = left if alone else longs(row, ("r_names", "r_labels", "r_sizes"))
+                both = [np.frombuffer(row[c], np.uint16) for c in ("vectors", "vectors" if alone else "r_vectors")]
+                width = min(len(v) // len(n[0]) for v, n in zip(both, (left, right), strict=True))
+                if not alone:
+                    corners = (_folded(np.frombuffer(row[c], np.uint16), width) for c in ("corner", "r_corner"))
+                    if np.minimum(*corners).sum() < need(row["low"], row["r_low"]):
+                        continue
+                mine, theirs = (_narrow(v.reshape(len(n[0]), -1), width) for v, n in zip(both, (left, right), strict=True))
+                ok = _overlaps(mine, theirs) >= need(left[2][:, None], right[2][None, :])
+                ok &= left[1][:, None] != right[1][None, :]
+                x, y = np.nonzero(np.triu(ok) if alone else ok)
+                for pair_ in zip(np.minimum(left[0][x], right[0][y]).tolist(), np.maximum(left[0][x], right[0][y]).tolist(), strict=True):
+                    if pair_ not in seen:
+                        seen.add(pair_)
+                        found[0].append(pair_[0])
+                        found[1].append(pair_[1])
+            if len(seen) > 500_000:
+                seen.clear()
             yield batch_of(pair, *found)
 
-    return met.mapInArrow(search, "a long, b long").distinct()
+    return met.unionByName(none).mapInArrow(search, "a long, b long").distinct()
+
+
+def _own_texts(named: DataFrame, size: int) -> DataFrame:
+    """The rows whose text has the set of its name: rows that repeat a key with another text are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches):
+            yield b.filter(pa.array(set_names(*block_sets(b, size)) == b.column("name").to_numpy()))
+
+    return named.mapInArrow(run, "name long, text string")
+
+
+def _apart(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """The pairs whose ends aren't in one component yet."""
+    a, b = (named.select(F.col("vertex").alias(f"_{c}"), F.col("component").alias(f"_{c}_in")) for c in "ab")
+    met = pairs.join(a, F.col("a") == F.col("_a"), "left").join(b, F.col("b") == F.col("_b"), "left")
+    return met.filter(F.coalesce("_a_in", "a") != F.coalesce("_b_in", "b")).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -313,19 +346,25 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     digests = cut(digest_sets(docs, "key", size))
     classes = cut(digests.filter("n_shingles > 0").groupBy("name").agg(F.min("key").alias("rep")))
     roots = cut(shared_roots(docs, size, percent, parts))
-    stars = cut(roots.filter("name != pivot").select(F.col("pivot").alias("a"), F.col("name").alias("b")).distinct())
-    links = cut(verify(docs, classes, stars, size, percent))
+    members = classes.join(roots.select("name").distinct(), "name", "left_semi")
+    texts = cut(_own_texts(docs.join(members, F.col("key") == F.col("rep")).select("name", "text"), size))
+    # Each point meets the least of its pivots first; other pivots only if the two are still apart.
+    stars = roots.filter("name != pivot").select(F.col("pivot").alias("a"), F.col("name").alias("b")).distinct()
+    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = cut(verify(texts, cut(first), size, percent))
+    named = components(links, "a", "b")
+    second = _apart(stars.join(first, ["a", "b"], "left_anti"), named)
+    links = cut(links.unionByName(verify(texts, cut(second), size, percent)))
     named = components(links, "a", "b")
     points = roots.select("root", "name").join(named, F.col("name") == F.col("vertex"), "left")
-    points = points.select("root", "name", F.coalesce("component", "name").alias("label"))
-    points = cut(points)
+    points = cut(points.select("root", "name", F.coalesce("component", "name").alias("label")))
     split = points.groupBy("root").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("root")
     open_points = cut(points.join(split, "root", "left_semi"))
     if not open_points.isEmpty():
-        more = search_trees(docs, classes, open_points, size, percent)
+        more = search_trees(texts, open_points, size, percent)
         # What the pivots have compared needn't be verified again.
         done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = cut(links.unionByName(verify(docs, classes, cut(more.join(done, ["a", "b"], "left_anti")), size, percent)))
+        links = cut(links.unionByName(verify(texts, cut(more.join(done, ["a", "b"], "left_anti")), size, percent)))
         named = components(links, "a", "b")
     # From names of sets to keys: the smallest key of all classes in a component.
     tops = named.join(classes, F.col("vertex") == F.col("name")).groupBy("component").agg(F.min("rep").alias("least"))
