@@ -64,6 +64,13 @@ def calendar_columns(ts: Column) -> dict[str, Column]:
     }
 
 
+def holiday_table(spark: SparkSession, country: str, own: DataFrame | None = None) -> DataFrame:
+    """Holidays of one country: the rows of ``own`` for it (all rows if it has no country column), else the built-in ones."""
+    if own is None:
+        return national_holidays(spark, country)
+    return own.where(F.col("country") == country) if "country" in own.columns else own
+
+
 def add_calendar(df: DataFrame, ts: str, holidays: DataFrame | None) -> DataFrame:
     """Calendar columns with ``is_holiday`` and ``is_working_day``.
 

@@ -16,8 +16,6 @@ from gridcast.params import DriftParams, DriftWindow
 
 # Which columns are monitored, how the test is chosen and when it fires.
 MONITOR_PATTERNS = ("lag_", "rolling_", "hour", "day_of_week", "is_working")
-MONITOR_LIMIT = 15
-MONITOR_FALLBACK = 10
 LARGE_REFERENCE = 1000
 FEW_VALUES = 5
 DISTANCE_THRESHOLD = 0.1
@@ -28,11 +26,10 @@ SPLITS = 64
 
 
 def monitored_columns(df: DataFrame, target: str) -> list[str]:
-    """Numeric columns other than the target whose name matches a monitored pattern: the first 15 in frame order, or
-    the first 10 numeric ones when none matches."""
+    """All numeric columns other than the target whose name matches a monitored pattern, or all when none matches."""
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name != target]
-    matching = [c for c in numeric if any(p in c for p in MONITOR_PATTERNS)][:MONITOR_LIMIT]
-    return matching or numeric[:MONITOR_FALLBACK]
+    matching = [c for c in numeric if any(p in c for p in MONITOR_PATTERNS)]
+    return matching or numeric
 
 
 def _flags(df: DataFrame, ts: str, params: DriftParams) -> list[Column]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.functions.calendar import CALENDAR_COLUMNS, add_calendar, fourier_columns, fourier_names, national_holidays
+from gridcast.functions.calendar import CALENDAR_COLUMNS, add_calendar, fourier_columns, fourier_names, holiday_table
 from gridcast.operators.buckets import (
     IDX, OWN, add_series_bounds, bucket_window, drop_helpers, halo, with_index,
 )
@@ -98,9 +98,7 @@ def build_feature_matrix(
     out = history_features(out, axis, params.target, params.lags, params.windows)
     if params.holidays == "compat":
         days = None
-    elif holidays is not None:
-        days = holidays.where(F.col("country") == params.country) if "country" in holidays.columns else holidays
     else:
-        days = national_holidays(df.sparkSession, params.country)
+        days = holiday_table(df.sparkSession, params.country, holidays)
     out = add_calendar(out, axis.ts, days).select(*df.columns, *feature_names(params))
     return out.dropna("any") if params.drop_nulls else out

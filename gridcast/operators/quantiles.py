@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.operators.skew import join_groups
+from gridcast.operators.skew import join_groups, join_null_safe
 
 ACCURACY = 10_000
 MARGIN = 10.0 / ACCURACY
@@ -97,7 +97,7 @@ def order_statistics(
         pos = position(F.col("_n"))
         wanted = wanted | ((F.ceil(pos) >= F.col("_before")) & (F.floor(pos) < F.col("_before") + F.col("_zc")))
     local = Window.partitionBy(*by, "_z").orderBy("_x", "_gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.join(parts.where(wanted).drop("_zc"), [*by, "_z"]).withColumn(
+    ranked = join_null_safe(counted, parts.where(wanted).drop("_zc"), [*by, "_z"]).withColumn(
         "_cum", F.col("_before") + F.sum("_c").over(local)
     )
 

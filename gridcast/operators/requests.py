@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.functions.calendar import add_calendar, fourier_columns, national_holidays
+from gridcast.functions.calendar import add_calendar, fourier_columns, holiday_table
 from gridcast.functions.timegrid import step_index, type_of
 from gridcast.operators.asof import point_in_time_join
 from gridcast.operators.features import lag_names, rolling_names
@@ -94,7 +94,7 @@ def request_features(
     if params.holidays == "compat":
         days = None
     else:
-        days = holidays if holidays is not None else national_holidays(requests.sparkSession, params.country)
+        days = holiday_table(requests.sparkSession, params.country, holidays)
     return add_calendar(rows, axis.ts, days).drop("start_ts")
 
 

@@ -92,7 +92,7 @@ class TrainParams:
     changepoints: int = 25
     ridge: float = 0.05
     multiplicative: bool = True
-    explain_rows: int = 300
+    explain_rows: int | None = None  # attributions for a hash sample of that many validation rows; None: for all
 
 
 @dataclass(frozen=True)

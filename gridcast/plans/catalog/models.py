@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridcast.operators.boosted import bundle_metrics, cross_validate, fit_bundle, importance
-from gridcast.operators.explain import attributions, stable_sample
+from gridcast.operators.explain import attributions
 from gridcast.operators.features import build_feature_matrix, feature_names, history_features
 from gridcast.operators.metrics import forecast_metrics
 from gridcast.operators.requests import check_requests, request_features, score_requests, valid_requests
@@ -58,10 +58,9 @@ def boosted_importance(spark, sf):
 
 @query()
 def boosted_attributions(spark, sf):
-    """Additive attributions of a 300-row validation sample."""
+    """Additive attributions of every validation row."""
     rows, model = bundle(spark, sf, intervals=False)
-    sample = stable_sample(rows.where(F.col("split") == "val"), ["series_id", "ts"], TRAIN.explain_rows)
-    return attributions(model.point, sample, NAMES, ["series_id", "ts"])
+    return attributions(model.point, rows.where(F.col("split") == "val"), NAMES, ["series_id", "ts"])
 
 
 @query()

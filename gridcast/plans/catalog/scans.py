@@ -212,8 +212,10 @@ def year_filter(spark, sf):
     "WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1998-02' AND '1998-05'"
 )
 def month_filter(spark, sf):
-    out = table(spark, sf, "orders").select("o_orderkey", month_text(F.col("o_orderdate")).alias("month"))
-    return out.where(F.col("month").between("1998-02", "1998-05"))
+    orders = table(spark, sf, "orders")
+    start, end = (F.lit(d).cast(orders.schema["o_orderdate"].dataType) for d in ("1998-02-01", "1998-06-01"))
+    inside = orders.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end))  # a range reaches the scan
+    return inside.select("o_orderkey", month_text(F.col("o_orderdate")).alias("month"))
 
 
 @query(

@@ -136,8 +136,8 @@ def train_and_select(
         )
     bundle.save(f"{layout.root}/06_models/boosted_trees")
     layout.write(boosted.importance(bundle.point, names, spark), "feature_importance")
-    sample = stable_sample(val, [*axis.keys, axis.ts], params.explain_rows)
-    layout.write(attributions(bundle.point, sample, names, [*axis.keys, axis.ts]), "attributions")
+    explained = val if params.explain_rows is None else stable_sample(val, [*axis.keys, axis.ts], params.explain_rows)
+    layout.write(attributions(bundle.point, explained, names, [*axis.keys, axis.ts]), "attributions")
 
     structural = fit_structural(train.select(*axis.keys, axis.ts, target), axis, params)
     predicted = structural.predict(val.select(*axis.keys, axis.ts, target))

@@ -26,13 +26,22 @@ RAW_SCHEMA = T.StructType(
 def read_raw(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Raw CSV with a header, read with an explicit schema.
 
-    Columns are matched by header name, so a file with hundreds of other columns is read for the wanted ones only.
-    Values arrive as text; `normalise_columns` parses them.
+    Columns are matched by each file's own header, so files may order them differently, and a file with hundreds of
+    other columns is read for the wanted ones only. Values arrive as text; `normalise_columns` parses them.
     """
-    header = spark.read.option("header", True).csv(path).columns  # reads the header line only
-    wide = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    present = [f.name for f in schema.fields if f.name in header]
-    return spark.read.option("header", True).schema(wide).csv(path).select(*present)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.option("header", True).csv(path).inputFiles()):
+        by_header.setdefault(tuple(spark.read.option("header", True).csv(file).columns), []).append(file)  # header line only
+    parts = []
+    for header, files in by_header.items():
+        wide = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        present = [f.name for f in schema.fields if f.name in header]
+        reader = spark.read.option("header", True).option("enforceSchema", False)
+        parts.append(reader.schema(wide).csv(files).select(*present))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:

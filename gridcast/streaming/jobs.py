@@ -53,6 +53,9 @@ class _AdaptiveProcessor(StatefulProcessor):
             if last is not None and t <= last:
                 results.append((None, None, True))
                 continue
+            if pd.isna(y) or pd.isna(lo) or pd.isna(hi):  # nothing to learn from, as in the batch form
+                results.append((None, None, False))
+                continue
             used, hit = state.step(y, lo, hi)
             fresh.append((float(max(lo - y, y - hi)),))
             results.append((used, hit, False))
