@@ -18,6 +18,7 @@ Equality is that of 64-bit hashes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -212,11 +213,20 @@ def verify(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataF
 
 
 def _counts(own: np.ndarray) -> np.ndarray:
-    """Count vector of a set, with a coordinate or two for each window; coordinates are nested, so pairs of them add up."""
-    bits = min(max(len(own).bit_length(), 4), MOST_BITS)
+    """Count vector of a set, with a coordinate for one or two windows; coordinates are nested, so pairs of them add up."""
+    bits = min(max((len(own) // 2).bit_length(), 4), MOST_BITS)
     return np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint16)
 
 
+def _squeeze(vector: np.ndarray) -> bytes:
+    """Counts, most of them 0 or 1, in a tenth of their bytes."""
+    return zlib.compress(vector.astype(np.uint16).tobytes(), 1)
+
+
+def _loosen(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), np.uint16)
+
+
 def _folded(vector: np.ndarray, width: int) -> np.ndarray:
     return vector.reshape(width, -1).sum(1, dtype=np.int32)
 
@@ -241,7 +251,7 @@ def search_trees(texts: DataFrame, points: DataFrame, size: int, percent: int) -
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
             sets, ends = block_sets(b, size)
-            rows = [_counts(sets[i:j]).tobytes() for i, j in zip(ends, ends[1:], strict=False)]
+            rows = [_squeeze(_counts(sets[i:j])) for i, j in zip(ends, ends[1:], strict=False)]
             yield batch_of(out, b.column("name"), np.diff(ends), rows)
 
     wanted = texts.join(points.select("name").distinct(), "name", "left_semi")
@@ -256,11 +266,11 @@ def search_trees(texts: DataFrame, points: DataFrame, size: int, percent: int) -
 
         def close() -> list:
             names, labels, sizes = (np.array([r[i] for r in held], np.int64) for i in (2, 3, 4))
-            vectors = [np.frombuffer(r[5], np.uint16) for r in held]
+            vectors = [_loosen(r[5]) for r in held]
             width = min(map(len, vectors))
             vectors = np.stack([_folded(v, width) for v in vectors]).astype(np.uint16)
-            return [held[0][0], held[0][1], int(sizes.min()), int(sizes.max()), vectors.max(0).tobytes(),
-                    names.tobytes(), labels.tobytes(), sizes.tobytes(), vectors.tobytes()]
+            return [held[0][0], held[0][1], int(sizes.min()), int(sizes.max()), _squeeze(vectors.max(0)),
+                    names.tobytes(), labels.tobytes(), sizes.tobytes(), _squeeze(vectors)]
 
         for b in batches:
             rows = []
@@ -294,10 +304,10 @@ def search_trees(texts: DataFrame, points: DataFrame, size: int, percent: int) -
                 alone = row["r_node"] is None  # a node with itself
                 left = longs(row, ("names", "labels", "sizes"))
                 right = left if alone else longs(row, ("r_names", "r_labels", "r_sizes"))
-                both = [np.frombuffer(row[c], np.uint16) for c in ("vectors", "vectors" if alone else "r_vectors")]
+                both = [_loosen(row[c]) for c in ("vectors", "vectors" if alone else "r_vectors")]
                 width = min(len(v) // len(n[0]) for v, n in zip(both, (left, right), strict=True))
                 if not alone:
-                    corners = (_folded(np.frombuffer(row[c], np.uint16), width) for c in ("corner", "r_corner"))
+                    corners = (_folded(_loosen(row[c]), width) for c in ("corner", "r_corner"))
                     if np.minimum(*corners).sum() < need(row["low"], row["r_low"]):
                         continue
                 mine, theirs = (_narrow(v.reshape(len(n[0]), -1), width) for v, n in zip(both, (left, right), strict=True))
