@@ -16,7 +16,6 @@ from gridcast.params import DriftParams, DriftWindow
 
 # Which columns are monitored, how the test is chosen and when it fires.
 MONITOR_PATTERNS = ("lag_", "rolling_", "hour", "day_of_week", "is_working")
-LARGE_REFERENCE = 1000
 FEW_VALUES = 5
 DISTANCE_THRESHOLD = 0.1
 P_VALUE_THRESHOLD = 0.05
@@ -170,22 +169,25 @@ def feature_drift(
 ) -> DataFrame:
     """Drift verdict per (group, feature, window): ``drift_detected, stattest, drift_score, threshold``.
 
-    With over 1,000 reference rows: Wasserstein distance in reference standard deviations, or Jensen-Shannon distance
-    for a feature of at most five values; drift from 0.1 up. With fewer: Kolmogorov-Smirnov, chi-square or, for two
-    values, the z-test of proportions; drift for p below 0.05. Windows without rows are left out.
+    ``params.test`` names the test, the same at every size. ``"distance"``: Wasserstein distance in reference standard
+    deviations, or Jensen-Shannon distance for a feature of at most five values; drift from 0.1 up. ``"p_value"``:
+    Kolmogorov-Smirnov, chi-square or, for two values, the z-test of proportions; drift for p below 0.05. Windows
+    without rows are left out.
     """
+    if params.test not in ("distance", "p_value"):
+        raise ValueError(f"unknown drift test {params.test!r}")
     by = list(by)
     stats = drift_statistics(df, ts, params, features, by).where((F.col("n_reference") > 0) & (F.col("n_window") > 0))
-    large, few = F.col("n_reference") > LARGE_REFERENCE, F.col("distinct_values") <= FEW_VALUES
+    distance, few = F.lit(params.test == "distance"), F.col("distinct_values") <= FEW_VALUES
     test = (
-        F.when(large & ~few, "Wasserstein distance (normed)")
-        .when(large, "Jensen-Shannon distance")
+        F.when(distance & ~few, "Wasserstein distance (normed)")
+        .when(distance, "Jensen-Shannon distance")
         .when(~few, "K-S p_value")
         .when(F.col("distinct_values") > 2, "chi-square p_value")
         .otherwise("Z-test p_value")
     )
     kind = (
-        F.when(large, "").when(~few, "ks").when(F.col("distinct_values") > 2, "chi").otherwise("z")
+        F.when(distance, "").when(~few, "ks").when(F.col("distinct_values") > 2, "chi").otherwise("z")
     )
     n0, n1 = F.col("n_reference"), F.col("n_window")
     pooled = (F.col("top_share_reference") * n0 + F.col("top_share_window") * n1) / (n0 + n1)
@@ -199,9 +201,9 @@ def feature_drift(
                             F.col("distinct_values").cast("int"))
     )
     normed = F.col("wasserstein") / F.greatest(F.col("reference_std"), F.lit(MIN_SCALE))
-    score = F.when(large & ~few, normed).when(large, F.col("jensen_shannon")).otherwise(F.col("p_value"))
-    threshold = F.when(large, F.lit(DISTANCE_THRESHOLD)).otherwise(F.lit(P_VALUE_THRESHOLD))
-    detected = F.when(large, score >= DISTANCE_THRESHOLD).otherwise(score < P_VALUE_THRESHOLD)
+    score = F.when(distance & ~few, normed).when(distance, F.col("jensen_shannon")).otherwise(F.col("p_value"))
+    threshold = F.when(distance, F.lit(DISTANCE_THRESHOLD)).otherwise(F.lit(P_VALUE_THRESHOLD))
+    detected = F.when(distance, score >= DISTANCE_THRESHOLD).otherwise(score < P_VALUE_THRESHOLD)
     return scored.select(
         *by, "feature", detected.alias("drift_detected"), "stattest", score.alias("drift_score"),
         threshold.alias("threshold"), "window",

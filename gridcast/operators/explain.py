@@ -9,7 +9,7 @@ from math import factorial
 import numpy as np
 import pandas as pd
 from pyspark.ml.regression import GBTRegressionModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.operators.quantiles import unpivot
@@ -18,7 +18,8 @@ from gridcast.sources.tables import shared_folder
 
 def stable_sample(df: DataFrame, keys: Sequence[str], rows: int, seed: int = 42) -> DataFrame:
     """The ``rows`` rows with the smallest key hashes: the same sample however the data is partitioned."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(rows)
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return df.orderBy(digest, *keys).limit(rows)
 
 
 def _leaf_paths(model: GBTRegressionModel, df: DataFrame) -> list[tuple[float, list[tuple[int, float, float, float]]]]:
@@ -106,7 +107,9 @@ def mean_attribution(values: DataFrame, features: Sequence[str], top: int = 20)
 
 
 def row_attribution(values: DataFrame, keys: Sequence[str], features: Sequence[str], top: int = 15) -> DataFrame:
-    """Per row, the ``top`` features by absolute attribution (a row has one entry per feature, so groups are small)."""
-    long = unpivot(values, keys, features, "feature", "value")
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(F.abs("value")), "feature"))
-    return long.withColumn("rank", rank).where(F.col("rank") <= top)
+    """Per row, the ``top`` features by absolute attribution, nulls last. Each row is ranked by itself, without a shuffle."""
+    size = lambda c: F.coalesce(-F.abs(F.col(c)).cast("double"), F.lit(float("inf")))
+    entries = [F.struct(size(c).alias("size"), F.lit(c).alias("feature"), F.col(c).alias("value")) for c in features]
+    largest = F.slice(F.array_sort(F.array(*entries)), 1, top)
+    out = values.select(*keys, F.posexplode(largest).alias("_at", "_entry"))
+    return out.select(*keys, "_entry.feature", "_entry.value", (F.col("_at") + 1).alias("rank"))

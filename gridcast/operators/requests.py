@@ -98,12 +98,24 @@ def request_features(
     return add_calendar(rows, axis.ts, days).drop("start_ts")
 
 
-def score_requests(bundle, features: DataFrame, nested: bool = False, keys: Sequence[str] = ("request_id",), ts: str = "ts") -> DataFrame:
-    """Forecast points per request, flat, or as one sorted array per request (at most 168 points)."""
-    known = features.fillna(0.0, subset=[c for c in bundle.features if c in features.columns])
-    scored = bundle.score(known)
+def score_requests(
+    bundle, features: DataFrame, nested: bool = False, keys: Sequence[str] = ("request_id",), ts: str = "ts", missing: str = "null"
+) -> DataFrame:
+    """Forecast points per request, flat, or as one sorted array per request (at most 168 points).
+
+    A point that lacks a feature, such as the lags of a series without history, gets a NULL forecast and NULL bounds;
+    with ``missing="zero"`` the compatibility value applies: lacking features count as 0.
+    """
+    if missing not in ("null", "zero"):
+        raise ValueError(f"unknown treatment of missing features {missing!r}")
+    used = [c for c in bundle.features if c in features.columns]
+    complete = F.lit(True)
+    for c in used:
+        complete = complete & F.col(c).isNotNull()
+    scored = bundle.score(features.withColumn("_complete", complete).fillna(0.0, subset=used))
     bounds = [c for c in ("lower_bound", "upper_bound") if c in scored.columns]
-    points = scored.select(*keys, ts, F.col("predicted"), *bounds)
+    known = F.col("_complete") if missing == "null" else F.lit(True)
+    points = scored.select(*keys, ts, *[F.when(known, F.col(c)).alias(c) for c in ("predicted", *bounds)])
     if not nested:
         return points
     return points.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(ts, "predicted", *bounds))).alias("forecast"))

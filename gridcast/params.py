@@ -111,12 +111,12 @@ class DriftWindow:
 
 @dataclass(frozen=True)
 class DriftParams:
-    reference: DriftWindow = DriftWindow("reference", "2019-01-01", "2019-06-30")
-    windows: tuple[DriftWindow, ...] = (
-        DriftWindow("clean_2019_h2", "2019-07-01", "2019-12-31", "Control window: same year, no drift expected."),
-        DriftWindow("covid_lockdown", "2020-03-15", "2020-05-15", "Lockdown window: a real break, drift expected."),
-    )
-    perturb_start: str = "2020-03-15"
-    perturb_end: str = "2020-05-15"
+    """A reference period, the windows compared with it, and the period left out of the monthly error baseline."""
+
+    reference: DriftWindow
+    windows: tuple[DriftWindow, ...]
+    perturb_start: str | None = None
+    perturb_end: str | None = None
     flag_ratio: float = 1.5
     end_inclusive_day: bool = False
+    test: str = "distance"  # "distance" | "p_value"

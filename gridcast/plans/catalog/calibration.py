@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from gridcast.operators.conformal import adaptive_conformal, adaptive_summary, conformal_offset, widen
@@ -236,7 +238,6 @@ _VERDICT = """verdict AS (
 
 
 def verdicts(spark, sf):
-    """The reference has over 1,000 rows from sf0.01 up, so distances apply there; below, p-values would."""
     return feature_drift(drift_rows(spark, sf), "ts", DRIFT, FEATURES)
 
 
@@ -248,6 +249,19 @@ def drift_verdicts(spark, sf):
     return rounded(verdicts(spark, sf), "drift_score")
 
 
+@query(
+    with_(sql_hourly(), sql_distances(),
+          "scaled AS (SELECT *, (sqrt(n0 * n1 / (n0 + n1)) + 0.12 + 0.11 / sqrt(n0 * n1 / (n0 + n1))) * ks AS x FROM dist WHERE feature <> 'is_working')",
+          "tested AS (SELECT feature, win, CASE WHEN x < 0.2 THEN 1.0 ELSE least(greatest(2 * list_sum(list_transform(range(1, 101), "
+          "lambda j: pow(-1, j - 1) * exp(-2 * j * j * x * x))), 0.0), 1.0) END AS p FROM scaled)")
+    + f'SELECT feature, win AS "window", p < 0.05 AS drift_detected, \'K-S p_value\' AS stattest, {sql_r4("p")} AS drift_score, 0.05 AS threshold FROM tested'
+)
+def drift_p_values(spark, sf):
+    """The same windows under the p-value tests, for the two features of many values."""
+    out = feature_drift(drift_rows(spark, sf), "ts", replace(DRIFT, test="p_value"), FEATURES[:2])
+    return rounded(out, "drift_score")
+
+
 @query(
     with_(sql_hourly(), sql_distances(), _VERDICT,
           "sizes AS (SELECT win AS \"window\", count(*) AS n_rows FROM long WHERE feature = 'hour' GROUP BY 1)")

@@ -207,8 +207,9 @@ def hour_mean_forecast(spark, sf):
     return hour_profile_baseline(labelled, HOURLY, "y").select("series_id", "ts", "split", r4("predicted").alias("predicted"))
 
 
-def _purchases(spark, sf):
-    events = table(spark, sf, "events").where(F.col("event_type") == "purchase")
+def _asked(spark, sf):
+    """One question per event: what was known of its user at that moment."""
+    events = table(spark, sf, "events")
     return events.select("event_id", F.col("user_id").cast("string").alias("series_id"), F.col("ts").alias("asked_at"))
 
 
@@ -216,7 +217,7 @@ def _user_hours(spark, sf):
     return hourly(spark, sf, "user_id").withColumnRenamed("ts", "known_at")
 
 
-_ASKED = "asked AS (SELECT event_id, CAST(user_id AS VARCHAR) AS series_id, ts AS asked_at FROM events WHERE event_type = 'purchase')"
+_ASKED = "asked AS (SELECT event_id, CAST(user_id AS VARCHAR) AS series_id, ts AS asked_at FROM events)"
 
 
 def _pit_sql(ttl: str) -> str:
@@ -229,14 +230,14 @@ def _pit_sql(ttl: str) -> str:
 
 @query(_pit_sql("TRUE"))
 def point_in_time_features(spark, sf):
-    """Newest hourly feature of the user at each purchase."""
-    return point_in_time_join(_purchases(spark, sf), _user_hours(spark, sf), ["series_id"], "asked_at", "known_at")
+    """Newest hourly feature of the user at each event."""
+    return point_in_time_join(_asked(spark, sf), _user_hours(spark, sf), ["series_id"], "asked_at", "known_at")
 
 
 @query(_pit_sql("a.asked_at <= p.ts + INTERVAL 90 MINUTE"))
 def point_in_time_features_with_ttl(spark, sf):
     shifted = _user_hours(spark, sf)
-    return point_in_time_join(_purchases(spark, sf), shifted, ["series_id"], "asked_at", "known_at", ttl_seconds=5400)
+    return point_in_time_join(_asked(spark, sf), shifted, ["series_id"], "asked_at", "known_at", ttl_seconds=5400)
 
 
 @query(
@@ -245,16 +246,16 @@ def point_in_time_features_with_ttl(spark, sf):
 )
 def entities_lacking_features(spark, sf):
     late = _user_hours(spark, sf).where(F.col("known_at") >= F.lit("2024-01-30 12:00:00").cast("timestamp_ntz"))
-    return entities_without_features(_purchases(spark, sf), late, ["series_id"])
+    return entities_without_features(_asked(spark, sf), late, ["series_id"])
 
 
 def _requests(spark, sf):
-    """One request per signup event: horizon and arrays follow from the event's number and value."""
-    events = table(spark, sf, "events").where(F.col("event_type") == "signup")
+    """One request per event, for the series of its type: horizon and arrays follow from the event's number and value."""
+    events = table(spark, sf, "events")
     horizon = F.pmod("event_id", F.lit(200)).cast("int")
     values = F.transform(F.sequence(F.lit(0), F.least(horizon, F.lit(30))), lambda i: F.col("value") + i)
     return events.select(
-        F.col("event_id").alias("request_id"), F.lit("view").alias("series_id"),
+        F.col("event_id").alias("request_id"), F.col("event_type").alias("series_id"),
         floor_time(F.col("ts"), HOURLY, "timestamp_ntz").alias("start_ts"), horizon.alias("horizon"),
         F.when(F.pmod("event_id", F.lit(3)) == 0, F.slice(values, 1, F.greatest(horizon, F.lit(1)))).alias("wind"),
         F.lit(None).cast("array<double>").alias("solar"),
@@ -262,8 +263,8 @@ def _requests(spark, sf):
 
 
 _REQUESTS = """requests AS (
-  SELECT event_id AS request_id, 'view' AS series_id, date_trunc('hour', ts) AS start_ts, CAST(event_id % 200 AS INTEGER) AS horizon, value,
-    event_id % 3 = 0 AS has_wind FROM events WHERE event_type = 'signup'),
+  SELECT event_id AS request_id, event_type AS series_id, date_trunc('hour', ts) AS start_ts, CAST(event_id % 200 AS INTEGER) AS horizon, value,
+    event_id % 3 = 0 AS has_wind FROM events),
 checked AS (
   SELECT *, CASE WHEN horizon < 1 OR horizon > 168 THEN 'horizon out of range'
     WHEN has_wind AND least(horizon, 30) + 1 < horizon THEN 'wind length differs from horizon' END AS reject_reason FROM requests),
@@ -299,22 +300,21 @@ def request_features_compat(spark, sf):
 
 
 @query(
-    with_(sql_filled(), f"h AS (SELECT series_id, ts AS known_at, {sql_lags((1, 24))} FROM filled WHERE series_id = 'view' {_WINDOW})", _REQUESTS,
-          "anchor AS (SELECT min(ts) AS a FROM filled WHERE series_id = 'view')",
+    with_(sql_filled(), f"h AS (SELECT series_id, ts AS known_at, {sql_lags()} FROM filled {_WINDOW})", _REQUESTS,
+          "anchor AS (SELECT series_id, min(ts) AS a FROM filled GROUP BY 1)",
           "starts AS (SELECT request_id, start_ts FROM requests)")
-    + "SELECT x.request_id, x.ts, h.lag_1h, h.lag_24h, "
+    + f"SELECT x.request_id, x.ts, {', '.join(f'h.lag_{h}h' for h in LAGS)}, "
     + sql_r4(f"sin({2 * math.pi / 24!r}e0 * (date_diff('hour', a, x.ts) % 24))")
-    + " AS fourier_24h_sin_1 FROM (SELECT s.request_id, s.ts, t.start_ts, a FROM steps s JOIN starts t USING (request_id), anchor) x "
-    "ASOF LEFT JOIN h ON x.start_ts >= h.known_at"
+    + " AS fourier_24h_sin_1 FROM (SELECT s.request_id, series_id, s.ts, t.start_ts, a FROM steps s JOIN starts t USING (request_id) "
+    "LEFT JOIN anchor USING (series_id)) x ASOF LEFT JOIN h ON x.series_id = h.series_id AND x.start_ts >= h.known_at"
 )
 def request_features_with_history(spark, sf):
     """Lags known at the request's start, and a Fourier clock in phase with the series."""
-    params = FeatureParams(target="y", lags=(1, 24), windows=(6,))
     panel = cut(filled(spark, sf))
-    history = history_features(panel, HOURLY, "y", params.lags, params.windows)
+    history = history_features(panel, HOURLY, "y", PARAMS.lags, PARAMS.windows)
     anchors = panel.groupBy("series_id").agg(
         (F.unix_seconds(F.min("ts").cast("timestamp")) / 3600).cast("bigint").alias("start_idx")
     )
     requests = valid_requests(check_requests(_requests(spark, sf)))
-    out = request_features(requests, HOURLY, params, history.drop("y"), anchors)
-    return rounded(out.select("request_id", "ts", "lag_1h", "lag_24h", "fourier_24h_sin_1"), "fourier_24h_sin_1")
+    out = request_features(requests, HOURLY, PARAMS, history.drop("y"), anchors)
+    return rounded(out.select("request_id", "ts", *[f"lag_{h}h" for h in LAGS], "fourier_24h_sin_1"), "fourier_24h_sin_1")

@@ -256,20 +256,21 @@ def mean_absolute_attribution(spark, sf):
 
 
 @query(
-    "SELECT l_orderkey, l_linenumber, feature, value, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber, part "
-    "ORDER BY abs(value) DESC, feature) AS INTEGER) AS rank FROM (SELECT l_orderkey, l_linenumber, l_partkey AS part, "
+    "SELECT l_orderkey, l_linenumber, feature, value, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY row "
+    "ORDER BY abs(value) DESC, feature) AS INTEGER) AS rank FROM (SELECT l_orderkey, l_linenumber, row, "
     "unnest(['l_quantity', 'l_discount', 'l_tax', 'l_extendedprice']) AS feature, "
-    "unnest([l_quantity - 20, l_discount - 20, l_tax - 20, l_extendedprice - 20]) AS value FROM lineitem)) WHERE rank <= 2"
+    "unnest([l_quantity - 20, l_discount - 20, l_tax - 20, l_extendedprice - 20]) AS value FROM (SELECT *, row_number() OVER () AS row FROM lineitem))) WHERE rank <= 2"
 )
 def top_attributions_per_row(spark, sf):
     """The two largest values of each row by absolute size."""
-    values = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", *[(F.col(c) - 20).alias(c) for c in _VALUES]
-    )
-    return row_attribution(values, ["l_orderkey", "l_linenumber", "l_partkey"], _VALUES, top=2).drop("l_partkey")
+    values = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *[(F.col(c) - 20).alias(c) for c in _VALUES])
+    return row_attribution(values, ["l_orderkey", "l_linenumber"], _VALUES, top=2)
 
 
-@query()
+@query(
+    with_(sql_hourly())
+    + "SELECT series_id, ts, y FROM panel ORDER BY md5(concat_ws('|', '42', series_id, CAST(ts AS VARCHAR))), series_id, ts LIMIT 300"
+)
 def seeded_sample(spark, sf):
     """At most 300 rows, chosen by key hash: a sampling operator."""
     return stable_sample(hourly(spark, sf), ["series_id", "ts"], 300)

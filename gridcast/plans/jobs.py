@@ -163,9 +163,10 @@ def inference(
     layout: TableLayout,
     target: str = "load_mw",
     adaptive: AdaptiveParams | None = AdaptiveParams(),
-    drift: DriftParams = DriftParams(),
+    drift: DriftParams | None = None,
 ) -> DataFrame:
-    """Score the test part with fixed and adaptive intervals; then feature drift and monthly error drift."""
+    """Score the test part with fixed and adaptive intervals; then, if periods are given, feature drift and monthly error
+    drift."""
     test = labelled.where(F.col("split") == "test")
     scored = bundle.score(test)
     kept = [*axis.keys, axis.ts, F.col(target).alias("actual"), "predicted"]
@@ -176,6 +177,8 @@ def inference(
             out.withColumn("_q0", F.lit(bundle.q)), axis.keys, axis.ts, adaptive, "actual", initial_q="_q0"
         ).drop("_q0")
     predictions = layout.save(error_columns(out, "actual", "predicted"), "predictions")
+    if drift is None:
+        return predictions
 
     watched = monitored_columns(labelled.drop("split"), target)
     results = cut(feature_drift(labelled, axis.ts, drift, watched))
@@ -203,7 +206,7 @@ def full(
     features: FeatureParams = FeatureParams(),
     split: SplitParams = SplitParams(),
     train: TrainParams = TrainParams(),
-    drift: DriftParams = DriftParams(),
+    drift: DriftParams | None = None,
     checks: Sequence[Check] | None = None,
     forest_trees: int = 20,
 ) -> TrainResult:

@@ -173,6 +173,10 @@ def test_score_requests(spark, bundle):
     features = request_features(asked, Axis(), FEATURES)
     flat = score_requests(bundle, features)
     assert flat.count() == 27 and flat.where("predicted is null or lower_bound > upper_bound").count() == 0
+    gap = features.withColumn("lag_1h", F.when(F.col("request_id") == "r1", F.col("lag_1h")))  # r2: no history
+    found = score_requests(bundle, gap).groupBy("request_id").agg(F.count("predicted"), F.count("lower_bound")).collect()
+    assert {tuple(r) for r in found} == {("r1", 24, 24), ("r2", 0, 0)}
+    assert score_requests(bundle, gap, missing="zero").where("predicted is null").isEmpty()
     nested = {r["request_id"]: r["forecast"] for r in score_requests(bundle, features, nested=True).collect()}
     assert len(nested["r1"]) == 24 and [p["ts"] for p in nested["r2"]] == sorted(p["ts"] for p in nested["r2"])
 

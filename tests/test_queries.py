@@ -12,8 +12,6 @@ from check_oracles import compare, connect
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-# Below 1,000 reference rows these use p-values; their twins state the distance form, checked at sf0.01.
-LARGE_ONLY = {"drift_verdicts", "drift_report", "drift_scores_by_window", "drifted_features"}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +19,7 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - LARGE_ONLY))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, db, name):
     problem = compare(entry.queries()[name](spark, SF).toPandas(), db.sql(entry.oracle_sql()[name]).df())
     assert not problem, problem

@@ -2,6 +2,7 @@
 
 import json
 import math
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -244,9 +245,10 @@ def test_drift_distances(spark):
     assert "lag_1h" in summary.loc["moved", "drifted_features"] and summary.loc["moved", "note"] == "x"
 
 
-def test_small_reference_uses_p_values(spark):
+def test_p_value_tests(spark):
     df, parts = drift_frame(spark, freq="4h")
-    out = feature_drift(df, "ts", WINDOWS, ["lag_1h", "hour", "is_working_day"]).toPandas().set_index(["feature", "window"])
+    assert (feature_drift(df, "ts", WINDOWS, ["lag_1h"]).toPandas()["threshold"] == 0.1).all()  # the same test at every size
+    out = feature_drift(df, "ts", replace(WINDOWS, test="p_value"), ["lag_1h", "hour", "is_working_day"]).toPandas().set_index(["feature", "window"])
     assert out.loc[("lag_1h", "moved"), "stattest"] == "K-S p_value" and out.loc[("lag_1h", "moved"), "drift_score"] < 1e-6
     assert out.loc[("hour", "same"), "stattest"] == "chi-square p_value"
     assert out.loc[("is_working_day", "same"), "stattest"] == "Z-test p_value"
