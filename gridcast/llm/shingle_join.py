@@ -256,8 +256,11 @@ def search_trees(texts: DataFrame, points: DataFrame, size: int, percent: int) -
 
     wanted = texts.join(points.select("name").distinct(), "name", "left_semi")
     vectors = wanted.select("name", "text").mapInArrow(count, "name long, n long, vector binary")
-    rank = F.row_number().over(Window.partitionBy("root").orderBy("label", "n", "name"))
+    in_root = Window.partitionBy("root")
+    rank = F.row_number().over(in_root.orderBy("label", "n", "name"))
     leaves = points.join(vectors, "name").withColumn("node", F.floor((rank - 1) / NODE).cast("long"))
+    leaves = leaves.withColumn("points", F.count("*").over(in_root))
+    leaf = ["root", "node", "name", "label", "n", "vector"]
     kinds = [("root", pa.int64()), ("node", pa.int64()), ("low", pa.int64()), ("high", pa.int64())]
     node = pa.schema([*kinds, *((c, pa.binary()) for c in ("corner", "names", "labels", "sizes", "vectors"))])
 
@@ -285,8 +288,8 @@ def search_trees(texts: DataFrame, points: DataFrame, size: int, percent: int) -
             yield batch_of(node, *[[x] for x in close()])
 
     schema = "root long, node long, low long, high long, corner binary, names binary, labels binary, sizes binary, vectors binary"
-    ordered = leaves.select("root", "node", "name", "label", "n", "vector").repartition("root", "node")
-    nodes = cut(ordered.sortWithinPartitions("root", "node").mapInArrow(build, schema))
+    tall = leaves.filter(F.col("points") > NODE).select(leaf).repartition("root", "node")
+    nodes = cut(tall.sortWithinPartitions("root", "node").mapInArrow(build, schema))
     right = nodes.select(*[F.col(c).alias(f"r_{c}") for c in nodes.columns])
     met = nodes.join(right, (F.col("root") == F.col("r_root")) & (F.col("node") < F.col("r_node"))
                      & (F.col("r_low") * percent <= F.col("high") * 100))
@@ -301,7 +304,7 @@ def search_trees(texts: DataFrame, points: DataFrame, size: int, percent: int) -
         for b in batches:
             found = [[], []]
             for row in b.to_pylist():
-                alone = row["r_node"] is None  # a node with itself
+                alone = row.get("r_node") is None  # a node with itself
                 left = longs(row, ("names", "labels", "sizes"))
                 right = left if alone else longs(row, ("r_names", "r_labels", "r_sizes"))
                 both = [_loosen(row[c]) for c in ("vectors", "vectors" if alone else "r_vectors")]
@@ -323,7 +326,10 @@ def search_trees(texts: DataFrame, points: DataFrame, size: int, percent: int) -
                 seen.clear()
             yield batch_of(pair, *found)
 
-    return met.unionByName(none).mapInArrow(search, "a long, b long").distinct()
+    # Most trees have a single node: they are searched where their points have met, and never written.
+    low = leaves.filter(F.col("points") <= NODE).select(leaf).sortWithinPartitions("root", "node")
+    single = low.mapInArrow(lambda batches: search(build(batches)), "a long, b long")
+    return met.unionByName(none).mapInArrow(search, "a long, b long").unionByName(single).distinct()
 
 
 def _own_texts(named: DataFrame, size: int) -> DataFrame:
