@@ -1,16 +1,34 @@
 """Column expressions that map timestamps to integer grid steps and back.
 
-Works for TIMESTAMP and TIMESTAMP_NTZ alike; the session time zone is taken to be UTC.
+Works for TIMESTAMP and TIMESTAMP_NTZ alike; the session time zone must be UTC (`require_utc`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import datetime
+from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.params import Axis
 
 
+# Usual names of UTC; not all of them are keys of the time zone database.
+UTC_TEXTS = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00", "UTC+00:00", "GMT+00:00")
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Raise unless the session's time zone is UTC: any other one shifts parsed text, grids and calendar columns."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:  # London, for one, agrees with UTC in winter only
+        utc = zone in UTC_TEXTS or not any(datetime(2019, m, 1, tzinfo=ZoneInfo(zone)).utcoffset() for m in (1, 7))
+    except (ZoneInfoNotFoundError, ValueError):  # an offset such as +01:00
+        utc = False
+    if not utc:
+        raise ValueError(f"the session time zone is {zone!r}; set spark.sql.session.timeZone to UTC")
+
+
 def step_index(ts: Column, axis: Axis) -> Column:
     """Number of whole grid steps between the epoch and ``ts``."""
     seconds = F.unix_seconds(ts.cast("timestamp")) - F.lit(axis.phase)

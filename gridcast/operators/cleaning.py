@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.functions.timegrid import number, utc_time
+from gridcast.functions.timegrid import number, require_utc, utc_time
 from gridcast.params import Axis, CleanParams
 
 # Raw column names of the public hourly load data set, and the names used after cleaning.
@@ -24,6 +24,7 @@ def normalise_columns(df: DataFrame, names: Mapping[str, str] = RAW_COLUMNS, ts:
 
     ``keep`` passes other columns, such as a series key, through unchanged.
     """
+    require_utc(df.sparkSession)
     missing = [c for c in (*names, *keep) if c not in df.columns]
     if missing:
         raise ValueError(f"raw data lacks the columns {missing}")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.functions.timegrid import is_on_grid, step_index, step_time, type_of
+from gridcast.functions.timegrid import is_on_grid, require_utc, step_index, step_time, type_of
 from gridcast.operators.buckets import BUCKET, IDX, bucket_keys, bucket_of, drop_helpers, with_index
 from gridcast.params import Axis
 
@@ -42,6 +42,7 @@ def make_grid(
     ``bounds`` (keys, ``start_idx``, ``end_idx``) spares a second pass over ``df`` where they are known more cheaply
     (`event_bounds`).
     """
+    require_utc(df.sparkSession)
     ts_type = type_of(df, axis.ts)
     columns = list(columns or [c for c in df.columns if c not in (*axis.keys, axis.ts, IDX, BUCKET)])
     keys = bucket_keys(axis)

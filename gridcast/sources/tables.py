@@ -63,14 +63,15 @@ def write_panel(df: DataFrame, path: str, key: str = "series_id", ts: str = "ts"
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Small result tables: one CSV with header, one-line JSON, or text."""
-    writer = df.coalesce(1).write.mode("overwrite")
+    """Result tables: CSV files with headers, or one file of JSON or text lines.
+
+    CSV tables may grow with the series, so they are written by as many tasks as made them. JSON and text reports hold a
+    row or a few; they are gathered after the work is done, which stays parallel.
+    """
     if fmt == "csv":
-        writer.option("header", True).csv(path)
-    elif fmt == "json":
-        writer.json(path)
-    elif fmt == "text":
-        writer.text(path)
+        df.write.mode("overwrite").option("header", True).csv(path)
+    elif fmt in ("json", "text"):
+        getattr(df.repartition(1).write.mode("overwrite"), fmt)(path)
     else:
         raise ValueError(f"unknown report format {fmt!r}")
 

@@ -97,10 +97,16 @@ def adaptive_conformal_stream(
     )
 
 
+# No folder yet, or one in which no snapshot was finished.
+NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def _earlier_snapshot(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     try:
         stored = spark.read.parquet(path).where(F.col("batch") < batch_id)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in NO_TABLE:
+            raise
         return None
     newest = stored.agg(F.max("batch").alias("b")).first()["b"]  # one number
     return None if newest is None else stored.where(F.col("batch") == newest).drop("batch")

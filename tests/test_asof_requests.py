@@ -87,11 +87,11 @@ def test_contract(spark):
         enforce_contract(published.withColumn("other", F.lit(1)), contract_v1())
 
 
-def test_tables(spark, tmp_path, opsd_like):
+def test_tables(spark, tmp_path, raw_readings):
     csv = tmp_path / "raw.csv"
-    opsd_like.assign(AT_load=1.0).to_csv(csv, index=False)
+    raw_readings.assign(AT_load=1.0).to_csv(csv, index=False)
     raw = read_raw(spark, str(csv))
-    assert raw.columns == list(opsd_like.columns) and raw.count() == len(opsd_like)
+    assert raw.columns == list(raw_readings.columns) and raw.count() == len(raw_readings)
     plan = raw._jdf.queryExecution().toString()
     assert "AT_load" not in plan.split("ReadSchema")[-1]
     df = spark.createDataFrame(pd.DataFrame({"series_id": ["a", "b"] * 48, "ts": hourly("2020-01-30", 96), "y": np.arange(96.0)}))

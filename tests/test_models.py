@@ -270,8 +270,8 @@ def test_error_monitor_and_gate(spark, tmp_path):
 # ---- the whole chain ------------------------------------------------------------------------------------------------
 
 
-def test_full_job(spark, tmp_path, opsd_like):
-    raw = spark.createDataFrame(opsd_like.astype(str))
+def test_full_job(spark, tmp_path, raw_readings):
+    raw = spark.createDataFrame(raw_readings.astype(str))
     layout = TableLayout(str(tmp_path / "tables"))
     checks = [Check("exists", "utc_timestamp"), Check("unique", "utc_timestamp"), Check("row_count", limit=1000)]
     features = FeatureParams(lags=(1, 24, 168), windows=(6, 24), fourier_order=2)
@@ -283,8 +283,8 @@ def test_full_job(spark, tmp_path, opsd_like):
     )
     result = full(raw, Axis(), layout, CleanParams(), features, SPLIT, train, drift, checks, forest_trees=5)
     cleaned, matrix = layout.read(spark, "clean"), layout.read(spark, "features")
-    assert cleaned.count() == len(opsd_like)
-    assert matrix.dropna().count() == matrix.count() == len(opsd_like) - 168
+    assert cleaned.count() == len(raw_readings)
+    assert matrix.dropna().count() == matrix.count() == len(raw_readings) - 168
     row = matrix.where("ts = timestamp '2019-01-20 05:00:00'").first()
     assert row["lag_24h"] == cleaned.where("ts = timestamp '2019-01-19 05:00:00'").first()["load_mw"]
     meta = layout.read(spark, "split_metadata").first()
