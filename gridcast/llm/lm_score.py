@@ -1,17 +1,19 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Symbols are lower-cased words and an end mark for each text. The root is the word distribution of the training texts
-with one added to each count and to that of the unknown word. A context of up to three words is a candidate if it makes
-up at least ``MIN_SHARE`` of the training words, as are its next words by the same share; so tree and tables have at most
-1 / MIN_SHARE entries a level, whatever the size of the corpus, and can be sent to every task. Counts are taken over all
-training texts. A candidate is kept if its next words diverge enough from those of its longest kept suffix: the gain in
-log likelihood must exceed ``GAIN`` for each of its parameters.
+with one added to each count and to that of the unknown word. A context of up to three words is a candidate if the
+training texts have it ``LEAST`` times or more, as are its next words; the same count holds at every size, so the tree
+grows with the corpus. A candidate is kept if its next words diverge enough from those of its longest kept suffix: the
+gain in log likelihood must exceed ``GAIN`` for each of its parameters.
 
 A state's probabilities are its counts smoothed by those of its parent, ``WEIGHT`` of them; what its listed words leave
 goes to all other words in proportion to the parent. Each word is scored by the longest kept suffix of what precedes it.
 
-Frequent words, at least ``WORD_SHARE`` of all, are scored in the pass over the texts. The others are joined with the
-table of all words; none of them is in a context, and none occurs more often than that share.
+The tree is a table by the hash of the words. A kept state's factor for unlisted words is due wherever the state occurs,
+and a listed word adds what its probability differs from the factor and the parent's probability; so each run of one to
+four words has one weight, and a text's score is the sum over its runs. The most frequent runs, at least ``HOT_SHARE`` of
+all words, are scored in the pass over the texts. The others are joined with the table, and none occurs more often than
+that share. Filters of fixed size keep runs that can't be in the table out of the exchanges; they don't change results.
 """
 
 from __future__ import annotations
@@ -25,13 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.text import batch_of, blocks, bounded_batches, flat, mix, span_hashes, word_spans
+from gridcast.llm.text import batch_of, blocks, bounded_batches, flat, mix, span_hashes, window_hashes, word_spans
 from gridcast.sources.tables import cut
 
-MIN_SHARE, WORD_SHARE, GAIN, WEIGHT = 1e-6, 2e-7, 4.0, 1.0
+LEAST, HOT_SHARE, GAIN, WEIGHT = 2, 1e-6, 4.0, 1.0
 HELD = 2_000_000
+FILTER_BITS = 22  # of the number of 64-bit words
 END = np.uint64(0x1D8E4E27C47D124F)
-S = 1 << 24  # more than 1 / WORD_SHARE words, and than 1 / MIN_SHARE entries of any level
+S = 1 << 24  # more than the words, and than the entries of any level, of a ``Tree``
 
 
 def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -45,36 +48,48 @@ def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return out, before + np.arange(n + 1)
 
 
-def count_keys(docs: DataFrame, keys: Callable, parts: int) -> DataFrame:
-    """(key, n, n_train) summed over all texts. ``keys`` gives a block's keys and, for each, whether it's of a training text.
+def runs(found: np.ndarray, begin: np.ndarray, longest: int) -> list:
+    """For each length up to ``longest``, the hash of the run of tokens from each place, and whether it ends in its text."""
+    out = [(found, np.ones(len(found), bool))]
+    for k in range(2, longest + 1):
+        hashes, first, _ = window_hashes(found, begin, k)
+        key, whole = np.zeros(len(found), np.uint64), np.zeros(len(found), bool)
+        key[first], whole[first] = hashes, True
+        out.append((key, whole))
+    return out
+
+
+def count_keys(docs: DataFrame, keys: Callable, parts: int, *more: str) -> DataFrame:
+    """(key, n, n_train, *more) summed over all texts. ``keys`` gives a block's keys, for each whether it's of a training
+    text, and the values ``more`` that belong to the key.
 
     Counts are summed in each task before they're sent, packed in one row for each part of the keys, so a very common
     key costs one entry for each ``HELD`` entries of a task.
     """
-    schema = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("keys", "n", "n_train"))])
+    names = ["keys", "n", "n_train", *more]
+    schema = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in names)])
 
     def merged(held: list) -> list:
-        key, n, train = (np.concatenate(c) for c in zip(*held, strict=True))
-        key, at = np.unique(key, return_inverse=True)
-        return [(key, *(np.bincount(at, x, len(key)).astype(np.int64) for x in (n, train)))]
+        key, n, train, *rest = (np.concatenate(c) for c in zip(*held, strict=True))
+        key, first, at = np.unique(key, return_index=True, return_inverse=True)
+        return [(key, *(np.bincount(at, x, len(key)).astype(np.int64) for x in (n, train)), *(x[first] for x in rest))]
 
     def send(held: list) -> pa.RecordBatch:
-        key, n, train = merged(held)[0]
+        key, *rest = merged(held)[0]
         part = ((mix(key) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         order = np.argsort(part, kind="stable")
         edges = np.searchsorted(part[order], np.arange(parts + 1))
         some = np.flatnonzero(np.diff(edges))
-        cols = [[x[order[edges[p] : edges[p + 1]]].tobytes() for p in some] for x in (key, n, train)]
+        cols = [[x[order[edges[p] : edges[p + 1]]].tobytes() for p in some] for x in (key, *rest)]
         return batch_of(schema, some.astype(np.int32), *cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         for b in blocks(batches):
-            key, train = keys(b)
+            key, train, *rest = keys(b)
             if not len(key):
                 continue
-            key, at = np.unique(key, return_inverse=True)
-            held.append((key, np.bincount(at, minlength=len(key)), np.bincount(at, train, len(key))))
+            held += merged([(key, np.ones(len(key), np.int64), train, *rest)])
             if sum(len(x[0]) for x in held) > HELD:
                 held = merged(held)
                 if len(held[0][0]) > HELD // 2:
@@ -84,12 +99,26 @@ def count_keys(docs: DataFrame, keys: Callable, parts: int) -> DataFrame:
             yield send(held)
 
     def add(group: pa.Table) -> pa.Table:
-        read = lambda c, kind: np.frombuffer(b"".join(group.column(c).to_pylist()), kind)
-        key, n, train = merged([(read("keys", np.uint64), read("n", np.int64), read("n_train", np.int64))])[0]
-        return pa.table({"key": key.view(np.int64), "n": n, "n_train": train})
+        kinds = [np.uint64, np.int64, np.int64, *[np.uint64] * len(more)]
+        read = [np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in zip(names, kinds, strict=True)]
+        return pa.table(dict(zip(["key", *names[1:]], (x.view(np.int64) for x in merged([tuple(read)])[0]), strict=True)))
+
+    packed = docs.select("text", "train").mapInArrow(run, "part int, " + ", ".join(f"{c} binary" for c in names))
+    return packed.groupBy("part").applyInArrow(add, ", ".join(f"{c} long" for c in ["key", *names[1:]]))
+
 
-    packed = docs.select("text", "train").mapInArrow(run, "part int, keys binary, n binary, n_train binary")
-    return packed.groupBy("part").applyInArrow(add, "key long, n long, n_train long")
+def key_filter(table: DataFrame) -> np.ndarray:
+    """One bit for each value that the first bits of a key can have, set if the table has such a key."""
+    at = F.shiftrightunsigned("key", 64 - FILTER_BITS).cast("int").alias("at")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {58 - FILTER_BITS}) & 63 as int))")
+    got = table.groupBy(at).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << FILTER_BITS, np.uint64)
+    out[got.column("at").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return (bits[keys >> np.uint64(64 - FILTER_BITS)] >> ((keys >> np.uint64(58 - FILTER_BITS)) & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def _place(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -102,7 +131,9 @@ def _place(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Tree:
-    """Sorted keys of frequent words, pairs, triples and quadruples, and what the kept states say about them.
+    """The suffix tree of counts that fit one process, the plain form of what ``tree_weights`` makes as tables.
+
+    Sorted keys of frequent words, pairs, triples and quadruples, and what the kept states say about them.
 
     ``keep[k]`` and ``rest[k]`` are by the state's place in level k: whether it's kept, and the log10 factor for words it
     doesn't list. ``log[k]`` is the log10 probability of each entry of level k + 1 after the state of its first words.
@@ -190,6 +221,29 @@ def grow(words: np.ndarray, counts: np.ndarray, n: int, v: int, keys: list, size
     return tree
 
 
+def tree_weights(lower: DataFrame, level: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One level of the tree: (key, n, n_train, p, w) of its runs and (key, w) of the kept states.
+
+    ``lower`` has key, n_train and p (probability of the last word) of the runs shorter by one, ``level`` key, n, n_train,
+    and the keys state (without the last word) and suffix (without the first).
+    """
+    c = F.col("n_train")
+    under = lower.select(F.col("key").alias("suffix"), F.col("p").alias("lower"))
+    above = lower.select(F.col("key").alias("state"), F.col("n_train").alias("total"))
+    rows = level.join(under, "suffix").join(above, "state").withColumn("own", (c + WEIGHT * F.col("lower")) / (F.col("total") + WEIGHT))
+    sums = rows.groupBy("state").agg(
+        F.sum("own").alias("mass"), F.sum("lower").alias("under"), F.greatest(F.first("total") - F.sum(c), F.lit(0)).alias("other"),
+        F.sum(c * F.log(F.col("own") / F.col("lower"))).alias("gain"), F.count("*").alias("size"),
+    )
+    rest = F.greatest(1 - F.col("mass"), F.lit(1e-12)) / F.greatest(1 - F.col("under"), F.lit(1e-12))
+    kept = sums.withColumn("rest", rest).filter(F.col("gain") + F.col("other") * F.log("rest") > GAIN * (1 + F.col("size")))
+    kept = cut(kept.select("state", F.log10("rest").alias("rest")))
+    rows, keep = rows.join(kept, "state", "left"), F.col("rest").isNotNull()
+    weight = F.when(keep, F.log10("own") - F.log10("lower") - F.col("rest")).otherwise(0.0)
+    rows = cut(rows.select("key", "n", "n_train", F.when(keep, F.col("own")).otherwise(F.col("lower")).alias("p"), weight.alias("w")))
+    return rows, kept.select(F.col("state").alias("key"), F.col("rest").alias("w"))
+
+
 def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row: key, train, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -209,90 +263,81 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     vocabulary = cut(count_keys(docs, words_of, parts))
     sums = vocabulary.agg(F.sum("n").alias("all"), F.sum("n_train").alias("n"), F.count(F.when(F.col("n_train") > 0, 1)).alias("v")).first()
     everything, n, v = (sums[c] or 0 for c in ("all", "n", "v"))
-    often = vocabulary.filter(F.col("n") >= max(2.0, WORD_SHARE * everything)).toArrow()
-    words = often.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(words)
-    words, counts = words[order], often.column("n_train").to_numpy()[order]
-    least = max(2.0, MIN_SHARE * n)
-    common = counts >= least  # words that may be in a context
-    empty = np.zeros(0, np.int64)
-    frame = Tree(words, None, 0.0, [empty, empty, empty], [], [], [])
-    train_docs = docs.filter("train")
-
-    def counted(level: Callable) -> tuple[np.ndarray, np.ndarray]:
-        got = count_keys(train_docs, level, parts).filter(F.col("n") >= least).toArrow()
-        key, size = got.column("key").to_numpy(), got.column("n").to_numpy()
-        order = np.argsort(key)
-        return key[order], size[order]
-
-    sent = spark.sparkContext.broadcast((frame, common))
-
-    def pairs_of(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        tree, common = sent.value
-        found, begin = tokens(b)
-        ids = tree.ids(found)
-        ok = ids >= 0
-        ok[ok] = common[ids[ok]]
-        ok[1:] &= ok[:-1]
-        ok[begin[:-1]] = False
-        at = np.flatnonzero(ok)
-        return (ids[at - 1] * S + ids[at]).astype(np.uint64), np.ones(len(at))
-
-    pairs, pair_n = counted(pairs_of)
-    longer = spark.sparkContext.broadcast(Tree(words, None, 0.0, [pairs, empty, empty], [], [], []))
-    level = 1 << 62
-
-    def longer_of(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        tree = longer.value
-        found, begin = tokens(b)
-        ids = tree.ids(found)
-        pair = tree.places(ids, begin, 2)[1]
-        back = lambda k: np.concatenate([np.full(min(k, len(pair)), -1), pair[: max(0, len(pair) - k)]])
-        three = (pair >= 0) & (back(1) >= 0)
-        four = three & (back(2) >= 0)
-        key = [back(1)[three] * S + ids[three], level + back(2)[four] * S + pair[four]]
-        return np.concatenate(key).astype(np.uint64), np.ones(len(key[0]) + len(key[1]))
-
-    both, both_n = counted(longer_of)
-    three = both < level
-    tree = grow(words, counts, n, v, [pairs, both[three], both[~three] - level], [pair_n, both_n[three], both_n[~three]])
-    model = spark.sparkContext.broadcast((tree, counts))
+    enough = F.col("n_train") >= LEAST
+    root = (F.col("n_train") + 1) / F.lit(float(n + v + 1))
+    lower = vocabulary.filter(enough).withColumn("p", root)
+    weights = vocabulary.select("key", "n", F.col("n_train").alias("c"), F.lit(0.0).alias("w"))
+    for k in (2, 3, 4):
+        shorter = spark.sparkContext.broadcast(key_filter(lower))
+
+        def level_of(b: pa.RecordBatch, k=k, shorter=shorter) -> tuple:
+            found, begin = tokens(b)
+            *_, (part, _), (run, whole) = runs(found, begin, k)
+            at = np.flatnonzero(whole)
+            at = at[may_have(shorter.value, part[at]) & may_have(shorter.value, part[at + 1])]
+            learn = b.column("train").to_numpy(zero_copy_only=False).astype(float)
+            return run[at], learn[np.searchsorted(begin, at, "right") - 1], part[at], part[at + 1]
+
+        level = cut(count_keys(docs, level_of, parts, "state", "suffix").filter(enough))
+        lower, states = tree_weights(lower, level)
+        none = F.lit(None).cast("long")
+        weights = weights.unionByName(lower.select("key", "n", none.alias("c"), "w"))
+        weights = weights.unionByName(states.select("key", none.alias("n"), none.alias("c"), "w"))
+    table = weights.groupBy("key").agg(F.max("n").alias("n"), F.max("c").alias("c"), F.sum("w").alias("w"))
+    log = F.when(F.col("c").isNotNull(), F.log10((F.col("c") + 1) / F.lit(float(n + v + 1))))
+    table = cut(table.filter("c is not null or w != 0").withColumn("root", log))
+    hot = F.col("n") >= max(2.0, HOT_SHARE * everything)
+    often = table.filter(hot).orderBy("key").toArrow()
+    columns = [often.column(c).to_numpy() for c in ("key", "w")]
+    order = np.argsort(columns[0].view(np.uint64))
+    plain = lambda c, kind: often.column(c).fill_null(0).to_numpy().astype(kind)[order]
+    others = table.filter(~hot)
+    model = spark.sparkContext.broadcast((columns[0].view(np.uint64)[order], columns[1][order], plain("root", float), plain("c", np.int64) > 0,
+                                          key_filter(others.filter("c is null"))))
     names = ["uid", "key", "train", "n_tokens", "known", "base", "score", "rare", "times"]
     kinds = ["long", docs.schema["key"].dataType.simpleString(), "boolean", "long", "long", "double", "double", "array<long>", "array<int>"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, counts = model.value
+        hot, weight, root, seen, bits = model.value
         uid = TaskContext.get().partitionId() << 33
         for b in blocks(batches):
             found, begin = tokens(b)
-            logs, ids = tree.scores(found, begin)
-            known = ids >= 0
-            root = np.zeros(len(ids))
-            root[known] = tree.root[ids[known]]
-            seen = np.zeros(len(ids), np.int64)
-            seen[known] = counts[ids[known]] > 0
-            sums = [np.add.reduceat(x, begin[:-1]) for x in (seen, root, logs)]
-            rare, times, bound = [], [], np.concatenate([[0], np.cumsum(~known)])[begin]
-            other = found[~known].view(np.int64)
-            for i in range(b.num_rows):
-                one, n = np.unique(other[bound[i] : bound[i + 1]], return_counts=True)
-                rare.append(one)
-                times.append(n.astype(np.int32))
-            columns = [pa.array(np.arange(uid, uid + b.num_rows)), b.column("key"), b.column("train"),
-                       pa.array(np.diff(begin)), *map(pa.array, sums), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))]
-            uid += b.num_rows
+            rows, size = np.repeat(np.arange(b.num_rows), np.diff(begin)), b.num_rows
+            known, base, score, open_ = np.zeros(size, np.int64), np.zeros(size), np.zeros(size), []
+            for k, (part, whole) in enumerate(runs(found, begin, 4)):
+                part, row = part[whole], rows[whole]
+                at = _place(hot, part)
+                here = at >= 0
+                score += np.bincount(row[here], weight[at[here]], size)
+                if k == 0:
+                    base += np.bincount(row[here], root[at[here]], size)
+                    known += np.bincount(row[here], seen[at[here]], size).astype(np.int64)
+                other = ~here if k == 0 else ~here & may_have(bits, part)
+                open_.append((row[other], part[other]))
+            row, part = (np.concatenate(x) for x in zip(*open_, strict=True))
+            order = np.lexsort((part, row))
+            row, part = row[order], part[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
+            first = np.flatnonzero(new)
+            times = np.diff(np.append(first, len(row))).astype(np.int32)
+            edges = np.searchsorted(row[first], np.arange(size + 1)).astype(np.int32)
+            listed = lambda x: pa.ListArray.from_arrays(pa.array(edges), pa.array(x))  # noqa: E731, B023
+            columns = [pa.array(np.arange(uid, uid + size)), b.column("key"), b.column("train"), pa.array(np.diff(begin)),
+                       *map(pa.array, (known, base, base + score)), listed(part[first].view(np.int64)), listed(times)]
+            uid += size
             yield pa.RecordBatch.from_arrays(columns, names)
 
     scored = cut(docs.mapInArrow(run, ", ".join(f"{a} {b}" for a, b in zip(names, kinds, strict=True))))
-    rare = scored.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("uid", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
-    table = vocabulary.select(F.col("key").alias("word"), F.col("n_train").alias("c"))
-    log = F.log10((F.col("c") + 1) / F.lit(float(n + v + 1)))
-    joined = rare.join(table, "word")
+    rare = scored.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("uid", F.col("r.rare").alias("key"), F.col("r.times").alias("times"))
+    joined = rare.join(others.select("key", "c", "w", "root"), "key")
     more = joined.groupBy("uid").agg(
-        F.sum(F.col("times") * log).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more_known")
-    )
+        F.sum(F.col("times") * F.coalesce("root", F.lit(0.0))).alias("more"), F.sum(F.col("times") * F.col("w")).alias("more_tree"),
+        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more_known"),
+    )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return scored.join(more, "uid", "left").select(
         F.col("key").alias(key), "train", "n_tokens", (F.col("known") + zero("more_known")).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + zero("more")).alias("base_score"), (F.col("score") + zero("more")).alias("score"),
+        F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + zero("more")).alias("base_score"),
+        (F.col("score") + zero("more") + zero("more_tree")).alias("score"),
     )

@@ -75,6 +75,49 @@ def test_tree_is_a_distribution():
         assert math.isclose((10.0**logs).sum(), 1, rel_tol=1e-6)
 
 
+def test_lm_tables_score_like_the_tree(odd, monkeypatch):
+    """The weights of runs add up to the scores of the plain tree, whether they're sent to the tasks or joined."""
+    train = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    bodies = {i: [*words(t), None] for i, t in texts(odd)}
+    learnt = [ws for i, ws in bodies.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    count = Counter(w for ws in learnt for w in ws)
+    n, v = sum(count.values()), len(count)
+    number = {w: i for i, w in enumerate(w for w in count if count[w] > 1)}
+    table, places = np.arange(len(number), dtype=np.uint64), [dict(zip([(w,) for w in number], range(len(number)), strict=True))]
+    keys, sizes = [], []
+    for k in (2, 3, 4):
+        got = Counter(r for ws in learnt for r in zip(*[ws[j:] for j in range(k)], strict=False))
+        got = {r: c for r, c in got.items() if c > 1}
+        left = {r: places[1 if k == 4 else k - 2][r[:2] if k == 4 else r[:-1]] for r in got}
+        right = {r: places[1][r[2:]] if k == 4 else number[r[-1]] for r in got}
+        order = sorted(got, key=lambda r: (left[r], right[r]))
+        places.append({r: i for i, r in enumerate(order)})
+        keys.append(np.array([left[r] * lm_score.S + right[r] for r in order], np.int64))
+        sizes.append(np.array([got[r] for r in order]))
+    monkeypatch.setattr(lm_score, "END", np.uint64(number[None]))
+    tree = lm_score.grow(table, np.array([count[w] for w in number]), n, v, keys, sizes)
+    monkeypatch.undo()
+    assert tree.keep[0].any() and tree.keep[1].any()
+    want = {}
+    for i, ws in bodies.items():
+        logs, found = tree.scores(np.array([number.get(w, 1 << 40) for w in ws], np.uint64), np.array([0, len(ws)]))
+        rare = [math.log10((count[w] + 1) / (n + v + 1)) for w, at in zip(ws, found, strict=True) if at < 0]
+        want[i] = logs.sum() + sum(rare)
+    for share in (lm_score.HOT_SHARE, 1.0):
+        monkeypatch.setattr(lm_score, "HOT_SHARE", share)
+        assert {r.doc_id: r.score for r in lm_score.score_texts(odd, train).collect()} == pytest.approx(want, rel=1e-7)
+
+
+def test_lm_contexts_do_not_depend_on_the_size(spark):
+    """A passage that occurs three times is learnt from, however many other words there are."""
+    passage = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, passage, True) for i in range(3)] + [(3, passage, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    filler = spark.range(10, 110).select(F.col("id").alias("doc_id"), F.expr("repeat('x ', 50000)").alias("text"), F.lit(True).alias("learn"))
+    got = lm_score.score_texts(docs.unionByName(filler), F.col("learn")).filter("doc_id = 3").first()
+    assert got.train_tokens > 4_000_000 and got.score > got.base_score / 5
+
+
 def plain_components(bodies, size=5, percent=80):
     sets = {}
     for i, t in bodies:
