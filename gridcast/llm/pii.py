@@ -4,7 +4,7 @@
 * Candidates: two generators with high recall (things around an at sign, runs of digits and separators), whose spans may
   overlap. Gradient-boosted trees score each by its form and its surroundings; they learn from candidates of a sample of
   at most ``sample`` documents, positive where a candidate meets a base span. For each generator, the score from which
-  ``precision`` of held-out candidates are positive is the threshold; of overlapping candidates the best stays.
+  ``precision`` of all other documents' candidates are positive is the threshold; of overlapping candidates the best stays.
 
 The trees become one SQL expression over an array of candidates, so finding, scoring and redacting read each row once,
 without a shuffle. Positions are code points, ends exclusive.
@@ -12,6 +12,7 @@ without a shuffle. Positions are code points, ends exclusive.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.text import only
+from gridcast.sources.tables import cut
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -39,7 +41,7 @@ NEEDS = {"email": "@", "ip": None, "card": None, "phone": "+", "around_at": None
 MARKS = {"around_at": r"@|[(\[]at[)\]]", "digits": "[0-9]", "ip": "[0-9][.][0-9]", "card": "[0-9][0-9 -]{12}"}
 CONTEXT = 24
 WORDS = r"(?i)(mail|contact|write|send|call|phone|tel|fax|mobile|card|visa|pay|account|number|ip|host|server|address)"
-SAMPLE, PRECISION, TREES, DEPTH = 4000, 0.98, 16, 4
+SAMPLE, PRECISION, TREES, DEPTH, FIT = 4000, 0.98, 16, 4, 0.7
 
 
 def _spans(text: Column, name: str, pattern: str) -> Column:
@@ -158,32 +160,36 @@ def _tuple(node) -> tuple | float:
 
 def train_trees(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, precision: float = PRECISION,
                 trees: int = TREES, depth: int = DEPTH) -> Trees:
-    """Trees fitted on the candidates of the ``sample`` documents with the smallest key hashes.
+    """Trees fitted on the candidates of at most ``sample`` documents, thresholds from those of all others.
 
-    Without both positive and negative candidates there are no trees and nothing is added to the base spans.
+    The sample has the documents with the smallest key hashes: first of those with a positive candidate, up to half of
+    it, then of those with negative ones alone; at most ``FIT`` of each. Rows without a key are never in it. Without
+    both positive and negative candidates there are no trees and nothing is added to the base spans.
     """
-    docs = only(docs, key, text).toDF("key", "text").filter("key is not null")
-    chosen = docs.select("key").distinct().orderBy(F.xxhash64(F.col("key").cast("string")), "key").limit(sample)
-    rows = docs.join(F.broadcast(chosen), "key").withColumn("text", F.coalesce("text", F.lit("")))
+    rows = only(docs, key, text).toDF("key", "text").withColumn("text", F.coalesce("text", F.lit("")))
     rows = add_candidates(add_base_spans(rows, "text"), "text").select("key", "_base", F.explode("_candidates").alias("c"))
-    rows = rows.select(
-        F.col("c.generator").alias("generator"), array_to_vector("c.f").alias("features"), F.col("c.f").alias("f"),
+    rows = cut(rows.select(
+        "key", F.col("c.generator").alias("generator"), F.col("c.f").alias("f"),
         F.exists("_base", lambda b: _meets(F.col("c"), b)).cast("double").alias("label"),
-        (F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit(1)), F.lit(10)) < 7).alias("fit"),
-    ).persist()
+    ))
+    having = cut(rows.filter("key is not null").groupBy("key").agg(F.max("label").alias("yes")))
+    size = {r["yes"]: math.ceil(r["n"] * FIT) for r in having.groupBy("yes").agg(F.count("*").alias("n")).collect()}
+    some = min(size.get(1.0, 0), max(1, sample // 2))
+    first = lambda yes, n: having.filter(F.col("yes") == yes).orderBy(F.xxhash64(F.col("key").cast("string")), "key").limit(n).select("key")
+    chosen = cut(first(1.0, some).unionByName(first(0.0, min(size.get(0.0, 0), sample - some))))
+    fit = rows.join(F.broadcast(chosen), "key").select(array_to_vector("f").alias("features"), "label").persist()
     try:
-        kinds = {(r["fit"], r["label"]) for r in rows.groupBy("fit", "label").count().collect()}
-        if not {(True, 0.0), (True, 1.0)} <= kinds:
+        if {r["label"] for r in fit.select("label").distinct().collect()} != {0.0, 1.0}:
             return Trees()
-        fit = rows.filter("fit").select("features", "label").coalesce(1)
-        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7, maxBins=64, maxMemoryInMB=64).fit(fit)
-        nodes = tuple(_tuple(t._call_java("rootNode")) for t in model.trees)
-        plain = Trees(nodes, tuple(model.treeWeights))
-        scored = rows.filter("not fit").select("generator", "label", F.round(plain.margin(F.col("f")), 3).alias("margin"))
-        bands = scored.groupBy("generator", "margin").agg(F.sum("label").alias("yes"), F.count("*").alias("n"))
-        held = bands.orderBy("generator", F.desc("margin")).collect()
+        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7, maxBins=64, maxMemoryInMB=64).fit(fit.coalesce(1))
     finally:
-        rows.unpersist()
+        fit.unpersist()
+    nodes = tuple(_tuple(t._call_java("rootNode")) for t in model.trees)
+    plain = Trees(nodes, tuple(model.treeWeights))
+    others = rows.join(F.broadcast(chosen), "key", "left_anti")
+    scored = others.select("generator", "label", F.round(plain.margin(F.col("f")), 3).alias("margin"))
+    bands = scored.groupBy("generator", "margin").agg(F.sum("label").alias("yes"), F.count("*").alias("n"))
+    held = bands.orderBy("generator", F.desc("margin")).collect()
     thresholds, so_far = {}, {}
     for r in held:
         yes, n = so_far.get(r["generator"], (0, 0))

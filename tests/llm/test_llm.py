@@ -323,6 +323,18 @@ def test_pii(spark, odd, nothing):
     assert pii.add_spans(nothing, trees).count() == 0 and pii.train_trees(nothing) == pii.Trees()
 
 
+def test_pii_is_learnt_at_any_rarity(spark):
+    """A few e-mail addresses among many documents, more than the sample holds, still give trees and a threshold."""
+    rows = [(i, f"call john{i} @ home or see item {i * 7919 % 100000} {i % 97} {i % 89}") for i in range(1200)]
+    rows += [(5000 + i, f"write mail to user{i}.name@host{i}.example.org today") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    trees = pii.train_trees(docs, sample=20)
+    assert trees.trees and 0 in trees.thresholds
+    # The threshold holds for all documents that weren't learnt from: no candidate without an address passes it.
+    extra = spark.createDataFrame([(0, "write mail to user77.name (at) host77 (dot) example (dot) org today")], "doc_id long, text string")
+    assert pii.add_spans(docs.unionByName(extra), trees).filter("doc_id < 1200").selectExpr("sum(size(filter(pii, x -> x.score is not null)))").first()[0] <= 24
+
+
 def test_chunks(odd, nothing):
     got = {r.doc_id: r for r in chunk_dedup.drop_repeated_chunks(odd).collect()}
     seen = set()
