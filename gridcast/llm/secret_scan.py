@@ -2,8 +2,8 @@
 
 Candidate strings are long runs of key characters. For each character class, a window of fixed size slides over the runs
 of that class; its entropy is kept up to date from the counts of the character that leaves and the one that enters. Runs
-of windows above the class's limit are spans, unless an allow-list pattern matches the candidate or the span meets a
-base span. Positions are code points, ends exclusive.
+of windows above the class's limit are spans without what base spans cover, unless an allow-list pattern matches the
+candidate. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 # Character class: its runs, the window, the entropy in bits from which a window counts, and what a window must hold.
 CLASSES = (
     (re.compile("[0-9a-fA-F]{20,}"), 20, 3.0, (str.isdigit, str.isalpha)),
+    (re.compile("[a-z0-9]{20,}"), 20, 3.5, (str.isdigit, str.islower)),
+    (re.compile("[A-Z0-9]{20,}"), 20, 3.5, (str.isdigit, str.isupper)),
     (re.compile("[A-Za-z0-9]{20,}"), 20, 3.7, (str.isdigit, str.islower, str.isupper)),
     (re.compile("[A-Za-z0-9+/_=-]{24,}"), 24, 3.9, (str.isdigit, str.islower, str.isupper)),
 )
@@ -99,7 +101,18 @@ def entropy_spans(text: str, base: list[tuple[int, int, int]], allow: re.Pattern
             out[-1][1] = max(out[-1][1], b)
         else:
             out.append([a, b])
-    return [(a, 3, b) for a, b in out if not any(a < e and s < b for s, _, e in base)]
+    return [(a, 3, b) for span in out for a, b in uncovered(*span, base)]
+
+
+def uncovered(start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What sorted base spans leave of a span."""
+    for s, _, e in base:
+        if s < end and e > start:
+            if s > start:
+                yield start, s
+            start = e
+    if start < end:
+        yield start, end
 
 
 def find_secrets(docs: DataFrame, text: str = "text", name: str = "secrets", allow: Sequence[str] = ALLOW) -> DataFrame:

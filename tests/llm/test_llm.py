@@ -294,6 +294,17 @@ def test_entropy_windows_by_recount(spark):
     assert [[tuple(s) for s in r.secrets] for r in secret_scan.find_secrets(rows).orderBy("doc_id").collect()] == [[(4, 3, 25)], []]
 
 
+def test_secrets_of_one_letter_case(spark):
+    """Letters of one case with digits are secrets as well, and a base span takes only its own part of a longer key."""
+    low, up = "k7w2m9qx4t8zr5vb1nc6yh3pjd0gsf", "K7W2M4QX5TZR6VBNC3YHPJDGSFLEAU"
+    mixed = "Zk3Qx9PmLw7Vt2Rb8YhN" + "0123456789abcdef" + "Hs5Gq8WnTj4Uz1XeRv6K"
+    rows = spark.createDataFrame([(0, f"a {low} b"), (1, f"a {up} b"), (2, mixed), (3, "abcdefghijklmnopqrstuvwxyz")], "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.secrets] for r in secret_scan.find_secrets(rows).collect()}
+    assert got[0] == [(2, 3, 2 + len(low))] and got[1] == [(2, 3, 2 + len(up))] and got[3] == []
+    assert [s for s in got[2] if s[1] == 2] == [(20, 2, 36)] and got[2][0][:2] == (0, 3) and got[2][-1][1:] == (3, 56)
+    assert all(a[2] <= b[0] for a, b in zip(got[2], got[2][1:], strict=False))
+
+
 def luhn(digits):
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
 
