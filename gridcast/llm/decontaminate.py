@@ -1,8 +1,9 @@
 """Benchmark passages in documents: SimHash of item-sized word windows, multi-index Hamming search, exact verification.
 
 Similarity of an item and a window of as many words is the weighted Jaccard similarity of their word shingles: a
-shingle counts as often as it occurs, divided by the number of items that have it. A window that shares no shingle with
-any item has similarity 0, so only windows around shared shingles are fingerprinted.
+shingle counts as often as it occurs, divided by the number of items of the whole benchmark that have it. A document with
+fewer words than the item is one window. A window that shares no shingle with any item has similarity 0, so only windows
+around shared shingles are fingerprinted.
 
 A fingerprint is 128 bits. It's cut into 16 blocks; if two fingerprints differ in at most ``RADIUS`` bits, some block
 differs in at most ``RADIUS // 16``, so probing each block's neighbours of that many bits finds every item within the
@@ -41,8 +42,9 @@ def fingerprints(shingles: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
 class Index:
     """The items of one share of the benchmark, at most ``INDEX_BYTES`` of text or one longer item."""
 
-    def __init__(self, ids: list, texts: list, size: int, percent: int):
-        self.size, self.percent = size, percent
+    def __init__(self, ids: list, texts: list, size: int, percent: int, shared: dict):
+        """``shared`` has the number of items of the whole benchmark for each shingle of several items."""
+        self.size, self.percent, self.shared = size, percent, shared
         self.ids, self.words, self.counts, self.marks = [], [], [], []
         owners: dict[int, set] = defaultdict(set)
         for key, text in zip(ids, texts, strict=True):
@@ -50,8 +52,7 @@ class Index:
             starts, ends, before = word_spans(data, offsets)
             if not len(starts):
                 continue
-            k = min(size, len(starts))
-            shingles = window_hashes(span_hashes(data, starts, ends), before, k)[0]
+            shingles = _shingles(span_hashes(data, starts, ends), before, size)
             for s in shingles.tolist():
                 owners[s].add(len(self.ids))
             self.ids.append(key)
@@ -72,13 +73,13 @@ class Index:
     def similarity(self, item: int, window: Counter) -> float:
         own, both, all_ = self.counts[item], 0.0, 0.0
         for s in own.keys() | window.keys():
-            weight = 1 / len(self.owners.get(s, "1"))
+            weight = 1 / self.shared.get(s, 1)
             both += weight * min(own[s], window[s])
             all_ += weight * max(own[s], window[s])
         return both / all_
 
-    def matches(self, batch: pa.RecordBatch) -> Iterator[tuple[int, int, float, int, int]]:
-        """(row, item, similarity, first word, differing bits) of the best window for each row and item found."""
+    def matches(self, batch: pa.RecordBatch) -> Iterator[tuple[int, int, float, int, int, int]]:
+        """(row, item, similarity, first word, words, differing bits) of the best window for each row and item found."""
         data, offsets = flat(batch.column("text"))
         starts, ends, before = word_spans(data, offsets)
         words = span_hashes(data, starts, ends)
@@ -93,13 +94,12 @@ class Index:
                     todo[row, m].append(at)
             best: dict[tuple[int, int], tuple] = {}
             for (row, m), hits in todo.items():
-                low, high = int(before[row]), int(before[row + 1]) - m  # of a window's first word
-                spots = np.unique(np.concatenate([np.arange(max(low, h + k - m), min(high, h) + 1) for h in hits]))
-                if not len(spots):
-                    continue
+                length = min(m, int(before[row + 1] - before[row]))
+                low, high = int(before[row]), int(before[row + 1]) - length  # of a window's first word
+                spots = np.unique(np.concatenate([np.arange(max(low, h + k - length), min(high, h) + 1) for h in hits]))
                 at = np.searchsorted(first, spots)
-                own = shingles[at[0] : at[-1] + m - k + 1]
-                marks = fingerprints(own, at - at[0], m - k + 1)
+                own = shingles[at[0] : at[-1] + length - k + 1]
+                marks = fingerprints(own, at - at[0], length - k + 1)
                 items = self.lengths[m]
                 close = np.zeros((len(spots), len(items)), bool)
                 for b in range(BLOCKS):
@@ -108,30 +108,55 @@ class Index:
                     bits = int(ONES[marks[w] ^ self.marks[items[j]]].sum())
                     if bits > RADIUS:
                         continue
-                    window = Counter(own[at[w] - at[0] : at[w] - at[0] + m - k + 1].tolist())
+                    window = Counter(own[at[w] - at[0] : at[w] - at[0] + length - k + 1].tolist())
                     score = self.similarity(items[j], window)
                     if 100 * score >= self.percent - 1e-9:
-                        found = (-score, int(spots[w]) - low, bits)
+                        found = (-score, int(spots[w]) - int(before[row]), length, bits)
                         best[row, items[j]] = min(best.get((row, items[j]), found), found)
-            for (row, item), (score, at, bits) in sorted(best.items()):
-                yield row, item, -score, at, bits
+            for (row, item), (score, at, length, bits) in sorted(best.items()):
+                yield row, item, -score, at, length, bits
+
+
+def _shingles(words: np.ndarray, before: np.ndarray, size: int) -> np.ndarray:
+    """The shingles of one text; fewer words than ``size`` are one."""
+    return window_hashes(words, before, min(size, len(words)))[0]
+
+
+def _shared_shingles(items: DataFrame, size: int) -> dict[int, int]:
+    """The number of items that have it, for each shingle of several items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches):
+            found = []
+            for text in b.column("text").to_pylist():
+                data, offsets = flat(pa.array([text], pa.string()))
+                starts, ends, before = word_spans(data, offsets)
+                if len(starts):
+                    found.append(np.unique(_shingles(span_hashes(data, starts, ends), before, size)))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["shingle"])
+
+    counts = items.select("text").mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+    got = counts.filter("n > 1").toArrow()
+    return dict(zip(got.column("shingle").to_numpy().view(np.uint64).tolist(), got.column("n").to_pylist(), strict=True))
 
 
 def _indexes(spark: SparkSession, items: DataFrame, key: str, text: str, size: int, percent: int) -> Iterator[Index]:
-    """The benchmark in shares of a checked size, each small enough to go to every task."""
+    """The benchmark in shares of a checked size, each small enough to go to every task with the shared shingles' counts."""
     items = only(items, key, text).toDF("key", "text").filter("text is not null and key is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shares = -(-total // INDEX_BYTES)
+    shared = _shared_shingles(items, size) if shares else {}
     for share in range(shares):
         rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(shares)) == share).orderBy("key", "text").toArrow()
-        yield Index(rows.column(0).to_pylist(), rows.column(1).to_pylist(), size, percent)
+        yield Index(rows.column(0).to_pylist(), rows.column(1).to_pylist(), size, percent, shared)
 
 
 def find_benchmark(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                    item_text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Best match of every document and item: key, item key, similarity, first_word, n_words, bits (fingerprints' distance).
 
-    Windows have the item's number of words. An item with fewer words than ``size`` is one shingle. Null and blank
+    Windows have the item's number of words, or are a whole shorter document. An item with fewer words than ``size`` is one shingle. Null and blank
     texts and items match nothing; repeated items each match; a repeated document key has rows for each of its rows.
     Ties take the earliest window. Only the named columns are read. No items or no documents give no rows.
     """
@@ -149,8 +174,8 @@ def find_benchmark(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, arrow = shared.value, None
             for b in blocks(batches):
-                found = [(b.column("key")[row], index.ids[i], score, at, index.words[i], bits)
-                         for row, i, score, at, bits in index.matches(b)]
+                found = [(b.column("key")[row], index.ids[i], score, at, length, bits)
+                         for row, i, score, at, length, bits in index.matches(b)]
                 if found:
                     columns = list(zip(*found, strict=True))
                     arrow = [pa.array([x.as_py() for x in columns[0]], b.schema.field("key").type), pa.array(columns[1]),

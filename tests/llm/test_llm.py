@@ -398,6 +398,31 @@ def test_benchmark(spark, tables, odd, nothing):
     assert decontaminate.find_benchmark(nothing, items).count() == 0
 
 
+def test_benchmark_in_shares(spark, tables, odd, monkeypatch):
+    """Shingles are weighed over the whole benchmark, so a smaller share size changes nothing."""
+    common = "the answer to this question is one of these four choices"
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(12)) + " " + common) for i in range(30)]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    bodies = [(i, t.replace(f"w{i}x0 ", "other ").replace(f"w{i}x1 ", "words ").replace(common, f"{common[:30]} changed here")) for i, t in rows]
+    bodies += [(100 + i, t) for i, t in rows] + [(200 + i, rows[i][1].replace(f"w{i}x11", rows[i + 1][1][-57:])) for i in range(29)]
+    docs = spark.createDataFrame(bodies, "doc_id long, text string")
+    found = lambda: {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find_benchmark(docs, items, percent=20).collect()}
+    whole = found()
+    assert len(whole) >= 50
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 1200)
+    assert found() == pytest.approx(whole)
+
+
+def test_benchmark_in_shorter_documents(spark):
+    """An item without its last words, alone in a document, is compared as a whole."""
+    bench = [f"q{i}" for i in range(40)]
+    items = spark.createDataFrame([(1, " ".join(bench)), (2, "zz yy xx")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(bench[:-2])), (2, " ".join(bench[:20])), (3, "zz yy")], "doc_id long, text string")
+    got = [tuple(r) for r in decontaminate.find_benchmark(docs, items).collect()]
+    assert [(r[0], r[1], r[3], r[4]) for r in got] == [(1, 1, 0, 38)] and got[0][2] == pytest.approx(34 / 36)
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()} == {2, 3}
+
+
 def test_pipeline_against_plain_stages(spark, tables):
     from tests.llm.conftest import SF
 
