@@ -285,7 +285,7 @@ def test_drift_of_identical_and_shifted_windows(spark):
 def test_monitored_columns(spark):
     cols = [f"lag_{i}" for i in range(8)] + [f"rolling_{i}" for i in range(8)] + ["hour", "load_mw", "wind_mw"]
     df = spark.createDataFrame([tuple(float(i) for i in range(len(cols)))], ", ".join(f"{c} double" for c in cols))
-    assert monitored_columns(df, "load_mw") == cols[:15]
+    assert monitored_columns(df, "load_mw") == cols[:17]  # all lags, rolling statistics and the hour
     assert monitored_columns(df.select("load_mw", "wind_mw"), "load_mw") == ["wind_mw"]
 
 
