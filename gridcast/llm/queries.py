@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import chunk_dedup, decontaminate, lm_score, packing, pii, quality_crf, robust_rules, secret_scan, shingle_join, suffix_dedup
+from gridcast.llm import (
+    chunk_dedup, decontaminate, lm_score, packing, pii, prefix_trie, quality_crf, robust_rules, secret_scan, shingle_join, suffix_dedup,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -84,6 +86,19 @@ def op10_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_benchmark(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def rebuilt(encoded: DataFrame) -> DataFrame:
+    """Each conversation c behind the first h turns of conversation c - c % 100, its own first h turns left out; h = crc32(c) % 6."""
+    heads = encoded.filter("conv_id % 100 = 0").select(F.col("conv_id").alias("_base"), *[F.slice(c, 1, 5).alias(f"_{c}") for c in ("ids", "chars")])
+    h = (F.crc32(F.col("conv_id").cast("string")) % 6).cast("int")
+    placed = encoded.withColumn("_h", h).join(heads, F.col("conv_id") - F.col("conv_id") % 100 == F.col("_base"), "left")
+    splice = lambda c: F.concat(F.coalesce(F.slice(f"_{c}", 1, F.col("_h")), F.array().cast("array<bigint>")), F.slice(c, F.col("_h") + 1, F.size(c) + 1)).alias(c)
+    return placed.select("conv_id", splice("ids"), splice("chars"))
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.prefix_trie(rebuilt(prefix_trie.encode_turns(table(spark, sf, "conversations"))))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,4 +106,34 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)} | {"pipeline": pipeline}
-SQL: dict[str, str] = {}
+
+TRIE_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, sha256(length(r) || ':' || r || x) AS k, length(x) AS chars
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (
+  SELECT conv_id, list(k ORDER BY turn NULLS FIRST, k) AS ks, list(chars ORDER BY turn NULLS FIRST, k) AS cs,
+    xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+      lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda v, z: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT) % 6 AS h
+  FROM t GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ks[1:c.h], []), c.ks[c.h + 1:]) AS ks, list_concat(coalesce(b.cs[1:c.h], []), c.cs[c.h + 1:]) AS cs
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS (
+  SELECT conv_id, d, md5(array_to_string(ks[1:d], ',')) AS node, CASE WHEN d > 0 THEN cs[d] ELSE 0 END AS chars, len(ks) = d AS ended
+  FROM (SELECT *, unnest(range(0, len(ks) + 1)) AS d FROM r)),
+n AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+  FROM p GROUP BY 1, 2),
+u AS (SELECT n.*, q.node AS above FROM n LEFT JOIN p q ON q.conv_id = n.conv_id AND q.d = n.d - 1),
+kids AS (SELECT above, count(*) AS n_children FROM u WHERE above IS NOT NULL GROUP BY 1),
+below AS (
+  SELECT a.node, count(*) FILTER (WHERE k.above IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.chars) AS saved_tokens
+  FROM u JOIN p a ON a.conv_id = u.conv_id AND a.d <= u.d LEFT JOIN kids k ON k.above = u.node GROUP BY 1)
+SELECT u.conv_id, u.d::BIGINT AS depth, o.conv_id AS parent_conv_id, u.n_convs, coalesce(k.n_children, 0)::BIGINT AS n_children,
+  b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, u.ends_sha256
+FROM u JOIN below b USING (node) LEFT JOIN kids k ON k.above = u.node LEFT JOIN n o ON o.node = u.above"""
+
+SQL: dict[str, str] = {"op13_conversation_prefix_trie": TRIE_SQL}

@@ -440,4 +440,4 @@ def test_pipeline_against_plain_stages(spark, tables):
     assert not any(plain_pii(r.text or "") for r in safe.collect())
     final = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in final.select("doc_id").distinct().collect()} == {r.doc_id for r in safe.collect()}
-    assert set(queries.QUERIES) >= {"pipeline"} and len(queries.QUERIES) == 11
+    assert set(queries.QUERIES) >= {"pipeline"} and len(queries.QUERIES) == 14
