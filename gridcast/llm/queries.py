@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.llm import (
-    chunk_dedup, decontaminate, lm_score, packing, pii, prefix_trie, quality_crf, robust_rules, secret_scan, shingle_join, suffix_dedup,
+    chunk_dedup, decontaminate, hard_negatives, lm_score, packing, pii, prefix_trie, quality_crf, robust_rules, secret_scan, shingle_join, suffix_dedup, url_rules,
 )
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -86,6 +86,19 @@ def op10_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_benchmark(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+# The seed rules by which pages are judged.
+URL_SEEDS = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op11_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, sf, "pages"), URL_SEEDS)
+
+
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(hard_negatives.integer_vectors(table(spark, sf, "embeddings"), moved), F.col("vec_id") % 50 == 0)
+
+
 def rebuilt(encoded: DataFrame) -> DataFrame:
     """Each conversation c behind the first h turns of conversation c - c % 100, its own first h turns left out; h = crc32(c) % 6."""
     heads = encoded.filter("conv_id % 100 = 0").select(F.col("conv_id").alias("_base"), *[F.slice(c, 1, 5).alias(f"_{c}") for c in ("ids", "chars")])
@@ -136,4 +149,68 @@ SELECT u.conv_id, u.d::BIGINT AS depth, o.conv_id AS parent_conv_id, u.n_convs,
   b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, u.ends_sha256
 FROM u JOIN below b USING (node) LEFT JOIN kids k ON k.above = u.node LEFT JOIN n o ON o.node = u.above"""
 
-SQL: dict[str, str] = {"op13_conversation_prefix_trie": TRIE_SQL}
+URLS_SQL = r"""
+WITH RECURSIVE seeds(verdict, rule, h, p) AS (VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
+  ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')),
+u AS (
+  SELECT row_number() OVER () AS row, page_id, translate(regexp_extract(u, pat, 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(u, pat, 2) AS path, regexp_extract(u, pat, 3) AS query, regexp_extract(u, pat, 4) AS fragment
+  FROM (SELECT page_id, coalesce(url, '') AS u, '(?s)^.*?://([^/?#]*)([^?#]*)([?][^#]*)?(#.*)?$' AS pat FROM pages)),
+fit AS (
+  SELECT u.row, s.* FROM u JOIN seeds s ON (u.host = s.h OR ends_with(u.host, '.' || s.h)) AND starts_with(u.path, s.p)
+  QUALIFY row_number() OVER (PARTITION BY u.row ORDER BY length(s.rule) DESC) = 1),
+parts AS (
+  SELECT u.row, fit.rule, fit.verdict, string_split(host, '.') AS hs, query, fragment, path, substring(path, length(fit.p) + 1) AS rest
+  FROM u LEFT JOIN fit USING (row)),
+pieces AS (
+  SELECT row, rule, verdict, list_transform(list_filter(hs, lambda x: x <> ''), lambda x: 'h:' || x) AS hs,
+    list_transform(regexp_extract_all(translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), word, 1), lambda x: 'p:' || CASE WHEN regexp_matches(x, '^[0-9]+$') THEN '#' ELSE x END) AS ps,
+    list_transform(regexp_extract_all(translate(rest, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), word, 1), lambda x: 'p:' || CASE WHEN regexp_matches(x, '^[0-9]+$') THEN '#' ELSE x END) AS rs,
+    list_transform(regexp_extract_all(translate(query, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[?&]([^=&]+)', 1), lambda x: 'q:' || x) AS qs,
+    list_transform(regexp_extract_all(translate(fragment, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), word, 1), lambda x: 'f:' || CASE WHEN regexp_matches(x, '^[0-9]+$') THEN '#' ELSE x END) AS fs
+  FROM (SELECT *, '([^\x00-/:-@\[-`{-\x7f]+)' AS word FROM parts)),
+single AS (
+  SELECT DISTINCT row, verdict, unnest(list_concat(list_filter(hs, lambda x: x NOT IN ('h:net', 'h:example', 'h:com', 'h:org')), rs, qs, fs)) AS token
+  FROM pieces WHERE rule IS NOT NULL),
+total AS (SELECT count(*) AS n, greatest(1, ceil(count(*) * 0.01)) AS least FROM fit),
+shares AS (SELECT verdict, count(*) AS n FROM fit GROUP BY 1),
+rows_of AS (SELECT token, count(*) AS n, list(row ORDER BY row) AS rs FROM single GROUP BY 1),
+items AS (
+  SELECT min(token) AS token, list(token ORDER BY token) AS members, any_value(n) AS n
+  FROM rows_of, (SELECT n AS total, least FROM total) WHERE n >= least AND n < total GROUP BY rs),
+basket AS (SELECT row, verdict, token FROM single JOIN items USING (token)),
+sets AS (
+  SELECT row, verdict, [token] AS items, token AS last FROM basket
+  UNION ALL
+  SELECT * FROM (SELECT s.row, s.verdict, list_append(s.items, b.token) AS items, b.token AS last FROM sets s JOIN basket b ON b.row = s.row AND b.token > s.last)
+  QUALIFY count(*) OVER (PARTITION BY items) >= (SELECT least FROM total)),
+pairs AS (SELECT items, verdict, count(*) AS n_both FROM sets GROUP BY 1, 2),
+rules AS (
+  SELECT b.items, b.verdict, n_both, w.n FROM pairs b JOIN (SELECT items, count(*) AS n FROM sets GROUP BY 1) w USING (items) JOIN shares s ON s.verdict = b.verdict, total t
+  WHERE n_both >= t.least AND n_both * 100 >= w.n * 90 AND n_both * t.n > w.n * s.n),
+kept AS (
+  SELECT * FROM rules r WHERE NOT EXISTS (
+    SELECT 1 FROM rules l WHERE l.verdict = r.verdict AND len(l.items) = len(r.items) - 1 AND list_has_all(r.items, l.items) AND l.n_both * r.n >= r.n_both * l.n)),
+needed AS (
+  SELECT k.items, k.verdict, k.n, k.n_both, list_sort(flatten(list(i.members))) AS tokens
+  FROM (SELECT *, unnest(items) AS token FROM kept) k JOIN items i USING (token) GROUP BY 1, 2, 3, 4),
+best AS (
+  SELECT p.row, n.verdict, n.n_both / n.n AS confidence, array_to_string(n.tokens, ' ') AS mined
+  FROM pieces p JOIN needed n ON p.rule IS NULL AND list_has_all(list_concat(p.hs, p.ps, p.qs, p.fs), n.tokens)
+  QUALIFY row_number() OVER (PARTITION BY p.row ORDER BY n.n_both / n.n DESC, len(n.items), n.n_both DESC, n.verdict DESC, array_to_string(n.tokens, ' ') DESC) = 1)
+SELECT u.page_id, u.host, u.path, fit.rule, coalesce(fit.verdict, best.verdict, 'allow') AS verdict, best.confidence, best.mined
+FROM u LEFT JOIN fit USING (row) LEFT JOIN best USING (row)"""
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, v.vec_id AS x, a.label = v.label AS same, list_inner_product(a.q, v.q)::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, x) <= 5)
+SELECT p.a AS anchor_id, p.x AS positive_id, row_number() OVER (PARTITION BY p.a, p.x ORDER BY s.score DESC, s.x)::INTEGER AS rank, s.x AS negative_id,
+  p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score QUALIFY rank <= 3"""
+
+SQL: dict[str, str] = {"op11_url_filters": URLS_SQL, "op12_hard_negatives": NEGATIVES_SQL, "op13_conversation_prefix_trie": TRIE_SQL}
