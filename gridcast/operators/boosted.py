@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gridcast.operators.conformal import conformal_offset, widen
 from gridcast.operators.metrics import coverage, forecast_metrics, point_metrics, width
+from gridcast.operators.model_meta import load_meta, save_meta
 from gridcast.operators.quantiles import exact_quantiles
 from gridcast.operators.split import walk_forward_folds
 from gridcast.params import Axis, BoostParams, TrainParams
@@ -125,18 +126,14 @@ class ForecastBundle:
 
     def save(self, path: str) -> None:
         self.point.write().overwrite().save(f"{path}/point")
-        spark = SparkSession.active()
         if self.heads is not None:
             self.heads.forest.write().overwrite().save(f"{path}/forest")
             self.heads.leaves.write.mode("overwrite").parquet(f"{path}/leaves")
-        meta = [(list(self.features), self.q, self.heads is not None)]
-        spark.createDataFrame(meta, "features array<string>, q double, has_heads boolean").write.mode("overwrite").parquet(
-            f"{path}/meta"
-        )
+        save_meta(path, "boosted_trees", features=list(self.features), q=self.q, has_heads=self.heads is not None)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> ForecastBundle:
-        meta = spark.read.parquet(f"{path}/meta").first()
+        meta, _ = load_meta(spark, path, "boosted_trees")
         heads = None
         if meta["has_heads"]:
             forest = RandomForestRegressionModel.load(f"{path}/forest")

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcast.functions.timegrid import step_index
 from gridcast.operators.buckets import IDX, OWN, add_series_bounds, bucket_window, drop_helpers, halo, join_series
 from gridcast.operators.metrics import forecast_metrics
+from gridcast.operators.model_meta import load_meta, save_meta
 from gridcast.params import Axis
 
 
@@ -47,3 +50,39 @@ def naive_run(df: DataFrame, axis: Axis, target: str, season: int = 168, by: Seq
     """Validation metrics of the seasonal naive on a frame with a ``split`` column."""
     scored = seasonal_naive(df, axis, target, season).where(F.col("split") == "val")
     return forecast_metrics(scored, by, target, "predicted", prefix="val_")
+
+
+@dataclass(frozen=True)
+class NaiveModel:
+    """The last season of each series, one row of ``season`` values in ``profile``, repeated over any later time."""
+
+    profile: DataFrame
+    season: int
+    target: str
+    axis: Axis
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """Adds ``predicted``: the profile's value at the row's phase; NULL for a series without a profile."""
+        phase = F.pmod(step_index(F.col(self.axis.ts), self.axis), F.lit(self.season)).cast("int")
+        profiled = join_series(df, self.profile, self.axis)
+        return drop_helpers(profiled.withColumn("predicted", F.get("_season", phase)).drop("_season"))
+
+    def save(self, path: str) -> None:
+        self.profile.write.mode("overwrite").parquet(f"{path}/profile")
+        save_meta(path, "seasonal_naive", self.axis, season=self.season, target=self.target)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> NaiveModel:
+        meta, axis = load_meta(spark, path, "seasonal_naive")
+        return NaiveModel(spark.read.parquet(f"{path}/profile"), meta["season"], meta["target"], axis)
+
+
+def fit_naive(train: DataFrame, axis: Axis, target: str, season: int = 168) -> NaiveModel:
+    """Keep the last ``season`` steps of each series by their phase, the step number modulo ``season``."""
+    rows = add_series_bounds(train, axis)
+    last = rows.where(F.col(IDX) > F.col("end_idx") - season)
+    phase = F.pmod(F.col(IDX), F.lit(season)).cast("int")
+    entries = F.map_from_entries(F.collect_list(F.struct(phase, F.col(target).cast("double"))))  # at most ``season`` of them
+    profile = last.groupBy(*axis.keys).agg(entries.alias("_map"))
+    slots = F.sequence(F.lit(0), F.lit(season - 1))
+    return NaiveModel(profile.select(*axis.keys, F.transform(slots, lambda i: F.col("_map")[i]).alias("_season")), season, target, axis)

@@ -1,4 +1,8 @@
-"""Run and model-version tables: append-only records, winner selection and stage changes as pure functions."""
+"""Run and model-version tables: append-only records, winner selection and stage changes as pure functions.
+
+The version table is a log: a version's row is never changed, a new stage is a new row with a higher ``change`` number, and
+`current_versions` gives the newest row of each version. Readers so see either the registry before a promotion or after it.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,7 @@ RUN_SCHEMA = (
     "value double, data_hash string"
 )
 VERSION_SCHEMA = "version int, run_id string, path string, stage string"
+VERSION_LOG_SCHEMA = VERSION_SCHEMA + ", change int"
 
 
 def run_rows(
@@ -102,3 +107,50 @@ def promote(
         F.col("version") == F.col("_version"), "Production"
     ).when(F.col("stage").isin("Staging", "Production"), "Archived").otherwise(F.col("stage"))
     return versions.crossJoin(F.broadcast(choice)).withColumn("stage", moved).drop("_best", "_version", "_allowed")
+
+
+def current_versions(log: DataFrame) -> DataFrame:
+    """The newest row of every version in the log."""
+    newest = log.groupBy("version").agg(F.max_by(F.struct("run_id", "path", "stage"), "change").alias("_row"))
+    return newest.select("version", "_row.run_id", "_row.path", "_row.stage")
+
+
+def version_changes(before: DataFrame, after: DataFrame, log: DataFrame) -> DataFrame:
+    """The rows to append to the log: versions that are new or whose stage changed, under one new change number."""
+    old = before.select("version", F.col("stage").alias("_old"))
+    number = log.agg((F.coalesce(F.max("change"), F.lit(0)) + 1).cast("int").alias("change"))
+    changed = after.join(old, "version", "left").where(~F.col("stage").eqNullSafe(F.col("_old")))
+    return changed.drop("_old").crossJoin(F.broadcast(number)).select("version", "run_id", "path", "stage", "change")  # one number
+
+
+def register_versions(versions: DataFrame, paths: Mapping[str, str]) -> DataFrame:
+    """``versions`` and a new one for each run id of ``paths``, numbered on from the largest so far in the given order."""
+    spark = versions.sparkSession
+    rows = [(i, run_id, path) for i, (run_id, path) in enumerate(paths.items(), 1)]
+    new = spark.createDataFrame(rows, "_at int, run_id string, path string")
+    last = versions.agg(F.coalesce(F.max("version"), F.lit(0)).alias("_last"))
+    number = (F.col("_last") + F.col("_at")).cast("int").alias("version")
+    numbered = new.crossJoin(F.broadcast(last)).select(number, "run_id", "path", F.lit("None").alias("stage"))  # one number
+    return versions.select("version", "run_id", "path", "stage").unionByName(numbered)
+
+
+def record_training(
+    runs: DataFrame, paths: Mapping[str, str], log: DataFrame, metric: str = "val_mape", require_improvement: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Register the models of one training (run id to path), promote its best run, and give the selection table and the
+    rows to append to the version log. ``runs`` are all recorded runs, so that the incumbent's error is known."""
+    before = current_versions(log)
+    registered = register_versions(before, paths)
+    table = candidates(runs)
+    ours = table.where(F.col("run_id").isin(list(paths)))
+    contest = table.join(before.where("stage = 'Production'").select("run_id"), "run_id", "left_semi").unionByName(ours) if require_improvement else ours
+    selection = select_model(contest, registered, metric, require_improvement).where(F.col("run_id").isin(list(paths)))
+    return selection, version_changes(before, promote(contest, registered, metric, require_improvement), log)
+
+
+def production_path(log: DataFrame) -> str:
+    """Where the model in production is stored; an error if there is none."""
+    row = current_versions(log).where("stage = 'Production'").orderBy(F.desc("version")).first()
+    if row is None:
+        raise ValueError("no model version is in production")
+    return row["path"]

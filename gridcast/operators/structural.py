@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.functions.calendar import fourier_columns
 from gridcast.functions.timegrid import step_index
 from gridcast.operators.boosted import assemble
 from gridcast.operators.buckets import drop_helpers, join_series
+from gridcast.operators.model_meta import load_meta, save_meta
 from gridcast.params import Axis, TrainParams
 
 # Seasonal periods in hours with their number of harmonics, and the share of training time with breaks.
@@ -41,6 +42,22 @@ class StructuralModel:
             *df.columns, "predicted"
         )
 
+    def score(self, df: DataFrame) -> DataFrame:
+        return self.predict(df)
+
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/regression")
+        self.levels.write.mode("overwrite").parquet(f"{path}/levels")
+        numbers = {c: getattr(self, c) for c in ("start", "span", "changepoints", "multiplicative", "target")}
+        save_meta(path, "structural", self.axis, **numbers)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> StructuralModel:
+        meta, axis = load_meta(spark, path, "structural")
+        del meta["kind"]
+        model = LinearRegressionModel.load(f"{path}/regression")
+        return StructuralModel(model, spark.read.parquet(f"{path}/levels"), axis=axis, **meta)
+
 
 def _design(df: DataFrame, axis: Axis, start: int, span: int, changepoints: int) -> tuple[DataFrame, list[str]]:
     hours = step_index(F.col(axis.ts), axis) * axis.step / 3600

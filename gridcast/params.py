@@ -92,6 +92,7 @@ class TrainParams:
     changepoints: int = 25
     ridge: float = 0.05
     multiplicative: bool = True
+    require_improvement: bool = False  # promote only a model that beats the one in production
     explain_rows: int | None = None  # attributions for a hash sample of that many validation rows; None: for all
 
 

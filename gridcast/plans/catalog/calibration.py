@@ -135,14 +135,47 @@ def calibrated_coverage(spark, sf):
     return rounded(out, "coverage", "width")
 
 
-@query()
+def sql_adaptive(params: AdaptiveParams = AdaptiveParams()) -> str:
+    """The adaptive recursion over table ``scored``: one step of every series in each round, the offset for the next step
+    being an order statistic of the scores so far."""
+    target, gamma = repr(1.0 - params.target_coverage), repr(params.gamma)
+    hit = "CASE WHEN a.lo[w.i] - w.q <= a.ys[w.i] AND a.ys[w.i] <= a.hi[w.i] + w.q THEN 1 ELSE 0 END"
+    return f"""arrays AS (
+  SELECT series_id, count(*) AS n, list(ts ORDER BY ts) AS tss, list(y ORDER BY ts) AS ys, list(p ORDER BY ts) AS ps, list(y_lower ORDER BY ts) AS lo,
+    list(y_upper ORDER BY ts) AS hi, list(greatest(y_lower - y, y - y_upper) ORDER BY ts) AS scores FROM scored GROUP BY 1),
+walk AS (
+  SELECT series_id, 1 AS i, CAST('{target}' AS DOUBLE) AS level, CAST(0 AS DOUBLE) AS q FROM arrays
+  UNION ALL
+  SELECT series_id, i + 1, level, CASE WHEN i >= 2 THEN list_sort(scores[1:i])[CAST(ceil((i - 1) * (CAST(1 AS DOUBLE) - level)) AS BIGINT) + 1] ELSE q END
+  FROM (
+    SELECT w.series_id, w.i, w.q, a.scores, least(greatest(w.level + CAST('{gamma}' AS DOUBLE) * (CAST('{target}' AS DOUBLE) - (1 - {hit})),
+      CAST('0.0001' AS DOUBLE)), CAST(1 AS DOUBLE) - CAST('0.0001' AS DOUBLE)) AS level
+    FROM walk w JOIN arrays a ON a.series_id = w.series_id AND w.i < a.n)),
+adapted AS (
+  SELECT w.series_id, a.tss[w.i] AS ts, a.ys[w.i] AS y, a.ps[w.i] AS predicted, a.lo[w.i] AS y_lower, a.hi[w.i] AS y_upper, w.q, {hit} AS hit,
+    a.lo[w.i] - w.q AS lower_aci, a.hi[w.i] + w.q AS upper_aci
+  FROM walk w JOIN arrays a ON a.series_id = w.series_id)"""
+
+
+def _recursive(*ctes: str) -> str:
+    return with_(*ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query(
+    _recursive(sql_scored("user_id"), sql_adaptive())
+    + f"SELECT series_id, ts, y, predicted, y_lower, y_upper, {sql_r4('q')} AS q, hit, {sql_r4('lower_aci')} AS lower_aci, {sql_r4('upper_aci')} AS upper_aci FROM adapted"
+)
 def adaptive_conformal_by_user(spark, sf):
     return rounded(
         adaptive_conformal(scored(spark, sf, "user_id"), ["series_id"], "ts", AdaptiveParams(), "y"), "q", "lower_aci", "upper_aci"
     )
 
 
-@query()
+@query(
+    _recursive(sql_scored(), sql_adaptive())
+    + f"SELECT series_id, {sql_r4('avg(hit)')} AS coverage, {sql_r4('avg(upper_aci - lower_aci)')} AS width, {sql_r4('arg_min(q, ts)')} AS q_initial, "
+    f"{sql_r4('arg_max(q, ts)')} AS q_final, {sql_r4('max(q)')} AS q_max FROM adapted GROUP BY 1"
+)
 def adaptive_conformal_summary(spark, sf):
     adapted = adaptive_conformal(scored(spark, sf), ["series_id"], "ts", AdaptiveParams(), "y")
     return rounded(adaptive_summary(adapted, ["series_id"], "ts"), "coverage", "width", "q_initial", "q_final", "q_max")

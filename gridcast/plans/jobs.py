@@ -19,7 +19,8 @@ from gridcast.operators.features import build_feature_matrix, feature_names
 from gridcast.operators.gaps import fill_gaps
 from gridcast.operators.grid import make_grid
 from gridcast.operators.metrics import concept_drift, error_columns, fold_summary, forecast_metrics
-from gridcast.operators.naive import seasonal_naive
+from gridcast.operators.model_store import Forecaster, production_model
+from gridcast.operators.naive import fit_naive, seasonal_naive
 from gridcast.operators.outliers import remove_outliers
 from gridcast.operators.quality import Check, default_checks, gate, quality_report, run_checks
 from gridcast.operators.split import assign_split, check_split, split_metadata
@@ -119,6 +120,8 @@ def train_and_select(
     naive = seasonal_naive(history, axis, target, params.season).drop(target)
     naive_val = val.select(*axis.keys, axis.ts, target).join(naive, [*axis.keys, axis.ts], "left")
     naive_id, runs = record("seasonal_naive", metrics_of(forecast_metrics(naive_val, by, target, "predicted", "val_")))
+    known = labelled.select("split", *axis.keys, axis.ts, target).where(F.col("split") != "test")
+    models: dict[str, tuple[str, Forecaster]] = {naive_id: ("seasonal_naive", fit_naive(known, axis, target, params.season))}
 
     bundle = boosted.fit_bundle(labelled, names, params, forest_trees=forest_trees)
     folds = cut(boosted.cross_validate(train.drop("split"), axis, names, params))
@@ -134,7 +137,7 @@ def train_and_select(
                 spark, uuid.uuid4().hex, f"fold_{fold['fold']}", "boosted_trees", values, boosted_id, fold["fold"], data_hash
             )
         )
-    bundle.save(f"{layout.root}/06_models/boosted_trees")
+    models[boosted_id] = ("boosted_trees", bundle)
     layout.write(boosted.importance(bundle.point, names, spark), "feature_importance")
     explained = val if params.explain_rows is None else stable_sample(val, [*axis.keys, axis.ts], params.explain_rows)
     layout.write(attributions(bundle.point, explained, names, [*axis.keys, axis.ts]), "attributions")
@@ -142,22 +145,23 @@ def train_and_select(
     structural = fit_structural(train.select(*axis.keys, axis.ts, target), axis, params)
     predicted = structural.predict(val.select(*axis.keys, axis.ts, target))
     structural_id, rows = record("structural", metrics_of(forecast_metrics(predicted, by, target, "predicted", "val_")))
-    runs = layout.save(runs.unionByName(rows), "runs")
-
-    versions = spark.createDataFrame([], registry.VERSION_SCHEMA)
-    for run_id, name in ((naive_id, "seasonal_naive"), (boosted_id, "boosted_trees"), (structural_id, "structural")):
-        versions = versions.unionByName(
-            registry.register_version(versions, run_id, f"{layout.root}/06_models/{name}")
-        )
-    versions = cut(versions)
-    table = registry.candidates(runs)
-    selection = registry.select_model(table, versions)
+    models[structural_id] = ("structural", structural)
+    layout.append(runs.unionByName(rows), "runs")
+    runs = layout.read(spark, "runs", registry.RUN_SCHEMA)
+
+    paths = {run_id: f"{layout.root}/06_models/{name}/{run_id}" for run_id, (name, _) in models.items()}
+    for run_id, (_, model) in models.items():
+        model.save(paths[run_id])
+    log = layout.read_or_empty(spark, "model_versions", registry.VERSION_LOG_SCHEMA)
+    selection, changes = registry.record_training(runs, paths, log, require_improvement=params.require_improvement)
+    selection, changes = cut(selection), cut(changes)  # both read the log that is about to grow
     layout.write(selection, "model_selection")
-    return TrainResult(bundle, runs, layout.save(registry.promote(table, versions), "model_versions"), selection)
+    layout.append(changes, "model_versions")
+    return TrainResult(bundle, runs, layout.read(spark, "model_versions", registry.VERSION_LOG_SCHEMA), selection)
 
 
 def inference(
-    bundle: boosted.ForecastBundle,
+    model: Forecaster,
     labelled: DataFrame,
     axis: Axis,
     layout: TableLayout,
@@ -166,15 +170,16 @@ def inference(
     drift: DriftParams | None = None,
 ) -> DataFrame:
     """Score the test part with fixed and adaptive intervals; then, if periods are given, feature drift and monthly error
-    drift."""
+    drift. Any stored model will do; the intervals of one that has none are NULL."""
     test = labelled.where(F.col("split") == "test")
-    scored = bundle.score(test)
+    scored = model.score(test)
     kept = [*axis.keys, axis.ts, F.col(target).alias("actual"), "predicted"]
-    intervals = [c for c in ("y_lower", "y_upper", "lower_bound", "upper_bound") if c in scored.columns]
+    bounds = ("y_lower", "y_upper", "lower_bound", "upper_bound")
+    intervals = [F.col(c) if c in scored.columns else F.lit(None).cast("double").alias(c) for c in bounds]
     out = scored.select(*kept, *intervals)
-    if adaptive is not None and bundle.heads is not None:
+    if adaptive is not None:
         out = adaptive_conformal(
-            out.withColumn("_q0", F.lit(bundle.q)), axis.keys, axis.ts, adaptive, "actual", initial_q="_q0"
+            out.withColumn("_q0", F.lit(float(getattr(model, "q", 0.0)))), axis.keys, axis.ts, adaptive, "actual", initial_q="_q0"
         ).drop("_q0")
     predictions = layout.save(error_columns(out, "actual", "predicted"), "predictions")
     if drift is None:
@@ -210,11 +215,12 @@ def full(
     checks: Sequence[Check] | None = None,
     forest_trees: int = 20,
 ) -> TrainResult:
-    """Everything from raw readings to drift reports."""
+    """Everything from raw readings to drift reports. The model in production scores, whichever kind it is."""
     cleaned = ingest(raw, axis, layout, clean_params, checks)
     labelled = prepare(cleaned, axis, layout, features, split)
     result = train_and_select(cleaned, labelled, axis, layout, train, features, forest_trees=forest_trees)
-    inference(result.bundle, labelled, axis, layout, train.target, drift=drift)
+    model = production_model(raw.sparkSession, result.versions)
+    inference(model, labelled, axis, layout, train.target, drift=drift)
     return result
 
 

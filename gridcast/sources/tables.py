@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,6 +126,21 @@ class TableLayout:
             reader = reader.option("header", True)
         return reader.format(fmt).load(self.path(name))
 
+    def append(self, df: DataFrame, name: str) -> None:
+        """Add rows to a Parquet table, which need not exist yet."""
+        if self.tables[name][1] != "parquet":
+            raise ValueError(f"table {name!r} can't be appended to")
+        append_rows(df, self.path(name))
+
+    def read_or_empty(self, spark: SparkSession, name: str, schema: T.StructType | str) -> DataFrame:
+        """The stored table, or no rows of the schema where nothing was stored yet; other errors are raised."""
+        try:
+            return self.read(spark, name, schema)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write, then continue from the written table."""
         self.write(df, name)
