@@ -45,36 +45,61 @@ def widen(df: DataFrame, lower: str, upper: str, q: str | Column) -> DataFrame:
 
 
 class SortedScores:
-    """Sorted multiset of floats in blocks, so that insertion and rank lookup stay cheap for long series."""
+    """Sorted multiset of floats in blocks, so that insertion and rank lookup stay cheap for long series.
+
+    ``order`` lists the blocks' ids from small to large scores, ``tops`` and ``counts`` each block's largest score and
+    size. They suffice to find a block, so a subclass may keep the blocks elsewhere and `fetch` one when it's needed.
+    """
 
     BLOCK = 1024
 
     def __init__(self, values: Sequence[float] = ()):
         ordered = sorted(values)
-        self.blocks = [ordered[i : i + self.BLOCK] for i in range(0, len(ordered), self.BLOCK)] or [[]]
-        self.size = len(ordered)
+        parts = [ordered[i : i + self.BLOCK] for i in range(0, len(ordered), self.BLOCK)] or [[]]
+        self.blocks = dict(enumerate(parts))
+        self.order = list(self.blocks)
+        self.tops = [b[-1] if b else -math.inf for b in parts]
+        self.counts = [len(b) for b in parts]
+        self.next_id, self.size = len(parts), len(ordered)
+        self.changed = set(self.blocks)
+
+    def fetch(self, block_id: int) -> list[float]:
+        raise KeyError(block_id)
+
+    def _block(self, at: int) -> list[float]:
+        block_id = self.order[at]
+        if block_id not in self.blocks:
+            self.blocks[block_id] = self.fetch(block_id)
+        return self.blocks[block_id]
 
     def add(self, value: float) -> None:
-        tops = [b[-1] for b in self.blocks if b]
-        at = min(bisect_left(tops, value), len(self.blocks) - 1)
-        block = self.blocks[at]
+        at = min(bisect_left(self.tops, value), len(self.tops) - 1)
+        block = self._block(at)
         insort(block, value)
         self.size += 1
+        self.tops[at], self.counts[at] = block[-1], len(block)
+        self.changed.add(self.order[at])
         if len(block) > 2 * self.BLOCK:
-            self.blocks[at : at + 1] = [block[: self.BLOCK], block[self.BLOCK :]]
+            upper, self.blocks[self.order[at]] = block[self.BLOCK :], block[: self.BLOCK]
+            self.blocks[self.next_id] = upper
+            self.order.insert(at + 1, self.next_id)
+            self.tops[at : at + 1] = [block[self.BLOCK - 1], upper[-1]]
+            self.counts[at : at + 1] = [self.BLOCK, len(upper)]
+            self.changed.add(self.next_id)
+            self.next_id += 1
 
     def __getitem__(self, rank: int) -> float:
-        for block in self.blocks:
-            if rank < len(block):
-                return block[rank]
-            rank -= len(block)
+        for at, count in enumerate(self.counts):
+            if rank < count:
+                return self._block(at)[rank]
+            rank -= count
         raise IndexError(rank)
 
     def higher(self, p: float) -> float:
         return self[math.ceil((self.size - 1) * p)]
 
     def values(self) -> list[float]:
-        return [v for block in self.blocks for v in block]
+        return [v for at in range(len(self.order)) for v in self._block(at)]
 
 
 class AdaptiveState:

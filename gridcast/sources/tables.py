@@ -169,7 +169,18 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/gridcast/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the tables that `cut` wrote for these frames, once nothing reads them any more. Other frames are left alone."""
+    for frame in frames:
+        if path := getattr(frame, "_cut_path", None):
+            spark = frame.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def publish_features(df: DataFrame, ts: str, entity: str = "grid_zone", value: str | None = "DE") -> DataFrame:
