@@ -43,6 +43,26 @@ def forecast_metrics(
     return df.where(y.isNotNull() & p.isNotNull()).groupBy(*by).agg(*columns)
 
 
+def forecast_metrics_rollup(df: DataFrame, by: Sequence[str], actual: str, predicted: str, prefix: str = "") -> DataFrame:
+    """The same per group, per prefix of ``by`` and over all rows, told apart by ``level``: the number of columns of ``by``
+    that are grouped over, so 0 is the finest and ``len(by)`` the total. A NULL in a group column is a group of its own.
+
+    Rows are first summed into the finest groups; only those sums are rolled up, so the rows aren't copied per level.
+    """
+    y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
+    error, share = y - p, F.when(y != 0, F.abs((y - p) / y))
+    sums = df.where(y.isNotNull() & p.isNotNull()).groupBy(*by).agg(
+        F.count(error).alias("_n"), F.count(share).alias("_shares"), F.sum(share).alias("_share"),
+        F.sum(error * error).alias("_square"), F.sum(F.abs(error)).alias("_abs"),
+    )
+    rolled = sums.rollup(*by).agg(
+        F.bit_count(F.grouping_id()).cast("int").alias("level"), F.sum("_n").alias("n"),
+        (F.try_divide(F.sum("_share"), F.sum("_shares")) * 100).alias(f"{prefix}mape"),
+        F.sqrt(F.sum("_square") / F.sum("_n")).alias(f"{prefix}rmse"), (F.sum("_abs") / F.sum("_n")).alias(f"{prefix}mae"),
+    )
+    return rolled.where("n > 0")  # the total of no rows
+
+
 def error_columns(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """``abs_error`` and ``mape_contribution``; the latter is NULL where the actual is zero."""
     error = F.abs(F.col(actual) - F.col(predicted))

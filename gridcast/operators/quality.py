@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridcast.params import QualityParams
@@ -41,16 +41,12 @@ def default_checks(p: QualityParams = QualityParams()) -> list[Check]:
     ]
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per check: ``check, column, severity, observed, threshold, success``.
-
-    All share-type checks come from one aggregation over the data; each uniqueness check adds one grouping by its
-    column. A check on a missing column fails.
-    """
-    aggregates, verdicts, repeats = [F.count(F.lit(1)).alias("_rows")], [], []
+def _plan(columns: Sequence[str], checks: Sequence[Check]) -> tuple[list[Column], list[Column]]:
+    """The aggregates that the checks need over the rows, and each check's verdict from their values."""
+    aggregates, verdicts = [F.count(F.lit(1)).alias("_rows")], []
     rows = F.col("_rows").cast("double")
     for i, c in enumerate(checks):
-        present = c.column in df.columns
+        present = c.column in columns
         threshold, success = F.lit(float(c.limit)), None
         if c.kind == "exists":
             observed, threshold = F.lit(float(present)), F.lit(1.0)
@@ -71,8 +67,6 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             observed = F.when(F.col(f"_a{i}") > 0, F.col(f"_b{i}") / F.col(f"_a{i}")).otherwise(1.0)
             success = observed >= c.limit - 1e-12
         elif c.kind == "unique":
-            per_value = df.where(F.col(c.column).isNotNull()).groupBy(c.column).agg(F.count(F.lit(1)).alias("_n"))
-            repeats.append(per_value.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(f"_a{i}")))
             observed, threshold = F.col(f"_a{i}").cast("double"), F.lit(0.0)
             success = F.col(f"_a{i}") == 0
         else:
@@ -83,12 +77,50 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
                 observed.alias("observed"), threshold.alias("threshold"), success.alias("success"),
             )
         )
-    wide = df.agg(*aggregates)
+    return aggregates, verdicts
+
+
+def _repeats(df: DataFrame, checks: Sequence[Check]) -> list[DataFrame]:
+    """For each uniqueness check, one row with the number of rows whose value occurs more than once."""
+    out = []
+    for i, c in enumerate(checks):
+        if c.kind == "unique" and c.column in df.columns:
+            per_value = df.where(F.col(c.column).isNotNull()).groupBy(c.column).agg(F.count(F.lit(1)).alias("_n"))
+            out.append(per_value.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(f"_a{i}")))
+    return out
+
+
+def _verdict_rows(wide: DataFrame, repeats: Sequence[DataFrame], verdicts: Sequence[Column]) -> DataFrame:
     for r in repeats:
         wide = wide.crossJoin(F.broadcast(r))  # one row each
     return wide.select(F.inline(F.array(*verdicts)))
 
 
+def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row per check: ``check, column, severity, observed, threshold, success``.
+
+    All share-type checks come from one aggregation over the data; each uniqueness check adds one grouping by its
+    column. A check on a missing column fails.
+    """
+    aggregates, verdicts = _plan(df.columns, checks)
+    return _verdict_rows(df.agg(*aggregates), _repeats(df, checks), verdicts)
+
+
+def checks_on_write(df: DataFrame, checks: Sequence[Check], write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The checks ride along while ``df`` is written: returns the written table and the results of `run_checks`.
+
+    ``write`` stores the frame it is given, with whatever projection it needs but all rows, and returns the stored table,
+    in which a column to be unique must keep its name. Counts, nulls and ranges are observed during that one pass over
+    ``df``, which isn't read again; a uniqueness check groups the stored column.
+    """
+    aggregates, verdicts = _plan(df.columns, checks)
+    seen = Observation()
+    stored = write(df.observe(seen, *aggregates))
+    values = {k: int(v) for k, v in seen.get.items()}
+    wide = df.sparkSession.createDataFrame([tuple(values.values())], ", ".join(f"`{k}` long" for k in values))
+    return stored, _verdict_rows(wide, _repeats(stored, checks), verdicts)
+
+
 def check_statistics(results: DataFrame) -> DataFrame:
     passed = F.count_if("success")
     return results.agg(

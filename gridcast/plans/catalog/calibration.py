@@ -6,10 +6,11 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from gridcast.functions.timegrid import month_text
 from gridcast.operators.conformal import adaptive_conformal, adaptive_summary, conformal_offset, widen
 from gridcast.operators.drift import drift_pivot, drift_statistics, drift_summary, feature_drift, window_rows
 from gridcast.operators.grid import make_grid
-from gridcast.operators.metrics import concept_drift, error_columns, fold_summary, forecast_metrics, interval_metrics
+from gridcast.operators.metrics import concept_drift, error_columns, fold_summary, forecast_metrics, forecast_metrics_rollup, interval_metrics
 from gridcast.operators.naive import naive_run, seasonal_naive
 from gridcast.operators.split import assign_split, split_part, walk_forward_folds
 from gridcast.params import AdaptiveParams, DriftParams, DriftWindow
@@ -52,6 +53,17 @@ def forecast_errors_by_user(spark, sf):
     return rounded(out, "mape", "rmse", "mae", "smape")
 
 
+@query(
+    with_(sql_scored("user_id"))
+    + f"SELECT series_id, month, CAST(bit_count(GROUPING_ID(series_id, month)) AS INTEGER) AS level, {_METRICS} FROM (SELECT *, strftime(ts, '%Y-%m') AS month FROM scored) "
+    "GROUP BY ROLLUP (series_id, month)"
+)
+def forecast_errors_rollup(spark, sf):
+    """Errors per series and month, per series, and in all."""
+    rows = scored(spark, sf, "user_id").withColumn("month", month_text(F.col("ts")))
+    return rounded(forecast_metrics_rollup(rows, ["series_id", "month"], "y", "predicted"), "mape", "rmse", "mae")
+
+
 @query(
     with_(sql_filled(), f"s AS (SELECT *, lag(y, 168) OVER (PARTITION BY series_id ORDER BY ts) AS p, {sql_split()} AS split FROM filled)")
     + f"SELECT series_id, {_METRICS.replace('AS mape', 'AS val_mape').replace('AS rmse', 'AS val_rmse').replace('AS mae', 'AS val_mae')} "

@@ -8,7 +8,7 @@ from gridcast.operators.cleaning import cleaning_stats, normalise_columns
 from gridcast.operators.gaps import fill_gaps, fill_limited, label_null_runs
 from gridcast.operators.outliers import fence_report, fences, null_isolated, null_outside_fences, remove_outliers
 from gridcast.operators.profile import missing_rows
-from gridcast.operators.quality import Check, check_statistics, gate, quality_report, run_checks
+from gridcast.operators.quality import Check, check_statistics, checks_on_write, gate, quality_report, run_checks
 from gridcast.params import Axis, CleanParams
 from gridcast.plans.catalog.base import (
     DAILY, HOURLY, SQL_DAILY, daily, filled, grid, hourly, query, rounded, sql_fill, sql_filled, sql_grid, sql_hourly,
@@ -238,6 +238,13 @@ def quality_checks(spark, sf):
     return rounded(_checked(spark, sf), "observed")
 
 
+@query(_CHECK_SQL)
+def quality_checks_on_write(spark, sf):
+    """The same checks observed while the table is written, so that it's read once."""
+    events = table(spark, sf, "events").withColumn("big_value", F.when(F.col("value") > 20, F.col("value")))
+    return rounded(checks_on_write(events, CHECKS, cut)[1], "observed")
+
+
 @query(
     f"SELECT count(*) AS evaluated, count(*) FILTER (success) AS passed, count(*) FILTER (NOT success) AS failed FROM ({_CHECK_SQL})"
 )

@@ -18,8 +18,8 @@ from gridcast.plans.catalog.base import (
     table, with_, SQL_DAILY,
 )
 from gridcast.sources.tables import (
-    CONTRACT_FIELDS, append_rows, contract_v1, enforce_contract, publish_features, read_raw, shared_folder, write_panel,
-    write_report,
+    CONTRACT_FIELDS, append_rows, contract_v1, enforce_contract, publish_features, read_json, read_raw, shared_folder, write_json,
+    write_panel, write_report,
 )
 
 
@@ -29,21 +29,25 @@ def _scratch(spark, name: str) -> str:
 
 RAW_WIDE = """wide AS (
   SELECT date_trunc('hour', ts) AS ts,
-    CAST(SUM(CASE WHEN event_type = 'view' THEN CAST(round(value * 100) AS BIGINT) END) AS DOUBLE) AS load_mw,
-    CAST(SUM(CASE WHEN event_type = 'click' THEN CAST(round(value * 100) AS BIGINT) END) AS DOUBLE) AS wind_mw,
-    CAST(SUM(CASE WHEN event_type = 'purchase' THEN CAST(round(value * 100) AS BIGINT) END) AS DOUBLE) AS solar_mw
+    CAST(SUM(CASE WHEN event_type IN ('view', 'error') THEN CAST(round(value * 100) AS BIGINT) END) AS DOUBLE) AS load_mw,
+    CAST(SUM(CASE WHEN event_type IN ('click', 'signup') THEN CAST(round(value * 100) AS BIGINT) END) AS DOUBLE) AS wind_mw,
+    CAST(SUM(CASE WHEN event_type NOT IN ('view', 'error', 'click', 'signup') THEN CAST(round(value * 100) AS BIGINT) END) AS DOUBLE) AS solar_mw
   FROM events GROUP BY 1)"""
 
 
 def raw_wide(spark, sf):
-    """Hourly events laid out like a raw readings file: text time in ISO form, one value column per event type."""
+    """Hourly events laid out like a raw readings file: text time in ISO form, every event in one of three value columns."""
     events = table(spark, sf, "events")
-    types = {"view": "DE_load_actual_entsoe_transparency", "click": "DE_wind_generation_actual",
-             "purchase": "DE_solar_generation_actual"}
+    kind = F.col("event_type")
+    columns = {
+        "DE_load_actual_entsoe_transparency": kind.isin("view", "error"),
+        "DE_wind_generation_actual": kind.isin("click", "signup"),
+        "DE_solar_generation_actual": ~kind.isin("view", "error", "click", "signup"),
+    }
     amount = F.round(F.col("value") * 100).cast("bigint")
     hour = F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("utc_timestamp")
     return events.groupBy(hour).agg(
-        *[F.sum(F.when(F.col("event_type") == t, amount)).cast("double").alias(c) for t, c in types.items()],
+        *[F.sum(F.when(belongs, amount)).cast("double").alias(c) for c, belongs in columns.items()],
         F.count(F.lit(1)).alias("AT_load_actual"),
     )
 
@@ -93,6 +97,26 @@ def json_report(spark, sf):
     return counts.select("event_type", F.to_json(F.struct("event_type", "n")).alias("report"))
 
 
+USER_JSON = "series_id STRING, span STRUCT<first: TIMESTAMP_NTZ, last: TIMESTAMP_NTZ>, types ARRAY<STRUCT<event_type: STRING, n: BIGINT>>"
+
+
+@query(
+    "SELECT CAST(user_id AS VARCHAR) AS series_id, event_type, count(*) AS n, min(min(ts)) OVER (PARTITION BY user_id) AS first, "
+    "max(max(ts)) OVER (PARTITION BY user_id) AS last FROM events GROUP BY user_id, event_type"
+)
+def json_dataset(spark, sf):
+    """A nested table stored as JSON lines and read back with its schema: one object per user, with a span and counts by type."""
+    path = _scratch(spark, "json")
+    counts = table(spark, sf, "events").groupBy(F.col("user_id").cast("string").alias("series_id"), "event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last")
+    )
+    types = F.array_sort(F.collect_list(F.struct("event_type", "n")))  # one entry an event type
+    objects = counts.groupBy("series_id").agg(F.struct(F.min("first").alias("first"), F.max("last").alias("last")).alias("span"), types.alias("types"))
+    write_json(objects, path)
+    back = read_json(spark, path, USER_JSON).select("series_id", "span.*", F.inline("types"))
+    return back.select("series_id", "event_type", "n", "first", "last")
+
+
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def json_decode(spark, sf):
     parsed = F.from_json("props", "k bigint")["k"]
@@ -101,11 +125,11 @@ def json_decode(spark, sf):
 
 @query("SELECT o_orderstatus AS model, count(*) AS n, CAST(min(o_orderkey) AS BIGINT) AS first_key FROM orders GROUP BY 1")
 def append_run_table(spark, sf):
-    """Rows appended to one table in several writes and read back together."""
+    """Rows appended to one table, a write for each status there is, and read back together."""
     path = _scratch(spark, "runs")
     orders = table(spark, sf, "orders")
-    for status in ("F", "O", "P"):
-        part = orders.where(F.col("o_orderstatus") == status).groupBy(F.col("o_orderstatus").alias("model")).agg(
+    for (status,) in orders.select("o_orderstatus").distinct().collect():  # a few statuses
+        part = orders.where(F.col("o_orderstatus").eqNullSafe(F.lit(status))).groupBy(F.col("o_orderstatus").alias("model")).agg(
             F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key")
         )
         append_rows(part, path)

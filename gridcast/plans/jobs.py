@@ -22,7 +22,7 @@ from gridcast.operators.metrics import concept_drift, error_columns, fold_summar
 from gridcast.operators.model_store import Forecaster, production_model
 from gridcast.operators.naive import fit_naive, seasonal_naive
 from gridcast.operators.outliers import remove_outliers
-from gridcast.operators.quality import Check, default_checks, gate, quality_report, run_checks
+from gridcast.operators.quality import Check, checks_on_write, default_checks, gate, quality_report, require, run_checks
 from gridcast.operators.split import assign_split, check_split, split_metadata
 from gridcast.operators.structural import fit_structural
 from gridcast.params import AdaptiveParams, Axis, CleanParams, DriftParams, FeatureParams, SplitParams, TrainParams
@@ -54,13 +54,21 @@ def ingest(
 ) -> DataFrame:
     """Quality gate, then cleaning. Cleaning reads the data through the gate, so a hard failure stops it.
 
-    Without a series key in the raw data one constant series is assumed.
+    The raw files are read once: the checks are observed while the parsed readings are written. Without a series key in
+    the raw data one constant series is assumed.
     """
     raw = raw if set(axis.keys) <= set(raw.columns) else raw.withColumn(axis.keys[0], F.lit("DE"))
-    results = cut(run_checks(raw, checks or default_checks()))
+    checks = checks or default_checks()
+    if not set(names) <= set(raw.columns):  # nothing can be parsed; the report says which columns are missing
+        results = cut(run_checks(raw, checks))
+        layout.write(quality_report(results, "raw_readings"), "quality_report")
+        require(results)
+    unique = [c.column for c in checks if c.kind == "unique" and c.column in raw.columns and c.column not in {*axis.keys, *names.values()}]
+    kept = list(dict.fromkeys([*axis.keys, *unique]))
+    stored, results = checks_on_write(raw, checks, lambda rows: cut(normalise_columns(rows, names, axis.ts, kept)))
+    results = cut(results)
     layout.write(quality_report(results, "raw_readings"), "quality_report")
-    named = normalise_columns(gate(raw, results), names, axis.ts, axis.keys)
-    return layout.save(clean(named, axis, params), "clean")
+    return layout.save(clean(gate(stored.drop(*unique), results), axis, params), "clean")
 
 
 def prepare(

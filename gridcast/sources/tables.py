@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,27 +26,75 @@ RAW_SCHEMA = T.StructType(
 )
 
 
+HEADER_SPLIT = 16 << 20
+
+
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """The first line of every file under ``path``, as ``file`` and ``header``, in one distributed job.
+
+    Every split of a file is a task of its own, and a task stops after the first lines that it's given, so files aren't
+    read to their end. Empty files give no row.
+    """
+    settings = {"spark.sql.files.maxPartitionBytes": str(HEADER_SPLIT), "spark.sql.files.openCostInBytes": str(HEADER_SPLIT)}
+    before = {c: spark.conf.get(c) for c in settings}
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("header"))
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch) or batch.column("start")[0].as_py() != 0:
+                return
+            yield batch.select(["file", "header"]).slice(0, 1)
+            if batch.column("file")[0] == batch.column("file")[len(batch) - 1]:
+                return  # one split a task, so no other file follows
+
+    try:
+        for c, v in settings.items():
+            spark.conf.set(c, v)
+        return cut(lines.mapInArrow(first_lines, "file string, header string"))
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
 def read_raw(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Raw CSV with a header, read with an explicit schema.
 
     Columns are matched by each file's own header, so files may order them differently, and a file with hundreds of
-    other columns is read for the wanted ones only. Values arrive as text; `normalise_columns` parses them.
+    other columns is read for the wanted ones only. Values arrive as text; `normalise_columns` parses them. Headers are
+    found by one job over all files; files of the same header are one scan. A header must not hold line breaks.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.option("header", True).csv(path).inputFiles()):
-        by_header.setdefault(tuple(spark.read.option("header", True).csv(file).columns), []).append(file)  # header line only
+    headers = file_headers(spark, path)
+    groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()  # one row a kind of header
+    release(headers)
     parts = []
-    for header, files in by_header.items():
-        wide = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        present = [f.name for f in schema.fields if f.name in header]
+    for header, files in sorted((g["header"], g["files"]) for g in groups):
+        names = next(csv.reader([header.removeprefix("\ufeff")]))
+        wide = T.StructType([T.StructField(c or f"_c{i}", T.StringType()) for i, c in enumerate(names)])
+        present = [f.name for f in schema.fields if f.name in names]
         reader = spark.read.option("header", True).option("enforceSchema", False)
-        parts.append(reader.schema(wide).csv(files).select(*present))
+        parts.append(reader.schema(wide).csv(sorted(files)).select(*present))
+    if not parts:
+        return spark.createDataFrame([], schema)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)
     return out
 
 
+# Times in JSON text keep their microseconds, which the writer's own default cuts to milliseconds.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """A table as JSON lines, nested columns as objects and arrays, written by as many tasks as made it; nulls are kept."""
+    df.write.mode("overwrite").options(ignoreNullFields=False, **JSON_TIMES).json(path)
+
+
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """JSON lines with an explicit schema; a line that isn't JSON, or a value of another type, raises."""
+    return spark.read.schema(schema).options(mode="FAILFAST", **JSON_TIMES).json(path)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
     """Overwrite a Parquet table. Rows are clustered by the partition columns first, so that each partition gets few
     files; the spread over ``sort_by`` keeps a hot partition from ending up in one task."""
