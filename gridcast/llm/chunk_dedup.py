@@ -61,77 +61,78 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def repeated_chunks(docs: DataFrame, parts: int) -> DataFrame:
-    """(key, start, end) of every chunk, in bytes of its text, that equals an earlier one."""
-    kinds = [("part", pa.int32()), ("digests", pa.binary()), ("keys", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())]
-    schema = pa.schema(kinds)
+    """(key, body, start, end) of every chunk, in bytes of its text, that equals an earlier one. ``body`` is the text's hash,
+    which tells rows of one key apart; rows come in the order of key, then body."""
+    schema = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("digests", "keys", "bodies", "starts", "ends"))])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
             data, offsets = flat(b.column("text"))
             starts, ends = chunk_ends(data, offsets)
             owner = np.searchsorted(offsets, starts, "right") - 1
-            keys = b.column("key").to_numpy()[owner]
+            keys, bodies = b.column("key").to_numpy()[owner], b.column("body").to_numpy()[owner]
             big = ends - starts >= MIN_BYTES
-            starts, ends, keys, owner = starts[big], ends[big], keys[big], owner[big]
+            starts, ends, keys, bodies, owner = starts[big], ends[big], keys[big], bodies[big], owner[big]
             raw = data.tobytes()
             digest = b"".join(hashlib.blake2b(raw[i:j], digest_size=16).digest() for i, j in zip(starts.tolist(), ends.tolist(), strict=True))
             pairs = np.frombuffer(digest, np.uint64).reshape(-1, 2)
             starts, ends = starts - offsets[owner], ends - offsets[owner]
-            order = np.lexsort((starts, keys, pairs[:, 1], pairs[:, 0]))
-            pairs, keys, starts, ends = pairs[order], keys[order], starts[order], ends[order]
+            order = np.lexsort((starts, bodies, keys, pairs[:, 1], pairs[:, 0]))
+            pairs, keys, bodies, starts, ends = pairs[order], keys[order], bodies[order], starts[order], ends[order]
             later = np.zeros(len(keys), bool)
             later[1:] = (pairs[1:] == pairs[:-1]).all(1)
             # Entries known to be repeats go by their key, with an empty digest; equal rows repeat each other's entries.
             same = np.zeros(len(keys), bool)
-            same[1:] = later[1:] & (keys[1:] == keys[:-1]) & (starts[1:] == starts[:-1])
+            same[1:] = later[1:] & (keys[1:] == keys[:-1]) & (bodies[1:] == bodies[:-1]) & (starts[1:] == starts[:-1])
             first = np.maximum.accumulate(np.where(later, 0, np.arange(len(keys)))) if len(keys) else later
-            same |= (keys == keys[first]) & (starts == starts[first]) & later if len(keys) else later
+            same |= (keys == keys[first]) & (bodies == bodies[first]) & (starts == starts[first]) & later if len(keys) else later
             place = np.where(later, mix(keys.astype(np.int64).view(np.uint64)), pairs[:, 0])
             part = ((place >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             pairs = np.where(later[:, None], np.uint64(0), pairs)
             keep = ~same
-            part, pairs, keys, starts, ends = part[keep], pairs[keep], keys[keep], starts[keep], ends[keep]
+            part, pairs, keys, bodies, starts, ends = part[keep], pairs[keep], keys[keep], bodies[keep], starts[keep], ends[keep]
             order = np.argsort(part, kind="stable")
             edges = np.searchsorted(part[order], np.arange(parts + 1))
             some = np.flatnonzero(np.diff(edges))
-            cols = [[], [], [], []]
+            cols = [[], [], [], [], []]
             for p in some:
                 own = order[edges[p] : edges[p + 1]]
-                for column, values in zip(cols, (pairs, keys.astype(np.int64), starts.astype(np.uint32), ends.astype(np.uint32)), strict=True):
+                for column, values in zip(cols, (pairs, keys.astype(np.int64), bodies, starts.astype(np.uint32), ends.astype(np.uint32)), strict=True):
                     column.append(values[own].tobytes())
             yield batch_of(schema, some.astype(np.int32), *cols)
 
     def meet(group: pa.Table) -> pa.Table:
         read = lambda name, kind: np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
-        pairs, keys = read("digests", np.uint64).reshape(-1, 2), read("keys", np.int64)
+        pairs, keys, bodies = read("digests", np.uint64).reshape(-1, 2), read("keys", np.int64), read("bodies", np.int64)
         starts, ends = read("starts", np.uint32).astype(np.int64), read("ends", np.uint32).astype(np.int64)
         known = (pairs == 0).all(1)
-        order = np.lexsort((starts, keys, pairs[:, 1], pairs[:, 0]))
+        order = np.lexsort((starts, bodies, keys, pairs[:, 1], pairs[:, 0]))
         same = np.zeros(len(keys), bool)
         same[order[1:]] = (pairs[order[1:]] == pairs[order[:-1]]).all(1)
         first = np.maximum.accumulate(np.where(same[order], 0, np.arange(len(order)))) if len(order) else order
         head = order[first]
         again = np.zeros(len(keys), bool)
-        again[order] = same[order] & ((keys[order] != keys[head]) | (starts[order] != starts[head]))
+        again[order] = same[order] & ((keys[order] != keys[head]) | (bodies[order] != bodies[head]) | (starts[order] != starts[head]))
         out = again | known
-        return pa.table({"key": keys[out], "start": starts[out], "end": ends[out]})
+        return pa.table({"key": keys[out], "body": bodies[out], "start": starts[out], "end": ends[out]})
 
-    packed = docs.mapInArrow(pack, "part int, digests binary, keys binary, starts binary, ends binary")
-    return packed.groupBy("part").applyInArrow(meet, "key long, start long, end long")
+    packed = docs.mapInArrow(pack, "part int, digests binary, keys binary, bodies binary, starts binary, ends binary")
+    return packed.groupBy("part").applyInArrow(meet, "key long, body long, start long, end long")
 
 
 def drop_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, n_bytes, spans (array of start and end byte, joined where they touch), text (what stays).
 
-    A null text counts as empty and has no spans. Keys must be integers; rows of one key are one text to this operator
-    if they're equal, and rows with a null key are kept whole. Other columns aren't read; an empty table gives no rows.
+    A null text counts as empty and has no spans. Keys must be integers; equal rows
+    are one text to this operator, other rows of one key are texts of their own, and rows with a null key are kept whole. Other columns aren't read; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     docs = only(docs, key, text).toDF("key", "text").withColumn("key", F.col("key").cast("long"))
+    docs = docs.withColumn("body", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     gone = repeated_chunks(docs.filter("key is not null"), parts).distinct()
-    gone = gone.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    met = docs.join(gone, "key", "left")
+    gone = gone.groupBy("key", "body").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    met = docs.join(gone, ["key", "body"], "left")
     schema = "key long, n_bytes long, spans array<struct<start:long,end:long>>, text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
