@@ -5,14 +5,16 @@ shingle counts as often as it occurs, divided by the number of items of the whol
 fewer words than the item is one window. A window that shares no shingle with any item has similarity 0, so only windows
 around shared shingles are fingerprinted.
 
-A fingerprint is 128 bits. It's cut into 16 blocks; if two fingerprints differ in at most ``RADIUS`` bits, some block
-differs in at most ``RADIUS // 16``, so probing each block's neighbours of that many bits finds every item within the
-radius. At the similarity asked for, fingerprints differ in 19 bits on average, with a standard deviation of 4; the
-radius of 40 is five deviations away.
+A fingerprint is 128 bits: the signs of sums over the shingles, each as large as the root of its weight times its count.
+Then the cosine of two such vectors is at least 2J / (1 + J) at weighted similarity J, whatever the weights, and a bit
+differs with probability arccos(2J / (1 + J)) / pi at most. `radius` is five standard deviations above the mean of that:
+19.4 + 5 * 4.1 = 40 bits at 80 percent. A fingerprint is cut into 16 blocks; if two differ in at most R bits, some block
+differs in at most R // 16, so probing each block's neighbours of that many bits finds every item within the radius.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -24,19 +26,34 @@ from pyspark.sql import types as T
 
 from gridcast.llm.text import blocks, bounded_batches, flat, mix, only, span_hashes, window_hashes, word_spans
 
-BITS, BLOCKS, RADIUS = 128, 16, 40
+BITS, BLOCKS, DEVIATIONS = 128, 16, 5
 INDEX_BYTES = 16 << 20
 FILTER_BITS = 20
 ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
-def fingerprints(shingles: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
-    """The fingerprint, as bytes, of the ``n`` shingles from each position in ``first``."""
+def radius(percent: int) -> int:
+    """The number of bits by which fingerprints of sets with at least that similarity may differ."""
+    share = min(1.0, max(0.0, percent / 100))
+    p = math.acos(2 * share / (1 + share)) / math.pi
+    return min(BITS, math.ceil(BITS * p + DEVIATIONS * math.sqrt(BITS * p * (1 - p))))
+
+
+def fingerprints(shingles: np.ndarray, weights: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """The fingerprint, as bytes, of the ``n`` shingles from each position in ``first``; ``weights`` are the shingles'."""
     both = np.stack([mix(shingles), mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5))], 1)
-    signs = np.unpackbits(both.view(np.uint8).reshape(len(shingles), BITS // 8), axis=1).astype(np.int32) * 2 - 1
-    total = np.zeros((len(shingles) + 1, BITS), np.int32)
-    np.cumsum(signs, axis=0, out=total[1:])
-    return np.packbits(total[first + n] - total[first] > 0, axis=1)
+    signs = np.unpackbits(both.view(np.uint8).reshape(len(shingles), BITS // 8), axis=1).astype(float) * 2 - 1
+    size = np.sqrt(weights)
+    if len(np.unique(shingles)) == len(shingles):
+        total = np.zeros((len(shingles) + 1, BITS))
+        np.cumsum(signs * size[:, None], axis=0, out=total[1:])
+        sums = total[first + n] - total[first]
+    else:  # a shingle that occurs c times counts as the root of c, which no running sum gives
+        sums = np.empty((len(first), BITS))
+        for i, at in enumerate(first.tolist()):
+            _, one, count = np.unique(shingles[at : at + n], return_index=True, return_counts=True)
+            sums[i] = (size[at + one] * np.sqrt(count)) @ signs[at + one]
+    return np.packbits(sums > 1e-9, axis=1)
 
 
 class Index:
@@ -44,7 +61,9 @@ class Index:
 
     def __init__(self, ids: list, texts: list, size: int, percent: int, shared: dict):
         """``shared`` has the number of items of the whole benchmark for each shingle of several items."""
-        self.size, self.percent, self.shared = size, percent, shared
+        self.size, self.percent, self.shared, self.radius = size, percent, shared, radius(percent)
+        self.common = np.array(sorted(shared), np.uint64)
+        self.common_weights = np.array([1 / shared[s] for s in self.common.tolist()])
         self.ids, self.words, self.counts, self.marks = [], [], [], []
         owners: dict[int, set] = defaultdict(set)
         for key, text in zip(ids, texts, strict=True):
@@ -58,18 +77,27 @@ class Index:
             self.ids.append(key)
             self.words.append(len(starts))
             self.counts.append(Counter(shingles.tolist()))
-            self.marks.append(fingerprints(shingles, np.zeros(1, np.int64), len(shingles))[0])
+            self.marks.append(fingerprints(shingles, self.weights(shingles), np.zeros(1, np.int64), len(shingles))[0])
         self.owners = {s: sorted(o) for s, o in owners.items()}
         self.known = np.array(sorted(self.owners), np.uint64)
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.known >> np.uint64(64 - FILTER_BITS)] = True
         self.lengths = {m: [i for i, n in enumerate(self.words) if n == m] for m in set(self.words)}
-        near = ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= RADIUS // BLOCKS
+        near = ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= self.radius // BLOCKS
         self.probe = {}  # for each item length: block, value of the block -> items whose block is near
         for m, items in self.lengths.items():
             marks = np.array([self.marks[i] for i in items])
             self.probe[m] = np.stack([near[:, marks[:, b]] for b in range(BLOCKS)])
 
+    def weights(self, shingles: np.ndarray) -> np.ndarray:
+        """One divided by the number of items that have the shingle; 1 for a shingle of one item or none."""
+        out = np.ones(len(shingles))
+        if len(self.common):
+            at = np.minimum(np.searchsorted(self.common, shingles), len(self.common) - 1)
+            same = self.common[at] == shingles
+            out[same] = self.common_weights[at[same]]
+        return out
+
     def similarity(self, item: int, window: Counter) -> float:
         own, both, all_ = self.counts[item], 0.0, 0.0
         for s in own.keys() | window.keys():
@@ -99,14 +127,14 @@ class Index:
                 spots = np.unique(np.concatenate([np.arange(max(low, h + k - length), min(high, h) + 1) for h in hits]))
                 at = np.searchsorted(first, spots)
                 own = shingles[at[0] : at[-1] + length - k + 1]
-                marks = fingerprints(own, at - at[0], length - k + 1)
+                marks = fingerprints(own, self.weights(own), at - at[0], length - k + 1)
                 items = self.lengths[m]
                 close = np.zeros((len(spots), len(items)), bool)
                 for b in range(BLOCKS):
                     close |= self.probe[m][b][marks[:, b]]
                 for w, j in zip(*np.nonzero(close), strict=True):
                     bits = int(ONES[marks[w] ^ self.marks[items[j]]].sum())
-                    if bits > RADIUS:
+                    if bits > self.radius:
                         continue
                     window = Counter(own[at[w] - at[0] : at[w] - at[0] + length - k + 1].tolist())
                     score = self.similarity(items[j], window)
@@ -149,7 +177,9 @@ def _indexes(spark: SparkSession, items: DataFrame, key: str, text: str, size: i
     shared = _shared_shingles(items, size) if shares else {}
     for share in range(shares):
         rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(shares)) == share).orderBy("key", "text").toArrow()
-        yield Index(rows.column(0).to_pylist(), rows.column(1).to_pylist(), size, percent, shared)
+        index = Index(rows.column(0).to_pylist(), rows.column(1).to_pylist(), size, percent, shared)
+        index.kind = rows.column(0).type
+        yield index
 
 
 def find_benchmark(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
@@ -178,7 +208,7 @@ def find_benchmark(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
                          for row, i, score, at, length, bits in index.matches(b)]
                 if found:
                     columns = list(zip(*found, strict=True))
-                    arrow = [pa.array([x.as_py() for x in columns[0]], b.schema.field("key").type), pa.array(columns[1]),
+                    arrow = [pa.array([x.as_py() for x in columns[0]], b.schema.field("key").type), pa.array(columns[1], index.kind),
                              pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.int64()),
                              pa.array(columns[4], pa.int64()), pa.array(columns[5], pa.int32())]
                     yield pa.RecordBatch.from_arrays(arrow, [key, item_key, "similarity", "first_word", "n_words", "bits"])
