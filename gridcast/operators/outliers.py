@@ -187,10 +187,11 @@ def null_isolated(
     seed: int = 42,
     trees: int = TREES,
     keep_helpers: bool = False,
+    sample: int = SAMPLE,
 ) -> DataFrame:
     """Null all ``columns`` on the ``contamination`` share of rows with the highest isolation scores, per series."""
     df = with_bucket(df, axis)
-    scores = cut(isolation_scores(df, axis, columns, trees=trees, seed=seed))  # read three times below
+    scores = cut(isolation_scores(df, axis, columns, trees=trees, sample=sample, seed=seed))  # read three times below
     p = 1.0 - contamination
     limits = order_statistics(scores, axis.keys, "_score", {"_limit": (p, linear_position(p))}).drop("n")
     flagged = join_groups(scores, limits, axis.keys).where(F.col("_score") > F.col("_limit"))
@@ -210,12 +211,18 @@ def remove_outliers(
     refill_limit: int = 24,
     until: str | None = None,
     causal: bool = False,
+    trees: int = TREES,
+    sample: int = SAMPLE,
+    seed: int = 42,
 ) -> DataFrame:
-    """Null outliers by ``method`` ("iqr" or "isolation_forest"), then interpolate what became or was null."""
+    """Null outliers by ``method`` ("iqr" or "isolation_forest"), then interpolate what became or was null.
+
+    The forest looks at all ``columns`` together; ``trees``, ``sample`` (rows per tree) and ``seed`` are its own.
+    """
     if method == "iqr":
         out = null_outside_fences(df, axis, columns, multiplier, until, keep_helpers=True)
     elif method == "isolation_forest":
-        out = null_isolated(df, axis, columns, contamination, keep_helpers=True)
+        out = null_isolated(df, axis, columns, contamination, seed, trees, keep_helpers=True, sample=sample)
     else:
         raise ValueError(f"unknown outlier method {method!r}: use 'iqr' or 'isolation_forest'")
     return fill_limited(out, axis, columns, refill_limit, causal)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridcast.operators.cleaning import cleaning_stats, normalise_columns
+from gridcast.operators.features import lag_features
 from gridcast.operators.gaps import fill_gaps, fill_limited, label_null_runs
 from gridcast.operators.outliers import fence_report, fences, null_isolated, null_outside_fences, remove_outliers
 from gridcast.operators.profile import missing_rows
@@ -151,9 +152,10 @@ def remove_outliers_by_fences(spark, sf):
 
 @query()
 def remove_outliers_by_isolation(spark, sf):
-    """Isolation forest on value and its one-hour change."""
-    panel = filled(spark, sf)
-    return null_isolated(panel, Axis(), ["y"], contamination=0.02, trees=40)
+    """A joint isolation forest of 100 trees on the value, its one-hour and its daily change; all three are nulled together."""
+    lagged = lag_features(filled(spark, sf), HOURLY, "y", (1, 24))
+    panel = lagged.select("series_id", "ts", "y", (F.col("y") - F.col("lag_1h")).alias("change_1h"), (F.col("y") - F.col("lag_24h")).alias("change_24h"))
+    return null_isolated(panel, HOURLY, ["y", "change_1h", "change_24h"], contamination=0.02)
 
 
 def _clean_column(c: str) -> str:

@@ -14,11 +14,11 @@ from gridcast.operators.naive import hour_profile_baseline, seasonal_naive
 from gridcast.operators.outliers import fence_report
 from gridcast.operators.profile import autocorrelation, describe, profile_by_year, seasonal_profile
 from gridcast.operators.quantiles import approx_quantiles, exact_quantiles
-from gridcast.operators.split import assign_split
+from gridcast.operators.split import assign_split, split_part, walk_forward_folds
 from gridcast.plans.catalog.base import (
     HOURLY, SPLIT, filled, grid, hourly, query, rounded, sql_filled, sql_grid, sql_hourly, sql_r4, sql_split, table, with_,
 )
-
+from gridcast.plans.catalog.calibration import _FOLD_METRICS
 from gridcast.sources.panels import cents
 from gridcast.sources.tables import cut
 
@@ -225,19 +225,19 @@ def version_registration(spark, sf):
     return registry.register_version(versions(spark, sf), "new", "p")
 
 
-_FOLDS = """weeks AS (SELECT event_type AS parent_run_id, CAST(week(ts) AS INTEGER) AS fold, avg(CAST(round(value * 100) AS BIGINT)) AS fold_mape FROM events GROUP BY 1, 2)"""
-
-
 @query(
-    with_(_FOLDS)
-    + f"SELECT parent_run_id, fold, {sql_r4('fold_mape')} AS fold_mape, {sql_r4('avg(fold_mape) OVER (PARTITION BY parent_run_id)')} AS mean FROM weeks"
+    with_(sql_filled(), _FOLD_METRICS)
+    + f"SELECT series_id AS parent_run_id, CAST(fold AS INTEGER) AS fold, {sql_r4('mape')} AS fold_mape, {sql_r4('avg(mape) OVER (PARTITION BY series_id)')} AS mean FROM fold_mape"
 )
 def fold_metrics(spark, sf):
-    """Fold numbers parsed from run names (weeks stand in for folds)."""
-    weekly = _in_cents(spark, sf).groupBy(F.col("event_type").alias("parent_run_id"), F.weekofyear("ts").alias("w")).agg(
-        F.avg("value").alias("value")
-    )
-    rows = weekly.withColumn("run_name", F.concat(F.lit("fold_"), "w")).withColumn("metric", F.lit("fold_mape"))
+    """Fold errors of the daily naive recorded as runs named after their fold, read back by number with their mean."""
+    train = split_part(assign_split(filled(spark, sf), "ts", SPLIT), "train")
+    folds = walk_forward_folds(seasonal_naive(train, HOURLY, "y", 24), HOURLY, 4).where(F.col("role") == "val")
+    errors = forecast_metrics(folds, ["series_id", "fold"], "y", "predicted", "fold_")
+    rows = errors.select(
+        F.col("series_id").alias("parent_run_id"), F.concat(F.lit("fold_"), "fold").alias("run_name"), F.lit("fold_mape").alias("metric"),
+        F.col("fold_mape").alias("value"),
+    )
     return rounded(registry.fold_rows(rows), "fold_mape", "mean")
 
 

@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 from gridcast.functions.timegrid import in_slice, month_text, number, time_slice, utc_time
 from gridcast.operators.asof import lookup_latest, materialize_latest
 from gridcast.operators.cleaning import enforce_non_negative, normalise_columns
+from gridcast.operators.features import history_features
+from gridcast.operators.grid import make_grid
 from gridcast.operators.profile import in_year, profile_nulls
 from gridcast.operators.split import (
     assign_split, features_and_target, fingerprint, split_metadata, split_overlap, split_part,
 )
+from gridcast.params import Axis
 from gridcast.plans.catalog.base import (
     SPLIT, daily, filled, grid, hourly, query, rounded, sql_filled, sql_grid, sql_hourly, sql_r4, sql_split,
     table, with_, SQL_DAILY,
 )
+from gridcast.plans.catalog.features import LAGS, WINDOWS, _WINDOW, sql_lags, sql_rolling
 from gridcast.sources.tables import (
     CONTRACT_FIELDS, append_rows, contract_v1, enforce_contract, publish_features, read_json, read_raw, shared_folder, write_json,
     write_panel, write_report,
@@ -141,20 +145,22 @@ def publish_feature_rows(spark, sf):
     return publish_features(hourly(spark, sf), "ts").select("timestamp", "y", "series_id", "grid_zone")
 
 
-_ZERO_FIELDS = [c for c in CONTRACT_FIELDS if c != "load_mw"]
+_ROLLED = [c for c in CONTRACT_FIELDS if c.startswith("rolling_")]
 
 
 @query(
-    with_(sql_hourly())
-    + "SELECT series_id AS grid_zone, ts AS timestamp, y AS load_mw, "
-    + ", ".join(f"CAST(extract(hour FROM ts) AS DOUBLE) AS {c}" for c in _ZERO_FIELDS)
-    + " FROM panel"
+    with_(RAW_WIDE, "panel AS (SELECT 'DE' AS series_id, ts, load_mw AS y FROM wide)", sql_grid())
+    + "SELECT g.series_id AS grid_zone, g.ts AS timestamp, y AS load_mw, w.wind_mw, w.solar_mw, "
+    + ", ".join(c for c in CONTRACT_FIELDS if c.startswith(("lag_", "rolling_")))
+    + f" FROM (SELECT *, {sql_lags()}, {sql_rolling()} FROM grid {_WINDOW}) g LEFT JOIN wide w USING (ts)"
 )
 def feature_contract(spark, sf):
-    """Feature rows cast and ordered to the version 1 contract."""
-    rows = publish_features(hourly(spark, sf).withColumnRenamed("y", "load_mw"), "ts", "grid_zone", None)
-    rows = rows.withColumnRenamed("series_id", "grid_zone").withColumns({c: F.hour("timestamp") for c in _ZERO_FIELDS})
-    return enforce_contract(rows, contract_v1())
+    """Load, wind, solar and the load's lags and rolling statistics, cast and ordered to the version 1 contract."""
+    wide = normalise_columns(raw_wide(spark, sf)).withColumn("ts", F.col("ts").cast("timestamp_ntz")).withColumn("grid_zone", F.lit("DE"))
+    axis = Axis(keys=("grid_zone",))
+    rows = history_features(make_grid(wide, axis, ["load_mw", "wind_mw", "solar_mw"]), axis, "load_mw", LAGS, WINDOWS)
+    rows = rounded(publish_features(rows, "ts", "grid_zone", None), *_ROLLED)
+    return enforce_contract(rows, contract_v1(), allow_extra=True)  # the longest window's deviation isn't in version 1
 
 
 _LATEST = """latest AS (

@@ -131,6 +131,9 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+MONTH = "part_month"
+
+
 @dataclass(frozen=True)
 class TableLayout:
     """Named tables in numbered layers under one root; every step's result can be read and rebuilt by itself."""
@@ -159,22 +162,37 @@ class TableLayout:
         }
     )
 
+    # Tables that grow with time, and the column whose month they are partitioned by.
+    by_month: dict[str, str] = field(default_factory=lambda: {c: "ts" for c in ("clean", "features", "model_input", "predictions")})
+
     def path(self, name: str) -> str:
         return f"{self.root}/{self.tables[name][0]}/{name}"
 
+    def _month_of(self, name: str, columns: Sequence[str]) -> str | None:
+        ts = self.by_month.get(name)
+        return ts if self.tables[name][1] == "parquet" and ts in columns else None
+
     def write(self, df: DataFrame, name: str) -> None:
         fmt = self.tables[name][1]
-        if fmt == "parquet":
+        if ts := self._month_of(name, df.columns):
+            write_table(df.withColumn(MONTH, month_text(F.col(ts))), self.path(name), [MONTH], [ts])
+        elif fmt == "parquet":
             df.write.mode("overwrite").parquet(self.path(name))
         else:
             write_report(df, self.path(name), fmt)
 
-    def read(self, spark: SparkSession, name: str, schema: T.StructType | str | None = None) -> DataFrame:
+    def read(
+        self, spark: SparkSession, name: str, schema: T.StructType | str | None = None, months: tuple[str, str] | None = None
+    ) -> DataFrame:
+        """A stored table; of one that is partitioned by month, ``months`` reads only the first to the last (``yyyy-MM``)."""
         fmt = self.tables[name][1]
         reader = spark.read if schema is None else spark.read.schema(schema)
         if fmt == "csv":
             reader = reader.option("header", True)
-        return reader.format(fmt).load(self.path(name))
+        df = reader.format(fmt).load(self.path(name))
+        if months is not None:
+            df = df.where(F.col(MONTH).between(*months))
+        return df.drop(MONTH)
 
     def append(self, df: DataFrame, name: str) -> None:
         """Add rows to a Parquet table, which need not exist yet."""

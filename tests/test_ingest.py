@@ -131,3 +131,21 @@ def test_rollup_levels(spark):
         for k, r in got.items():
             assert r["n"] == want[k]["n"] and all(r[m] == pytest.approx(want[k][m]) for m in ("mape", "rmse", "mae"))
     assert forecast_metrics_rollup(df.where("false"), ["s"], "y", "p").count() == 0
+
+
+def test_layout_partitions_by_month(spark, tmp_path):
+    layout = TableLayout(str(tmp_path / "tables"))
+    rows = [("a", dt.datetime(2019, m, 1 + m), 7, float(m)) for m in range(1, 7)] + [("a", None, 0, None)]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, month int, y double")
+    back = layout.save(df, "features")
+    assert back.columns == df.columns and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    assert len(list((tmp_path / "tables" / "04_feature" / "features").glob("part_month=2019-*"))) == 6
+    some = layout.read(spark, "features", months=("2019-02", "2019-04"))
+    assert sorted(r["y"] for r in some.collect()) == [2.0, 3.0, 4.0]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "part_month" in plan.split("PartitionFilters")[1]
+    layout.append(spark.createDataFrame([("r", "n", "t", None, None, "m", 1.0, None)], "run_id string, run_name string, model_type string, parent_run_id string, fold_index int, metric string, value double, data_hash string"), "runs")
+    assert layout.read(spark, "runs").count() == 1
+    with pytest.raises(ValueError, match="appended"):
+        layout.append(df, "run_info")
+    assert layout.read_or_empty(spark, "model_versions", "version int").count() == 0

@@ -230,3 +230,24 @@ def test_dense_index(spark):
     df = frame(spark, {"a": with_runs(100, [(10, 20), (50, 7)])}).where("y is not null")
     out = dense_index(df, Axis(bucket=16)).orderBy("ts").toPandas()
     assert (out["position"].to_numpy() == np.arange(len(out))).all()
+
+
+def test_joint_forest_nulls_the_contaminated_share(spark):
+    """Three columns, 100 trees: rows that are odd only together are found, and the flagged share is the contamination."""
+    rng = np.random.default_rng(6)
+    n = 2000
+    a = rng.normal(0, 1, n)
+    b = a + rng.normal(0, 0.05, n)
+    odd = [100, 700, 1500]
+    b[odd] = -3 * np.sign(a[odd]) - a[odd]
+    df = frame(spark, {"s": np.arange(n, dtype=float)}).select("series_id", "ts", F.col("y").cast("int").alias("i"))
+    values = spark.createDataFrame(pd.DataFrame({"i": np.arange(n), "a": a, "b": b, "c": a - b}))
+    df = df.join(values.withColumn("i", F.col("i").cast("int")), "i").drop("i")
+    out = remove_outliers(df, Axis(bucket=512), ["a", "b", "c"], method="isolation_forest", contamination=0.01, refill_limit=0)
+    gone = out.where("a IS NULL")
+    assert gone.count() == 20 and gone.where("b IS NOT NULL OR c IS NOT NULL").count() == 0
+    found = set(gone.select(((F.unix_seconds(F.col("ts").cast("timestamp")) - F.lit(0)) / 3600).cast("long").alias("h")).toPandas()["h"])
+    first = df.agg(F.min(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).cast("long")).first()[0]
+    assert {first + i for i in odd} <= found
+    few = remove_outliers(df, Axis(bucket=512), ["a", "b", "c"], method="isolation_forest", contamination=0.05, refill_limit=0, trees=20, sample=64, seed=1)
+    assert few.where("a IS NULL").count() == 100
