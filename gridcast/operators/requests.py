@@ -11,6 +11,7 @@ from gridcast.functions.calendar import add_calendar, fourier_columns, holiday_t
 from gridcast.functions.timegrid import step_index, type_of
 from gridcast.operators.asof import point_in_time_join
 from gridcast.operators.features import lag_names, rolling_names
+from gridcast.operators.skew import join_groups
 from gridcast.params import Axis, FeatureParams
 
 # Horizon bounds and default of a request.
@@ -82,7 +83,7 @@ def request_features(
         requests = point_in_time_join(requests, history, axis.keys, "start_ts", axis.ts, ttl_seconds, columns=past)
         requests = requests.drop(f"{axis.ts}_used")
     if anchors is not None:
-        requests = requests.join(anchors.select(*axis.keys, "start_idx"), list(axis.keys), "left")
+        requests = join_groups(requests, anchors.select(*axis.keys, "start_idx"), list(axis.keys), "left")
     rows = expand_requests(requests, axis)
     if history is None:
         rows = rows.withColumns({c: F.lit(0.0) for c in past})

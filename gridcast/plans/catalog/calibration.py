@@ -12,6 +12,7 @@ from gridcast.operators.drift import drift_pivot, drift_statistics, drift_summar
 from gridcast.operators.grid import make_grid
 from gridcast.operators.metrics import concept_drift, error_columns, fold_summary, forecast_metrics, forecast_metrics_rollup, interval_metrics
 from gridcast.operators.naive import naive_run, seasonal_naive
+from gridcast.operators.skew import join_groups
 from gridcast.operators.split import assign_split, split_part, walk_forward_folds
 from gridcast.params import AdaptiveParams, DriftParams, DriftWindow
 from gridcast.plans.catalog.base import (
@@ -143,7 +144,7 @@ def calibrated_coverage(spark, sf):
     """Coverage after widening by the split-conformal offset: at least nominal on the calibration rows."""
     rows = cut(scored(spark, sf))
     offsets = conformal_offset(rows, ["series_id"], 0.2, "y").drop("n")
-    out = interval_metrics(widen(rows.join(offsets, "series_id"), "y_lower", "y_upper", "q"), ["series_id"], "y", "y_lower", "y_upper")
+    out = interval_metrics(widen(join_groups(rows, offsets, ["series_id"]), "y_lower", "y_upper", "q"), ["series_id"], "y", "y_lower", "y_upper")
     return rounded(out, "coverage", "width")
 
 

@@ -254,8 +254,17 @@ def quality_statistics(spark, sf):
     return check_statistics(_checked(spark, sf))
 
 
-@query()
+# The report's values aren't rounded, so the twin takes the check's own figures.
+_RAW_CHECKS = _CHECK_SQL.replace("round(CAST(", "(CAST(").replace(" AS DOUBLE), 4) + 0.0 AS observed", " AS DOUBLE)) AS observed")
+
+
+@query(
+    'SELECT to_json({\'suite\': \'events\', \'success\': bool_and(success), \'results\': list({\'check\': "check", \'column\': "column", \'severity\': severity, '
+    "'observed': observed, 'threshold': threshold, 'success': success} ORDER BY \"check\", \"column\", severity, observed)})::VARCHAR AS report "
+    f"FROM ({_RAW_CHECKS})"
+)
 def quality_json_report(spark, sf):
+    """The whole result as one JSON text."""
     return quality_report(_checked(spark, sf), "events")
 
 

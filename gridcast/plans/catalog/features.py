@@ -10,11 +10,13 @@ from gridcast.functions.calendar import add_calendar, national_holidays
 from gridcast.functions.timegrid import floor_time
 from gridcast.operators.asof import entities_without_features, point_in_time_join
 from gridcast.operators.buckets import dense_index
+from gridcast.operators.drift import monitored_columns
 from gridcast.operators.features import (
     build_feature_matrix, feature_names, fourier_features, history_features, lag_by_join, lag_features, rolling_features,
 )
 from gridcast.operators.naive import hour_profile_baseline, last_season, seasonal_naive, tile_last_season
 from gridcast.operators.requests import check_requests, expand_requests, request_features, valid_requests
+from gridcast.operators.quantiles import unpivot
 from gridcast.operators.split import assign_split, split_part, walk_forward_folds
 from gridcast.params import FeatureParams
 from gridcast.plans.catalog.base import (
@@ -149,6 +151,23 @@ def feature_matrix(spark, sf):
     return rounded(out, *digits)
 
 
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in ["y", *[f"lag_{h}h" for h in LAGS], *[f"rolling_{s}_{w}h" for w in WINDOWS for s in ("mean", "std")]])
+_MONITORED = [*[f"lag_{h}h" for h in LAGS], *[f"rolling_{s}_{w}h" for w in WINDOWS for s in ("mean", "std")], "hour", "day_of_week", "is_working_day"]
+
+
+@query(
+    with_(sql_filled(), _MATRIX, f"kept AS (SELECT * FROM m WHERE {_COMPLETE})")
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n, {sql_r4(f'avg({c})')} AS mean, {sql_r4(f'CAST(max({c}) AS DOUBLE)')} AS largest FROM kept" for c in _MONITORED)
+)
+def monitored_features(spark, sf):
+    """What drift monitoring looks at: the columns of the feature matrix chosen by name, with count, mean and largest value."""
+    matrix = build_feature_matrix(filled(spark, sf), HOURLY, PARAMS)
+    chosen = monitored_columns(matrix, "y")
+    matrix = rounded(matrix, *[c for c in chosen if c.startswith("rolling_")])
+    long = unpivot(matrix, [], chosen, "feature", "value")
+    return rounded(long.groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("largest")), "mean", "largest")
+
+
 _FOLDS = f"""train AS (
   SELECT series_id, ts, y, row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS pos,
     count(*) OVER (PARTITION BY series_id) // 5 AS size
