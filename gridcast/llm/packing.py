@@ -9,11 +9,14 @@ have all moved is gone.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +30,11 @@ NEARLY_FULL = 0.995
 CACHE_WORDS = 200_000
 
 
+# How byte-level tokenizers write a byte: printable ones of Latin-1 as themselves, the others, in order, from U+0100 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: chr(b) for b in _SHOWN} | {b: chr(0x100 + i) for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
+
+
 def _word_pattern(path: str) -> str | None:
     """The pattern by which the tokenizer cuts words, if it drops white space, maps bytes and lets no token span words."""
     with open(path, encoding="utf-8") as f:
@@ -42,36 +50,54 @@ def _word_pattern(path: str) -> str | None:
 class Encoder:
     """Token ids of whole texts. Words are looked up once for each block and kept in tables of bounded size.
 
-    For a tokenizer that splits at white space, plain ASCII words are cut by the tokenizer's own pattern, and each cut is
-    encoded once by its vocabulary; all other words go through the whole tokenizer.
+    For a tokenizer that splits at white space, words of ASCII and of Western European letters are cut by the tokenizer's own
+    pattern, and each cut is encoded once by its vocabulary; a word of letters alone is its own cut. All other words go
+    through the whole tokenizer, and so do those of a tokenizer that treats such letters otherwise, which is tried out.
     """
 
+    PLAIN = re.compile("[!-;=-~À-ÖØ-öø-ÿ]+")  # "<" may begin a special token
+    PROBES = ("abc", "Qzx", "l'eau", "it's", "12ab-c", "é", "Été", "naïve", "straße", "ÀÖØöøÿ", "çñ'Þð12", "x=é;Ü")
+
     def __init__(self, path: str):
         import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.parts = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.parts = Tokenizer.from_file(path), {}
+        self._forget()
         pattern = _word_pattern(path)
         self.word_wise, self.cut = pattern is not None, pattern and regex.compile(pattern).findall
         self.model = self.tokenizer.model
+        if self.word_wise:
+            self.whole = all(self.cut(w) == [w] for w in ("a", "abc", "zq", "hello", "dont", "thell", "abcdefghijklmnopqrstuvwxyz"))
+            self.western = True
+            self.western = [self._cut_ids(w) for w in self.PROBES] == self.encode(list(self.PROBES))
+            self.parts.clear()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _part_ids(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            shown = part if part.isascii() else "".join([BYTE_LETTERS[b] for b in part.encode()])
+            ids = self.parts[part] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+        return ids
+
+    def _cut_ids(self, word: str) -> bytes:
+        return b"".join([self._part_ids(part) for part in self.cut(word.lower())])
+
     def words(self, words: list[str]) -> list[bytes]:
         out: list = [None] * len(words)
-        rest, parts, cut_, tokenize = [], self.parts, self.cut, self.model.tokenize
+        rest, parts, whole, western, plain = [], self.parts, self.whole, self.western, self.PLAIN.fullmatch
         for i, word in enumerate(words):
-            if not word.isascii() or not word.isprintable() or "<" in word:  # "<" may begin a special token
+            ascii_ = word.isascii()
+            if ascii_ and whole and word.isalpha():
+                word = word.lower()
+                out[i] = parts.get(word) or self._part_ids(word)
+            elif (ascii_ or western) and plain(word):
+                out[i] = self._cut_ids(word)
+            else:
                 rest.append(i)
-                continue
-            found = b""
-            for part in cut_(word.lower()):
-                ids = parts.get(part)
-                if ids is None:
-                    ids = parts[part] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(part)])
-                found += ids
-            out[i] = found
         if len(parts) > CACHE_WORDS:
             parts.clear()
         for i, ids in zip(rest, self.encode([words[i] for i in rest]), strict=True):
@@ -85,25 +111,43 @@ class Encoder:
             ids = self.encode([x or "" for x in batch.column("text").to_pylist()])
             return np.frombuffer(b"".join(ids), "<u4"), np.cumsum([0, *(len(x) // 4 for x in ids)])
         starts, ends, before = word_spans(data, offsets)
-        hashes, first, each = np.unique(span_hashes(data, starts, ends, fold=False), return_index=True, return_inverse=True)
-        known, names = self.known, hashes.tolist()
-        each_ids = [known.get(h) for h in names]
-        new = [i for i, ids in enumerate(each_ids) if ids is None]
-        raw = data.tobytes()
-        words = [raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
-        for i, ids in zip(new, self.words(words), strict=True):
-            each_ids[i] = known[names[i]] = ids
-        if len(known) > CACHE_WORDS:  # words of this block are the likeliest to come again
-            self.known = dict(zip(names, each_ids, strict=True))
-        table = np.frombuffer(b"".join(each_ids), "<u4")
-        n = np.array([len(x) // 4 for x in each_ids], np.int64)
-        length = n[each]
-        end = np.cumsum(length)
-        total = int(end[-1]) if len(end) else 0
-        begin = (np.cumsum(n) - n)[each]
-        out = table[np.arange(total) + np.repeat(begin - (end - length), length)] if total else table[:0]
+        each, hashes = pd.factorize(span_hashes(data, starts, ends, fold=False))
+        first = np.empty(len(hashes), np.int64)
+        first[each[::-1]] = np.arange(len(each))[::-1]
+        names = hashes.tolist()
+        at = np.fromiter(map(self.known.get, names, itertools.repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            raw, spots = data.tobytes(), first[new]
+            ids = self.words([raw[a:b].decode() for a, b in zip(starts[spots].tolist(), ends[spots].tolist(), strict=True)])
+            at[new] = len(self.sizes) + np.arange(len(new))
+            self._keep(hashes[new].tolist(), b"".join(ids), np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
+        out, end = _gather(self.table, self.begins[at][each], self.sizes[at][each])
+        if len(self.known) > CACHE_WORDS:  # words of this block are the likeliest to come again
+            table, sizes = _gather(self.table, self.begins[at], self.sizes[at])[0], self.sizes[at]
+            self._forget()
+            self._keep(names, table.tobytes(), sizes)
         return out, np.concatenate([[0], end])[before]
 
+    def _forget(self) -> None:
+        """``known`` has each word's place in ``begins`` and ``sizes``, which say where its ids are in ``table``."""
+        self.known: dict[int, int] = {}
+        self.table, self.begins, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _keep(self, names: list[int], ids: bytes, sizes: np.ndarray) -> None:
+        self.known.update(zip(names, range(len(self.sizes), len(self.sizes) + len(names)), strict=True))
+        self.begins = np.concatenate([self.begins, len(self.table) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.table = np.concatenate([self.table, np.frombuffer(ids, "<u4")])
+
+
+def _gather(table: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of ``table`` at all the ranges in a row, and where each range ends in the result."""
+    end = np.cumsum(sizes)
+    if not len(end) or not end[-1]:
+        return table[:0], end
+    return table[np.arange(end[-1]) + np.repeat(begins - (end - sizes), sizes)], end
+
 
 @functools.cache
 def encoder(path: str) -> Encoder:
