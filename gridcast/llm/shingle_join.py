@@ -6,12 +6,13 @@ A document's set holds the hashes of its distinct word windows. Hashes are cut i
   groups than that, two such sets agree wholly in one group, so each pair to be found meets in the root of some tree: same
   size range, same group, same content. Groups that are empty carry no information; a document uses them only if it has
   too many of them to rely on the others, which keeps the search exact.
-* Points and nodes: in a tree, a document is the vector of its counts per group, and a node keeps the largest count of up
-  to 64 points at each coordinate. The sum of the smaller coordinates of two vectors bounds the overlap of the sets; the
-  same sum against a node's corner bounds every point below it. What stays is verified on the sets.
-* Every root first compares its points with one pivot. Once those links are joined to components, a tree whose points
-  all lie in one component is done; only others are searched, and only between components. So a group of thousands of
-  copies costs a few comparisons for each, not all pairs, and no link that changes a component is lost.
+* Points and nodes: in a tree, a document is the vector of its counts per group. A leaf keeps the largest count of up to 64
+  points at each coordinate, and a branch that of up to 32 leaves. The sum of the smaller coordinates of two vectors bounds
+  the overlap of the sets; the same sum of two corners bounds all points below them. What stays is verified on the sets.
+* Every root first compares its points with one pivot, by their vectors and then by their sets. Once those links are joined
+  to components, a tree whose points all lie in one component is done; only others are searched, and only between
+  components. So a group of thousands of copies costs a few comparisons for each, not all pairs, and no link that changes a
+  component is lost. A pair that meets in several trees is left to the one with the least root.
 
 Equality is that of 64-bit hashes.
 """
@@ -20,10 +21,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm.components import components
@@ -33,7 +36,8 @@ from gridcast.llm.text import (
 from gridcast.sources.tables import cut
 
 MOST_BITS = 14
-NODE = 64
+LEAF, FAN = 64, 32  # points of a leaf, leaves of a branch
+LISTED = 16  # roots that each point carries
 PIVOT_SHARE = 256
 EMPTY = np.uint64(0x632BE59BD9B4E019)
 
@@ -172,11 +176,11 @@ def shared_roots(docs: DataFrame, size: int, percent: int, parts: int) -> DataFr
     return met.dropDuplicates(["root", "name"])
 
 
-def verify(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) of names whose sets reach the similarity; ``texts`` has a (name, text) for each name.
+def _dealt(table: DataFrame, pairs: DataFrame, *columns: str) -> DataFrame:
+    """(pivot, share, name, *columns) of both ends of the pairs (a, b), each pivot ``a`` right before its partners.
 
-    Texts, which are smaller than their sets, are sent to the pairs' pivots ``a``; a pivot with many partners is dealt
-    over several tasks, ``PIVOT_SHARE`` partners in each or so.
+    ``table`` has a row for each name. A pivot with many partners is dealt over several tasks, ``PIVOT_SHARE`` partners
+    in each or so.
     """
     load = pairs.groupBy("a").agg(F.count("*").alias("n"))
     load = load.select("a", F.ceil(F.col("n") / PIVOT_SHARE).cast("int").alias("shares"))
@@ -184,7 +188,40 @@ def verify(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataF
                                          F.pmod(F.xxhash64("b"), F.col("shares")).cast("int").alias("share"))
     heads = load.select(F.col("a").alias("name"), F.col("a").alias("pivot"),
                         F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
-    sent = dealt.unionByName(heads).join(texts, "name").select("pivot", "share", "name", "text")
+    sent = dealt.unionByName(heads).join(table.select("name", *columns), "name").select("pivot", "share", "name", *columns)
+    return sent.repartition("pivot", "share").sortWithinPartitions("pivot", "share", F.col("name") != F.col("pivot"))
+
+
+def _need(x, y, percent: int):
+    """Least overlap of linked sets of sizes x and y."""
+    return (percent * (x + y) + 99 + percent) // (100 + percent)
+
+
+def sift(table: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) of names that pass the bound of their count vectors, which are a tenth as long as the texts."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, head, head_n = None, None, 0
+        for b in batches:
+            found = [[], []]
+            for pivot, share, name, n, vector in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+                own = _loosen(vector)
+                if name == pivot:
+                    at, head, head_n = (pivot, share), own, n
+                    continue
+                assert at == (pivot, share)
+                width = min(len(own), len(head))
+                if np.minimum(_folded(own, width), _folded(head, width)).sum() >= _need(n, head_n, percent):
+                    found[0].append(pivot)
+                    found[1].append(name)
+            yield batch_of(out, *found)
+
+    return _dealt(table, pairs, "n", "vector").mapInArrow(test, "a long, b long")
+
+
+def verify(table: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those pairs (a, b) of names whose sets reach the similarity; texts, which are smaller than their sets, are sent."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,8 +245,7 @@ def verify(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataF
                     found[1].append(name)
             yield batch_of(out, *found)
 
-    ordered = sent.repartition("pivot", "share").sortWithinPartitions("pivot", "share", F.col("name") != F.col("pivot"))
-    return ordered.mapInArrow(test, "a long, b long")
+    return _dealt(table, pairs, "text").mapInArrow(test, "a long, b long")
 
 
 def _counts(own: np.ndarray) -> np.ndarray:
@@ -244,102 +280,181 @@ def _overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def search_trees(texts: DataFrame, points: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of points (root, name, label) of one root and of different labels that pass the count-vector bound."""
-    out = pa.schema([("name", pa.int64()), ("n", pa.int64()), ("vector", pa.binary())])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches):
-            sets, ends = block_sets(b, size)
-            rows = [_squeeze(_counts(sets[i:j])) for i, j in zip(ends, ends[1:], strict=False)]
-            yield batch_of(out, b.column("name"), np.diff(ends), rows)
-
-    wanted = texts.join(points.select("name").distinct(), "name", "left_semi")
-    vectors = wanted.select("name", "text").mapInArrow(count, "name long, n long, vector binary")
-    in_root = Window.partitionBy("root")
-    rank = F.row_number().over(in_root.orderBy("label", "n", "name"))
-    leaves = points.join(vectors, "name").withColumn("node", F.floor((rank - 1) / NODE).cast("long"))
-    leaves = leaves.withColumn("points", F.count("*").over(in_root))
-    leaf = ["root", "node", "name", "label", "n", "vector"]
-    kinds = [("root", pa.int64()), ("node", pa.int64()), ("low", pa.int64()), ("high", pa.int64())]
-    node = pa.schema([*kinds, *((c, pa.binary()) for c in ("corner", "names", "labels", "sizes", "vectors"))])
+@dataclass
+class Leaf:
+    """Some points of one root: the largest count at each coordinate and, by point, name, label, size, the
+    least of its roots, and counts."""
+
+    root: int
+    corner: np.ndarray
+    names: np.ndarray
+    labels: np.ndarray
+    sizes: np.ndarray
+    least: np.ndarray
+    ends: np.ndarray
+    vectors: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[tuple]) -> Leaf:
+        """From rows (root, label, n, name, vector, least)."""
+        labels, sizes, names = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
+        vectors = [_loosen(r[4]) for r in rows]
+        width = min(map(len, vectors))
+        vectors = np.stack([_folded(v, width) for v in vectors]).astype(np.uint16)
+        ends = np.cumsum([0, *(len(r[5]) for r in rows)])
+        least = np.array([x for r in rows for x in r[5]], np.int64)
+        return cls(rows[0][0], vectors.max(0), names, labels, sizes, least, ends, vectors)
+
+    def packed(self) -> list[bytes]:
+        longs = (self.names, self.labels, self.sizes, self.least, self.ends.astype(np.int64))
+        return [*(x.tobytes() for x in longs), _squeeze(self.vectors)]
+
+    @classmethod
+    def loose(cls, root: int, *packed: bytes) -> Leaf:
+        *longs, vectors = packed
+        names, *others = (np.frombuffer(x, np.int64) for x in longs)
+        vectors = _loosen(vectors).reshape(len(names), -1)
+        return cls(root, vectors.max(0), names, *others, vectors)
+
+    def roots(self, i: int) -> set[int]:
+        return set(self.least[self.ends[i] : self.ends[i + 1]].tolist())
+
+    def near(self, other: Leaf, percent: int) -> list[tuple[int, int]]:
+        """Pairs (a, b) of a point of each, of different labels, that pass the bound and have no lesser root in common.
+
+        A pair meets in each root that both have. Points carry the least few of their roots: if both list a lesser one, the
+        pair is found there. In the least common root it's never left out.
+        """
+        least = _need(int(self.sizes.min()), int(other.sizes.min()), percent)
+        width = min(self.vectors.shape[1], other.vectors.shape[1])
+        if self is not other and np.minimum(_folded(self.corner, width), _folded(other.corner, width)).sum() < least:
+            return []
+        apart = self.labels[:, None] != other.labels[None, :]
+        if not apart.any():
+            return []
+        overlap = _overlaps(_narrow(self.vectors, width), _narrow(other.vectors, width))
+        ok = apart & (overlap >= _need(self.sizes[:, None], other.sizes[None, :], percent))
+        out = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(ok) if self is other else ok)), strict=True):
+            if all(r >= self.root for r in self.roots(i) & other.roots(j)):
+                a, b = int(self.names[i]), int(other.names[j])
+                out.append((min(a, b), max(a, b)))
+        return out
+
+
+def search_trees(table: DataFrame, points: DataFrame, percent: int, leaf_size: int = LEAF, fan: int = FAN) -> DataFrame:
+    """Pairs (a, b) of points (root, name, label) of one root and of different labels that pass the count-vector bound.
+
+    Points with their vectors are sorted by root, label and size over all tasks, so a root with very many points has as
+    many tasks as it needs; runs of ``leaf_size`` points are leaves, and runs of ``fan`` leaves branches. A leaf is searched
+    where it's built. Then branches of a root meet by their corners only, and the leaves of branches that pass are sent
+    to one task for each pair of branches.
+    """
+    kinds = [*((c, pa.int64()) for c in ("a", "b", "root", "branch", "leaf", "low", "high", "size")), ("corner", pa.binary())]
+    parts = ("names", "labels", "sizes", "least", "ends", "vectors")
+    node = pa.schema([*kinds, *((c, pa.binary()) for c in parts)])
+    pair = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def close() -> list:
-            names, labels, sizes = (np.array([r[i] for r in held], np.int64) for i in (2, 3, 4))
-            vectors = [_loosen(r[5]) for r in held]
-            width = min(map(len, vectors))
-            vectors = np.stack([_folded(v, width) for v in vectors]).astype(np.uint16)
-            return [held[0][0], held[0][1], int(sizes.min()), int(sizes.max()), _squeeze(vectors.max(0)),
-                    names.tobytes(), labels.tobytes(), sizes.tobytes(), _squeeze(vectors)]
-
+        first = TaskContext.get().partitionId() << 33
+        rows, held, branch = [], [], []
+        number = 0
+
+        def close_leaf() -> None:
+            if held:
+                branch.append(leaf := Leaf.of(held))
+                rows.extend((a, b, *[None] * 13) for a, b in leaf.near(leaf, percent))
+                held.clear()
+
+        def close_branch(whole: bool) -> None:
+            nonlocal number
+            if branch and not (whole and len(branch) == 1):  # a root's only leaf has been searched
+                id_, low, high = first + number, *(f(int(f(x.sizes)) for x in branch) for f in (min, max))
+                width = min(len(x.corner) for x in branch)
+                corner = np.stack([_folded(x.corner, width) for x in branch]).max(0)
+                rows.extend((None, None, x.root, id_, i, None, None, None, None, *x.packed()) for i, x in enumerate(branch))
+                rows.append((None, None, branch[0].root, id_, None, low, high, len(branch), _squeeze(corner), *[None] * 6))
+                number += 1
+            branch.clear()
+
+        root, begun, before = None, 0, False  # roots begun in this task; whether the root has an earlier branch
         for b in batches:
-            rows = []
             for r in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
-                if held and held[0][:2] != r[:2]:
-                    rows.append(close())
-                    held = []
+                if r[0] != root:
+                    close_leaf()
+                    close_branch(begun > 1 and not before)  # the task's first and last root may have points in others
+                    root, begun, before = r[0], begun + 1, False
+                elif len(held) == leaf_size:
+                    close_leaf()
+                    if len(branch) == fan:
+                        close_branch(False)
+                        before = True
                 held.append(r)
-            if rows:
-                yield batch_of(node, *zip(*rows, strict=True))
-        if held:
-            yield batch_of(node, *[[x] for x in close()])
-
-    schema = "root long, node long, low long, high long, corner binary, names binary, labels binary, sizes binary, vectors binary"
-    tall = leaves.filter(F.col("points") > NODE).select(leaf).repartition("root", "node")
-    nodes = cut(tall.sortWithinPartitions("root", "node").mapInArrow(build, schema))
-    right = nodes.select(*[F.col(c).alias(f"r_{c}") for c in nodes.columns])
-    met = nodes.join(right, (F.col("root") == F.col("r_root")) & (F.col("node") < F.col("r_node"))
-                     & (F.col("r_low") * percent <= F.col("high") * 100))
-    none = nodes.select("*", *[F.lit(None).cast(t).alias(f"r_{c}") for c, t in nodes.dtypes])
-    pair = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    need = lambda x, y: (percent * (x + y) + 99 + percent) // (100 + percent)
-    longs = lambda row, names: [np.frombuffer(row[c], np.int64) for c in names]
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()  # pairs meet in many roots
+                if len(rows) >= 256:
+                    yield batch_of(node, *zip(*rows, strict=True))
+                    rows.clear()
+        close_leaf()
+        close_branch(False)
+        if rows:
+            yield batch_of(node, *zip(*rows, strict=True))
+
+    def corners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [[], []]
-            for row in b.to_pylist():
-                alone = row.get("r_node") is None  # a node with itself
-                left = longs(row, ("names", "labels", "sizes"))
-                right = left if alone else longs(row, ("r_names", "r_labels", "r_sizes"))
-                both = [_loosen(row[c]) for c in ("vectors", "vectors" if alone else "r_vectors")]
-                width = min(len(v) // len(n[0]) for v, n in zip(both, (left, right), strict=True))
-                if not alone:
-                    corners = (_folded(_loosen(row[c]), width) for c in ("corner", "r_corner"))
-                    if np.minimum(*corners).sum() < need(row["low"], row["r_low"]):
-                        continue
-                mine, theirs = (_narrow(v.reshape(len(n[0]), -1), width) for v, n in zip(both, (left, right), strict=True))
-                ok = _overlaps(mine, theirs) >= need(left[2][:, None], right[2][None, :])
-                ok &= left[1][:, None] != right[1][None, :]
-                x, y = np.nonzero(np.triu(ok) if alone else ok)
-                for pair_ in zip(np.minimum(left[0][x], right[0][y]).tolist(), np.maximum(left[0][x], right[0][y]).tolist(), strict=True):
-                    if pair_ not in seen:
-                        seen.add(pair_)
-                        found[0].append(pair_[0])
-                        found[1].append(pair_[1])
-            if len(seen) > 500_000:
-                seen.clear()
-            yield batch_of(pair, *found)
-
-    # Most trees have a single node: they are searched where their points have met, and never written.
-    low = leaves.filter(F.col("points") <= NODE).select(leaf).sortWithinPartitions("root", "node")
-    single = low.mapInArrow(lambda batches: search(build(batches)), "a long, b long")
-    return met.unionByName(none).mapInArrow(search, "a long, b long").unionByName(single).distinct()
+            keep = []
+            for low, other_low, *both in zip(*(b.column(c).to_pylist() for c in ("low", "r_low", "corner", "r_corner")), strict=True):
+                x, y = map(_loosen, both)
+                width = min(len(x), len(y))
+                keep.append(np.minimum(_folded(x, width), _folded(y, width)).sum() >= _need(low, other_low, percent))
+            yield b.select(["branch", "r_branch"]).filter(pa.array(keep, pa.bool_()))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, left = None, []
+        for b in batches:
+            found = []
+            for x, y, other, root, *packed in zip(*(b.column(i).to_pylist() for i in range(4 + len(parts))), strict=True):
+                if at != (x, y):
+                    at, left = (x, y), []
+                leaf = Leaf.loose(root, *packed)
+                if other or x == y:
+                    for mine in left:
+                        found += mine.near(leaf, percent)
+                if not other:
+                    left.append(leaf)
+            if found:
+                yield batch_of(pair, *zip(*found, strict=True))
+
+    ends = F.sort_array(F.collect_list("root"))
+    named = points.groupBy("name").agg(F.first("label").alias("label"), ends.alias("roots")).join(table.select("name", "n", "vector"), "name")
+    rows = named.select(F.explode("roots").alias("root"), "label", "n", "name", "vector", F.slice("roots", 1, LISTED).alias("least"))
+    order = ["root", "label", "n", "name"]
+    schema = ", ".join(f"{f.name} {'long' if f.type == pa.int64() else 'binary'}" for f in node)
+    nodes = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(build, schema))
+    branches = nodes.filter("leaf is null and a is null").select("root", "branch", "low", "high", "size", "corner")
+    right = branches.select(*[F.col(c).alias(f"r_{c}") for c in branches.columns])
+    met = branches.join(right, (F.col("root") == F.col("r_root")) & (F.col("branch") <= F.col("r_branch"))
+                        & ((F.col("branch") != F.col("r_branch")) | (F.col("size") > 1))
+                        & (F.col("low") * percent <= F.col("r_high") * 100) & (F.col("r_low") * percent <= F.col("high") * 100))
+    met = met.select("branch", "r_branch", "low", "r_low", "corner", "r_corner").mapInArrow(corners, "x long, y long")
+    sides = F.when(F.col("x") == F.col("y"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    met = met.withColumn("other", F.explode(sides)).withColumn("branch", F.when(F.col("other") == 0, F.col("x")).otherwise(F.col("y")))
+    sent = met.join(nodes.filter("leaf is not null"), "branch").select("x", "y", "other", "root", *parts, "leaf")
+    across = sent.repartition("x", "y").sortWithinPartitions("x", "y", "other", "leaf").drop("leaf").mapInArrow(meet, "a long, b long")
+    return nodes.filter("a is not null").select("a", "b").unionByName(across).distinct()
 
 
 def _own_texts(named: DataFrame, size: int) -> DataFrame:
-    """The rows whose text has the set of its name: rows that repeat a key with another text are left out."""
+    """(name, n, vector, text) of the rows whose text has the set of its name: a repeated key can have other texts too."""
+    out = pa.schema([("name", pa.int64()), ("n", pa.int64()), ("vector", pa.binary()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
-            yield b.filter(pa.array(set_names(*block_sets(b, size)) == b.column("name").to_numpy()))
+            sets, ends = block_sets(b, size)
+            own = set_names(sets, ends) == b.column("name").to_numpy()
+            b = b.filter(pa.array(own))
+            rows = [_squeeze(_counts(sets[ends[i] : ends[i + 1]])) for i in np.flatnonzero(own)]
+            yield batch_of(out, b.column("name"), np.diff(ends)[own], rows, b.column("text"))
 
-    return named.mapInArrow(run, "name long, text string")
+    return named.mapInArrow(run, "name long, n long, vector binary, text string")
 
 
 def _apart(pairs: DataFrame, named: DataFrame) -> DataFrame:
@@ -349,38 +464,52 @@ def _apart(pairs: DataFrame, named: DataFrame) -> DataFrame:
     return met.filter(F.coalesce("_a_in", "a") != F.coalesce("_b_in", "b")).select("a", "b")
 
 
+def _named_texts(docs: DataFrame, size: int) -> DataFrame:
+    """(name, text) of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = pa.schema([("name", pa.int64()), ("text", pa.string())])
+        for b in blocks(batches):
+            yield batch_of(out, set_names(*block_sets(b, size)), b.column("text"))
+
+    return docs.select("text").mapInArrow(run, "name long, text string")
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """(key, n_shingles, component_id) per row: the smallest key reachable over links of similarity ``percent`` or more.
 
     A null or blank text has an empty set, is linked with nothing and is its own component. Repeated texts are one
-    class. Keys must be integers; a repeated key is one vertex with the sets of all its rows; null keys are left out.
-    Other columns aren't read. An empty table gives no rows.
+    class. Keys must be integers. Rows that repeat a key are vertices of their own, each with its own text. A row without a
+    key is a vertex too, and names no component: the id is null if no linked row has a key. Other columns aren't read. An
+    empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
-    docs = only(docs, key, text).toDF("key", "text").withColumn("key", F.col("key").cast("long")).filter("key is not null")
+    docs = only(docs, key, text).toDF("key", "text").withColumn("key", F.col("key").cast("long"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     digests = cut(digest_sets(docs, "key", size))
     classes = cut(digests.filter("n_shingles > 0").groupBy("name").agg(F.min("key").alias("rep")))
     roots = cut(shared_roots(docs, size, percent, parts))
     members = classes.join(roots.select("name").distinct(), "name", "left_semi")
-    texts = cut(_own_texts(docs.join(members, F.col("key") == F.col("rep")).select("name", "text"), size))
+    keyed = docs.join(members, F.col("key") == F.col("rep")).select("name", "text")
+    unkeyed = _named_texts(docs.filter("key is null"), size).join(members.filter("rep is null").select("name"), "name", "left_semi")
+    table = cut(_own_texts(keyed.unionByName(unkeyed.dropDuplicates(["name"])), size))
     # Each point meets the least of its pivots first; other pivots only if the two are still apart.
     stars = roots.filter("name != pivot").select(F.col("pivot").alias("a"), F.col("name").alias("b")).distinct()
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = cut(verify(texts, cut(first), size, percent))
+    links = cut(verify(table, cut(sift(table, first, percent)), size, percent))
     named = components(links, "a", "b")
     second = _apart(stars.join(first, ["a", "b"], "left_anti"), named)
-    links = cut(links.unionByName(verify(texts, cut(second), size, percent)))
+    links = cut(links.unionByName(verify(table, cut(sift(table, cut(second), percent)), size, percent)))
     named = components(links, "a", "b")
     points = roots.select("root", "name").join(named, F.col("name") == F.col("vertex"), "left")
     points = cut(points.select("root", "name", F.coalesce("component", "name").alias("label")))
     split = points.groupBy("root").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("root")
     open_points = cut(points.join(split, "root", "left_semi"))
     if not open_points.isEmpty():
-        more = search_trees(texts, open_points, size, percent)
+        more = search_trees(table, open_points, percent)
         # What the pivots have compared needn't be verified again.
         done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = cut(links.unionByName(verify(texts, cut(more.join(done, ["a", "b"], "left_anti")), size, percent)))
+        links = cut(links.unionByName(verify(table, cut(more.join(done, ["a", "b"], "left_anti")), size, percent)))
         named = components(links, "a", "b")
     # From names of sets to keys: the smallest key of all classes in a component.
     tops = named.join(classes, F.col("vertex") == F.col("name")).groupBy("component").agg(F.min("rep").alias("least"))
