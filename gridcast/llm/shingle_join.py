@@ -39,6 +39,7 @@ MOST_BITS = 14
 LEAF, FAN = 64, 32  # points of a leaf, leaves of a branch
 LISTED = 16  # roots that each point carries
 PIVOT_SHARE = 256
+FEW = 200_000  # names that are broadcast
 EMPTY = np.uint64(0x632BE59BD9B4E019)
 
 
@@ -180,8 +181,12 @@ def _dealt(table: DataFrame, pairs: DataFrame, *columns: str) -> DataFrame:
     """(pivot, share, name, *columns) of both ends of the pairs (a, b), each pivot ``a`` right before its partners.
 
     ``table`` has a row for each name. A pivot with many partners is dealt over several tasks, ``PIVOT_SHARE`` partners
-    in each or so.
+    in each or so. Up to ``FEW`` names are counted and broadcast, so that of the table only their rows are sent; beyond
+    that, the table itself is.
     """
+    names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    if names.limit(FEW + 1).count() <= FEW:
+        table = table.join(F.broadcast(names), "name", "left_semi")
     load = pairs.groupBy("a").agg(F.count("*").alias("n"))
     load = load.select("a", F.ceil(F.col("n") / PIVOT_SHARE).cast("int").alias("shares"))
     dealt = pairs.join(load, "a").select(F.col("b").alias("name"), F.col("a").alias("pivot"),
