@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,10 +48,14 @@ def rejected_requests(checked: DataFrame) -> DataFrame:
 
 
 def expand_requests(requests: DataFrame, axis: Axis) -> DataFrame:
-    """One row per forecast step: ``step_no`` from 0, its time, and wind and solar for that step (0 when not given)."""
+    """One row per forecast step: ``step_no`` from 0, its time, and wind and solar for that step (0 when not given).
+
+    Requests are dealt out evenly first: they're small, so their tasks are few, and each becomes up to 168 rows.
+    """
     kind = type_of(requests, "start_ts")
-    steps = requests.withColumn("step_no", F.explode(F.sequence(F.lit(0), F.col("horizon") - 1)))
-    offset = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("step_no") * F.lit(axis.step))
+    width = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = requests.repartition(width).withColumn("step_no", F.explode(F.sequence(F.lit(0), F.col("horizon") - 1)))
+    offset = F.col("step_no") * F.lit(timedelta(seconds=axis.step))
 
     def at_step(c: str):
         return F.coalesce(F.get(c, F.col("step_no")), F.lit(0.0)).alias(f"{c}_mw")

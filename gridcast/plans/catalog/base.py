@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcast.functions.timegrid import type_of
 from gridcast.operators.gaps import fill_gaps
 from gridcast.operators.grid import event_bounds, make_grid
 from gridcast.params import Axis, SplitParams
@@ -44,7 +45,15 @@ def r4(c: Column | str) -> Column:
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: r4(c) for c in columns})
+    return df.withColumns({c: r4_double(c) if type_of(df, c) == "double" else r4(c) for c in columns})
+
+
+def r4_double(c: str) -> Column:
+    """The same as `r4` for a double; only near a tie, and for large or missing values, is its decimal text needed."""
+    scaled = F.col(c) * 1e4
+    whole = F.rint(scaled)
+    plain = (F.abs(scaled) < 1e9) & (F.abs(scaled - whole) < 0.4999)
+    return F.when(plain, whole / F.lit(1e4) + F.lit(0.0)).otherwise(r4(c))
 
 
 # ---- panels -------------------------------------------------------------------------------------------------------

@@ -211,3 +211,25 @@ def test_request_history(spark):
     row = out[(out.request_id == "r2") & (out.step_no == 3)].iloc[0]
     assert row["lag_24h"] == known.loc[("a", pd.Timestamp("2020-01-10 05:00")), "lag_24h"]
     assert row["fourier_24h_sin_1"] == pytest.approx(np.sin(2 * np.pi * 8 / 24))
+
+
+def test_few_requests_are_dealt_out_before_they_grow(spark):
+    """One file of requests is one task, but its forecast steps must not be."""
+    requests = spark.range(64).coalesce(1).selectExpr(
+        "id AS request_id", "timestamp_ntz'2024-01-01 00:00:00' AS start_ts", "168 AS horizon",
+        "CAST(NULL AS array<double>) AS wind", "CAST(NULL AS array<double>) AS solar",
+    )
+    steps = expand_requests(requests, Axis()).withColumn("task", F.spark_partition_id())
+    per_task = [r["count"] for r in steps.groupBy("task").count().collect()]
+    assert sum(per_task) == 64 * 168 and len(per_task) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_rounded_doubles(spark):
+    """The quick way of rounding gives what rounding the decimal text gives, ties and odd values included."""
+    from gridcast.plans.catalog.base import r4, rounded
+
+    odd = [0.00005, -0.00005, 1.00015, 2.00025, -0.0, 0.0, 1e300, -1e12, 123456.78905, float("inf"), float("nan"), None]
+    some = [k / 1e5 for k in range(-2000, 2000)] + [float(x) for x in np.random.default_rng(3).normal(0, 50, 4000)]
+    df = spark.createDataFrame([(x,) for x in odd + some], "x double").withColumn("y", F.col("x"))
+    got = rounded(df, "x").select("x", r4("y").alias("want"))
+    assert got.where("NOT (CAST(x AS string) <=> CAST(want AS string))").count() == 0
