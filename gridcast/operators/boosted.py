@@ -92,17 +92,23 @@ def fit_quantile_heads(
 
 
 def predict_quantiles(heads: QuantileHeads, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Mean of the leaf quantiles over the trees, as ``y_lower`` and ``y_upper``; no shuffle."""
-    placed = heads.forest.transform(assemble(df, features)).withColumn("_leaf", vector_to_array("_leaf"))
-    table = heads.leaves.select(F.transform("_table", F.map_from_entries).alias("_maps"))
-    joined = placed.crossJoin(F.broadcast(table))  # one row of trees x 2^depth entries
+    """Mean of the leaf quantiles over the trees, as ``y_lower`` and ``y_upper``; no shuffle.
+
+    The model's bounds, trees x 2^depth, are a constant of the plan, an array per tree that is read at the leaf's number;
+    as a column they'd be copied with every row.
+    """
+    rows = df if VECTOR in df.columns else assemble(df, features)
+    placed = heads.forest.transform(rows).withColumn("_leaf", vector_to_array("_leaf"))
+    trees = [{int(e["key"]): e["value"] for e in tree} for tree in heads.leaves.first()["_table"]]
 
     def mean_of(side: str) -> Column:
-        hits = F.zip_with("_maps", "_leaf", lambda leaves, node: leaves[node][side])
+        bounds = [[F.lit(t[n][side] if n in t else None) for n in range(max(t) + 1)] for t in trees]
+        table = F.array(*[F.array(*b) for b in bounds])
+        hits = F.zip_with(table, "_leaf", lambda leaves, node: F.get(leaves, node.cast("int")))
         return F.aggregate(hits, F.lit(0.0), lambda a, x: a + x) / F.size("_leaf")
 
-    return joined.withColumn("y_lower", mean_of("lo")).withColumn("y_upper", mean_of("hi")).drop(
-        "_maps", "_leaf", VECTOR, "prediction"
+    return placed.withColumn("y_lower", mean_of("lo")).withColumn("y_upper", mean_of("hi")).drop(
+        "_leaf", VECTOR, "prediction"
     )
 
 
@@ -117,9 +123,9 @@ class ForecastBundle:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Adds ``predicted`` and, with heads, raw ``y_lower, y_upper`` and calibrated ``lower_bound, upper_bound``."""
-        out = predict_point(self.point, df, self.features)
         if self.heads is None:
-            return out
+            return predict_point(self.point, df, self.features)
+        out = self.point.setPredictionCol("predicted").transform(assemble(df, self.features))  # one vector for both models
         out = predict_quantiles(self.heads, out, self.features)
         bounded = out.withColumn("lower_bound", F.col("y_lower")).withColumn("upper_bound", F.col("y_upper"))
         return widen(bounded, "lower_bound", "upper_bound", F.lit(self.q))

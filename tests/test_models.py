@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridcast.operators.boosted import (
-    ForecastBundle, cross_validate, fit_bundle, fit_point, importance, predict_point,
+    ForecastBundle, assemble, cross_validate, fit_bundle, fit_point, importance, predict_point,
 )
 from gridcast.operators.conformal import adaptive_conformal
 from gridcast.operators.explain import attributions, mean_attribution, row_attribution, stable_sample
@@ -104,6 +104,18 @@ def test_bundle_round_trip(spark, tmp_path, labelled, bundle):
     assert "predicted" in point_only.columns and "lower_bound" not in point_only.columns
 
 
+def test_leaf_bounds_are_not_copied_with_each_row(labelled, bundle):
+    """The bounds are a constant: as a column, trees x 2^depth entries came with every scored row."""
+    scored = bundle.score(labelled)
+    assert "Join" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    table = bundle.heads.leaves.first()["_table"]
+    row = bundle.heads.forest.transform(assemble(labelled, NAMES)).select("series_id", "ts", "_leaf").first()
+    hits = [{e["key"]: e["value"] for e in tree}[node] for tree, node in zip(table, row["_leaf"], strict=True)]
+    got = scored.where((F.col("series_id") == row["series_id"]) & (F.col("ts") == F.lit(row["ts"]))).first()
+    assert got["y_lower"] == pytest.approx(np.mean([h["lo"] for h in hits]))
+    assert got["y_upper"] == pytest.approx(np.mean([h["hi"] for h in hits]))
+
+
 def test_cross_validation(labelled):
     out = cross_validate(split_part(labelled, "train"), Axis(), NAMES, TRAIN).toPandas()
     assert sorted(out["fold"]) == [1, 2] and (out["fold_mape"] > 0).all()
