@@ -14,6 +14,7 @@ from gridcast.operators.asof import point_in_time_join
 from gridcast.operators.features import lag_names, rolling_names
 from gridcast.operators.skew import join_groups
 from gridcast.params import Axis, FeatureParams
+from gridcast.sources.tables import cut
 
 # Horizon bounds and default of a request.
 MIN_HORIZON, MAX_HORIZON, DEFAULT_HORIZON = 1, 168, 24
@@ -125,3 +126,35 @@ def score_requests(
     if not nested:
         return points
     return points.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(ts, "predicted", *bounds))).alias("forecast"))
+
+
+def forecast_requests(
+    bundle,
+    requests: DataFrame,
+    axis: Axis,
+    params: FeatureParams = FeatureParams(),
+    history: DataFrame | None = None,
+    anchors: DataFrame | None = None,
+    keys: Sequence[str] = ("request_id",),
+    rows_per_task: int = 50_000,
+) -> DataFrame:
+    """Forecast points of valid requests, flat, as `score_requests` gives them for `request_features`.
+
+    A forecast follows from the series, the start and the request's columns that the model reads. Requests that share them
+    get the same points, so these are made once, up to the longest horizon asked for; each request takes its first steps.
+    More than ``rows_per_task`` requests for one forecast are spread over several copies of it.
+    """
+    read = [c for c in requests.columns if c not in (*axis.keys, "start_ts", "horizon") and {c, f"{c}_mw"} & set(bundle.features)]
+    by = [*axis.keys, "start_ts", *read]
+    parts = F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int")
+    shared = requests.groupBy(*by).agg(F.max("horizon").alias("horizon"), parts.alias("_parts"))
+    shared = cut(shared.withColumn("_forecast", F.monotonically_increasing_id()))
+    none = {c: F.lit(None).cast("array<double>") for c in ("wind", "solar") if c not in read}
+    features = request_features(shared.drop("_parts").withColumns(none), axis, params, history, anchors)
+    points = score_requests(bundle, features, nested=True, keys=["_forecast"], ts=axis.ts)
+    points = points.join(shared.select("_forecast", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part")), "_forecast")
+
+    asked = join_groups(requests.select(*{c: 0 for c in (*keys, "horizon", *by)}), shared.select(*by, "_forecast", "_parts"), by)
+    part = F.pmod(F.xxhash64(*keys, F.monotonically_increasing_id()), F.col("_parts")).cast("int").alias("_part")
+    steps = asked.select(*keys, "horizon", "_forecast", part).join(points, ["_forecast", "_part"])
+    return steps.select(*keys, F.inline(F.slice("forecast", F.lit(1), F.col("horizon"))))

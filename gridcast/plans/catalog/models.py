@@ -8,7 +8,7 @@ from gridcast.operators.boosted import bundle_metrics, cross_validate, fit_bundl
 from gridcast.operators.explain import attributions
 from gridcast.operators.features import build_feature_matrix, feature_names, history_features
 from gridcast.operators.metrics import forecast_metrics
-from gridcast.operators.requests import check_requests, request_features, score_requests, valid_requests
+from gridcast.operators.requests import check_requests, forecast_requests, valid_requests
 from gridcast.operators.split import assign_split, split_part
 from gridcast.operators.structural import fit_structural
 from gridcast.params import BoostParams, FeatureParams, TrainParams
@@ -88,4 +88,4 @@ def scored_requests(spark, sf):
         (F.unix_seconds(F.min("ts").cast("timestamp")) / 3600).cast("bigint").alias("start_idx")
     )
     requests = valid_requests(check_requests(_requests(spark, sf)))
-    return score_requests(model, request_features(requests, HOURLY, FEATURES, history, anchors))
+    return forecast_requests(model, requests, HOURLY, FEATURES, history, anchors)

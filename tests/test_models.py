@@ -16,7 +16,7 @@ from gridcast.operators.features import build_feature_matrix, feature_names
 from gridcast.operators.metrics import forecast_metrics, interval_metrics
 from gridcast.operators.naive import seasonal_naive
 from gridcast.operators.quality import Check
-from gridcast.operators.requests import request_features, score_requests
+from gridcast.operators.requests import forecast_requests, request_features, score_requests
 from gridcast.operators.split import assign_split, split_part
 from gridcast.operators.structural import fit_structural
 from gridcast.params import (
@@ -193,6 +193,40 @@ def test_score_requests(spark, bundle):
     assert len(nested["r1"]) == 24 and [p["ts"] for p in nested["r2"]] == sorted(p["ts"] for p in nested["r2"])
 
 
+class Counted:
+    """A bundle that notes how many rows it was given."""
+
+    def __init__(self, bundle, features=()):
+        self.bundle, self.features, self.rows = bundle, (*bundle.features, *features), []
+
+    def score(self, df):
+        self.rows.append(df.count())
+        return self.bundle.score(df)
+
+
+def test_requests_that_share_series_and_start_are_forecast_once(spark, bundle, panel):
+    from gridcast.operators.features import history_features
+
+    noon = "2019-02-20 12:00"
+    rows = [(1, "a", noon, 24, None), (2, "a", noon, 3, None), (2, "a", noon, 3, [1.0, 2.0, 3.0]), (None, "b", noon, 5, None),
+            (None, "b", noon, 5, [3.0] * 5), (4, "b", "2019-02-20 13:00", 5, []), (5, None, noon, 2, None), (6, None, noon, 4, None)]
+    schema = "request_id int, series_id string, start_ts string, horizon int, wind array<double>"
+    asked = spark.createDataFrame(rows, schema).withColumn("start_ts", F.col("start_ts").cast("timestamp_ntz"))
+    asked = asked.withColumn("solar", F.lit(None).cast("array<double>"))
+    history = history_features(panel, Axis(), "y", FEATURES.lags, FEATURES.windows).drop("y")
+    anchors = panel.groupBy("series_id").agg((F.unix_seconds(F.min("ts").cast("timestamp")) / 3600).cast("bigint").alias("start_idx"))
+    in_order = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    want = in_order(score_requests(bundle, request_features(asked, Axis(), FEATURES, history, anchors)))
+    assert len(want) == 51 and any(r[2] is not None for r in want)
+    for limit in (1, 50_000):
+        counted = Counted(bundle)
+        assert in_order(forecast_requests(counted, asked, Axis(), FEATURES, history, anchors, rows_per_task=limit)) == want
+        assert counted.rows == [24 + 5 + 5 + 4]
+    windy = Counted(bundle, ["wind_mw"])  # a model that reads the wind forecasts each wind by itself
+    assert in_order(forecast_requests(windy, asked, Axis(), FEATURES, history, anchors)) == want
+    assert windy.rows == [24 + 3 + 5 + 5 + 5 + 4]
+
+
 # ---- streaming ------------------------------------------------------------------------------------------------------
 
 
