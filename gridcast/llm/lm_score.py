@@ -18,6 +18,7 @@ that share. Filters of fixed size keep runs that can't be in the table out of th
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.text import batch_of, blocks, bounded_batches, flat, mix, span_hashes, window_hashes, word_spans
-from gridcast.sources.tables import cut
+from gridcast.llm.text import BASE, batch_of, blocks, bounded_batches, flat, mix, span_hashes, word_spans
+from gridcast.sources.tables import cut, release
 
 LEAST, HOT_SHARE, GAIN, WEIGHT = 2, 1e-6, 4.0, 1.0
 HELD = 2_000_000
@@ -48,25 +49,35 @@ def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return out, before + np.arange(n + 1)
 
 
+def run_key(state: np.ndarray, suffix: np.ndarray, k: int) -> np.ndarray:
+    """Hash of a run of ``k`` tokens from those of the run without its last token and of the run without its first."""
+    return mix(state * BASE + suffix + np.uint64(k))
+
+
 def runs(found: np.ndarray, begin: np.ndarray, longest: int) -> list:
     """For each length up to ``longest``, the hash of the run of tokens from each place, and whether it ends in its text."""
-    out = [(found, np.ones(len(found), bool))]
+    inside = np.ones(len(found), bool)
+    out = [(found, inside.copy())]
+    inside[begin[1:] - 1] = False  # each text has a token, its end mark
     for k in range(2, longest + 1):
-        hashes, first, _ = window_hashes(found, begin, k)
-        key, whole = np.zeros(len(found), np.uint64), np.zeros(len(found), bool)
-        key[first], whole[first] = hashes, True
+        part, fits = out[-1]
+        key, whole = np.zeros(len(found), np.uint64), inside & fits
+        whole[:-1] &= fits[1:]
+        at = np.flatnonzero(whole)
+        key[at] = run_key(part[at], part[at + 1], k)
         out.append((key, whole))
     return out
 
 
-def count_keys(docs: DataFrame, keys: Callable, parts: int, *more: str) -> DataFrame:
-    """(key, n, n_train, *more) summed over all texts. ``keys`` gives a block's keys, for each whether it's of a training
-    text, and the values ``more`` that belong to the key.
+def count_keys(docs: DataFrame, keys: Callable, parts: int, size: int = 1) -> DataFrame:
+    """(key, n, n_train) summed over all texts, and of runs of ``size`` tokens also state and suffix.
 
-    Counts are summed in each task before they're sent, packed in one row for each part of the keys, so a very common
-    key costs one entry for each ``HELD`` entries of a task.
+    ``keys`` gives a block's keys, for each whether it's of a training text, and state and suffix. Counts are summed in each
+    task before they're sent, packed in one row for each part of the keys, so a very common key costs one entry for each
+    ``HELD`` entries of a task. The key of a longer run isn't sent, as state and suffix give it.
     """
-    names = ["keys", "n", "n_train", *more]
+    more = ["state", "suffix"] if size > 1 else []
+    names = ["n", "n_train", *(more or ["keys"])]
     schema = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in names)])
 
     def merged(held: list) -> list:
@@ -76,12 +87,13 @@ def count_keys(docs: DataFrame, keys: Callable, parts: int, *more: str) -> DataF
 
     def send(held: list) -> pa.RecordBatch:
         key, *rest = merged(held)[0]
-        part = ((mix(key) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        part = part_of(mix(key), parts)
         order = np.argsort(part, kind="stable")
         edges = np.searchsorted(part[order], np.arange(parts + 1))
         some = np.flatnonzero(np.diff(edges))
-        cols = [[x[order[edges[p] : edges[p + 1]]].tobytes() for p in some] for x in (key, *rest)]
-        return batch_of(schema, some.astype(np.int32), *cols)
+        sent = rest if more else (*rest, key)
+        cols = [[x[order[edges[p] : edges[p + 1]]].tobytes() for p in some] for x in sent]
+        return batch_of(schema, some, *cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -99,12 +111,28 @@ def count_keys(docs: DataFrame, keys: Callable, parts: int, *more: str) -> DataF
             yield send(held)
 
     def add(group: pa.Table) -> pa.Table:
-        kinds = [np.uint64, np.int64, np.int64, *[np.uint64] * len(more)]
-        read = [np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in zip(names, kinds, strict=True)]
-        return pa.table(dict(zip(["key", *names[1:]], (x.view(np.int64) for x in merged([tuple(read)])[0]), strict=True)))
+        n, train, *rest = (np.frombuffer(b"".join(group.column(c).to_pylist()), np.int64) for c in names)
+        rest = [x.view(np.uint64) for x in rest]
+        read = (run_key(*rest, size), n, train, *rest) if more else (*rest, n, train)
+        return pa.table(dict(zip(out, (x.view(np.int64) for x in merged([read])[0]), strict=True)))
 
+    out = ["key", "n", "n_train", *more]
     packed = docs.select("text", "train").mapInArrow(run, "part int, " + ", ".join(f"{c} binary" for c in names))
-    return packed.groupBy("part").applyInArrow(add, ", ".join(f"{c} long" for c in ["key", *names[1:]]))
+    return packed.groupBy("part").applyInArrow(add, ", ".join(f"{c} long" for c in out))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same as `cut`; the files of the exchanges behind the table are deleted as soon as it's written."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return cut(df)
+    finally:
+        if before is None:
+            conf.unset(name)
+        else:
+            conf.set(name, before)
 
 
 def key_filter(table: DataFrame) -> np.ndarray:
@@ -121,6 +149,11 @@ def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[keys >> np.uint64(64 - FILTER_BITS)] >> ((keys >> np.uint64(58 - FILTER_BITS)) & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part that a key is in: equal shares of all values, in their order."""
+    return (((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
+
+
 def _place(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Index of each key in the sorted table, -1 where it isn't."""
     if not len(table):
@@ -222,7 +255,7 @@ def grow(words: np.ndarray, counts: np.ndarray, n: int, v: int, keys: list, size
 
 
 def tree_weights(lower: DataFrame, level: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One level of the tree: (key, n, n_train, p, w) of its runs and (key, w) of the kept states.
+    """One level of the tree, stored: (key, n, n_train, p, w) of its runs and (state, rest) of the kept states.
 
     ``lower`` has key, n_train and p (probability of the last word) of the runs shorter by one, ``level`` key, n, n_train,
     and the keys state (without the last word) and suffix (without the first).
@@ -237,11 +270,11 @@ def tree_weights(lower: DataFrame, level: DataFrame) -> tuple[DataFrame, DataFra
     )
     rest = F.greatest(1 - F.col("mass"), F.lit(1e-12)) / F.greatest(1 - F.col("under"), F.lit(1e-12))
     kept = sums.withColumn("rest", rest).filter(F.col("gain") + F.col("other") * F.log("rest") > GAIN * (1 + F.col("size")))
-    kept = cut(kept.select("state", F.log10("rest").alias("rest")))
+    kept = stored(kept.select("state", F.log10("rest").alias("rest")))
     rows, keep = rows.join(kept, "state", "left"), F.col("rest").isNotNull()
     weight = F.when(keep, F.log10("own") - F.log10("lower") - F.col("rest")).otherwise(0.0)
-    rows = cut(rows.select("key", "n", "n_train", F.when(keep, F.col("own")).otherwise(F.col("lower")).alias("p"), weight.alias("w")))
-    return rows, kept.select(F.col("state").alias("key"), F.col("rest").alias("w"))
+    rows = stored(rows.select("key", "n", "n_train", F.when(keep, F.col("own")).otherwise(F.col("lower")).alias("p"), weight.alias("w")))
+    return rows, kept
 
 
 def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -260,13 +293,13 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
         found, begin = tokens(b)
         return found, np.repeat(b.column("train").to_numpy(zero_copy_only=False).astype(float), np.diff(begin))
 
-    vocabulary = cut(count_keys(docs, words_of, parts))
+    vocabulary = stored(count_keys(docs, words_of, parts))
     sums = vocabulary.agg(F.sum("n").alias("all"), F.sum("n_train").alias("n"), F.count(F.when(F.col("n_train") > 0, 1)).alias("v")).first()
     everything, n, v = (sums[c] or 0 for c in ("all", "n", "v"))
     enough = F.col("n_train") >= LEAST
     root = (F.col("n_train") + 1) / F.lit(float(n + v + 1))
     lower = vocabulary.filter(enough).withColumn("p", root)
-    weights = vocabulary.select("key", "n", F.col("n_train").alias("c"), F.lit(0.0).alias("w"))
+    weights, used = vocabulary.select("key", "n", F.col("n_train").alias("c"), F.lit(0.0).alias("w")), [vocabulary]
     for k in (2, 3, 4):
         shorter = spark.sparkContext.broadcast(key_filter(lower))
 
@@ -278,14 +311,18 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
             learn = b.column("train").to_numpy(zero_copy_only=False).astype(float)
             return run[at], learn[np.searchsorted(begin, at, "right") - 1], part[at], part[at + 1]
 
-        level = cut(count_keys(docs, level_of, parts, "state", "suffix").filter(enough))
-        lower, states = tree_weights(lower, level)
+        level = stored(count_keys(docs, level_of, parts, k).filter(enough))
+        lower, kept = tree_weights(lower, level)
+        release(level)
+        shorter.destroy()
+        used += [lower, kept]
         none = F.lit(None).cast("long")
         weights = weights.unionByName(lower.select("key", "n", none.alias("c"), "w"))
-        weights = weights.unionByName(states.select("key", none.alias("n"), none.alias("c"), "w"))
+        weights = weights.unionByName(kept.select(F.col("state").alias("key"), none.alias("n"), none.alias("c"), F.col("rest").alias("w")))
     table = weights.groupBy("key").agg(F.max("n").alias("n"), F.max("c").alias("c"), F.sum("w").alias("w"))
     log = F.when(F.col("c").isNotNull(), F.log10((F.col("c") + 1) / F.lit(float(n + v + 1))))
-    table = cut(table.filter("c is not null or w != 0").withColumn("root", log))
+    table = stored(table.filter("c is not null or w != 0").withColumn("root", log))
+    release(*used)
     hot = F.col("n") >= max(2.0, HOT_SHARE * everything)
     often = table.filter(hot).orderBy("key").toArrow()
     columns = [often.column(c).to_numpy() for c in ("key", "w")]
@@ -294,24 +331,37 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     others = table.filter(~hot)
     model = spark.sparkContext.broadcast((columns[0].view(np.uint64)[order], columns[1][order], plain("root", float), plain("c", np.int64) > 0,
                                           key_filter(others.filter("c is null"))))
-    names = ["uid", "key", "train", "n_tokens", "known", "base", "score", "rare", "times"]
-    kinds = ["long", docs.schema["key"].dataType.simpleString(), "boolean", "long", "long", "double", "double", "array<long>", "array<int>"]
+    kind = docs.schema["key"].dataType.simpleString()
+    row_schema = f"uid long, key {kind}, train boolean, n_tokens long, known long, base double, score double"
+    log_root = math.log10(n + v + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each text's row, and packed for each part of the keys the runs that are left to the table."""
         hot, weight, root, seen, bits = model.value
-        uid = TaskContext.get().partitionId() << 33
+        first_uid, size, held, schema = TaskContext.get().partitionId() << 33, 0, [], None
+
+        def send(held: list) -> pa.RecordBatch:
+            key, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
+            part = part_of(key, parts)
+            order = np.argsort(part, kind="stable")
+            edges = np.searchsorted(part[order], np.arange(parts + 1))
+            some = np.flatnonzero(np.diff(edges))
+            packed = [[x[order[edges[p] : edges[p + 1]]].tobytes() for p in some] for x in (key, *rest)]
+            none = [[None] * len(some)] * 6
+            return batch_of(schema, some, np.full(len(some), first_uid), *none, *packed)
+
         for b in blocks(batches):
             found, begin = tokens(b)
-            rows, size = np.repeat(np.arange(b.num_rows), np.diff(begin)), b.num_rows
-            known, base, score, open_ = np.zeros(size, np.int64), np.zeros(size), np.zeros(size), []
+            rows, n_rows = np.repeat(np.arange(b.num_rows), np.diff(begin)), b.num_rows
+            known, base, score, open_ = np.zeros(n_rows, np.int64), np.zeros(n_rows), np.zeros(n_rows), []
             for k, (part, whole) in enumerate(runs(found, begin, 4)):
                 part, row = part[whole], rows[whole]
                 at = _place(hot, part)
                 here = at >= 0
-                score += np.bincount(row[here], weight[at[here]], size)
+                score += np.bincount(row[here], weight[at[here]], n_rows)
                 if k == 0:
-                    base += np.bincount(row[here], root[at[here]], size)
-                    known += np.bincount(row[here], seen[at[here]], size).astype(np.int64)
+                    base += np.bincount(row[here], root[at[here]], n_rows)
+                    known += np.bincount(row[here], seen[at[here]], n_rows).astype(np.int64)
                 other = ~here if k == 0 else ~here & may_have(bits, part)
                 open_.append((row[other], part[other]))
             row, part = (np.concatenate(x) for x in zip(*open_, strict=True))
@@ -321,23 +371,48 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
             new[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
             first = np.flatnonzero(new)
             times = np.diff(np.append(first, len(row))).astype(np.int32)
-            edges = np.searchsorted(row[first], np.arange(size + 1)).astype(np.int32)
-            listed = lambda x: pa.ListArray.from_arrays(pa.array(edges), pa.array(x))  # noqa: E731, B023
-            columns = [pa.array(np.arange(uid, uid + size)), b.column("key"), b.column("train"), pa.array(np.diff(begin)),
-                       *map(pa.array, (known, base, base + score)), listed(part[first].view(np.int64)), listed(times)]
-            uid += size
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    scored = cut(docs.mapInArrow(run, ", ".join(f"{a} {b}" for a, b in zip(names, kinds, strict=True))))
-    rare = scored.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("uid", F.col("r.rare").alias("key"), F.col("r.times").alias("times"))
-    joined = rare.join(others.select("key", "c", "w", "root"), "key")
-    more = joined.groupBy("uid").agg(
-        F.sum(F.col("times") * F.coalesce("root", F.lit(0.0))).alias("more"), F.sum(F.col("times") * F.col("w")).alias("more_tree"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-    )
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return scored.join(more, "uid", "left").select(
-        F.col("key").alias(key), "train", "n_tokens", (F.col("known") + zero("more_known")).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + zero("more")).alias("base_score"),
-        (F.col("score") + zero("more") + zero("more_tree")).alias("score"),
+            names = ["part", "uid", "key", "train", "n_tokens", "known", "base", "score"]
+            number = np.arange(size, size + n_rows)
+            values = [pa.array((number % parts).astype(np.int32)), pa.array(first_uid + number), b.column("key"), b.column("train"),
+                      *map(pa.array, (np.diff(begin), known, base, base + score))]
+            schema = pa.schema([*((c, x.type) for c, x in zip(names, values, strict=True)), *((c, pa.binary()) for c in ("runs", "rows", "times"))])
+            yield pa.RecordBatch.from_arrays([*values, *[pa.nulls(n_rows, pa.binary())] * 3], schema=schema)
+            held.append((part[first], (size + row[first]).astype(np.int32), times))
+            size += n_rows
+            if sum(len(x[0]) for x in held) > HELD // 2:
+                yield send(held)
+                held = []
+        if held:
+            yield send(held)
+
+    def look_up(texts: pa.Table, entries: pa.Table) -> pa.Table:
+        """The texts' rows, and for each text what its runs in this part of the table add."""
+        plain = texts.filter(texts.column("runs").is_null()).drop_columns(["part", "runs", "rows", "times"])
+        packed = texts.filter(texts.column("runs").is_valid())
+        read = lambda c, kind: [np.frombuffer(x, kind) for x in packed.column(c).to_pylist()]
+        keys, times = (np.concatenate([np.zeros(0, t), *read(c, t)]) for c, t in (("runs", np.uint64), ("times", np.int32)))
+        uid = np.concatenate([np.zeros(0, np.int64), *(x.astype(np.int64) + a for x, a in zip(read("rows", np.int32), packed.column("uid").to_pylist(), strict=True))])
+        own = entries.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(own)
+        count, weight = entries.column("c").fill_null(-1).to_numpy()[order], entries.column("w").to_numpy()[order]
+        at = _place(own[order], keys)
+        uid, times, at = (x[at >= 0] for x in (uid, times, at))
+        base = times * np.where(count[at] >= 0, np.log10(np.maximum(count[at], 0) + 1) - log_root, 0.0)
+        uid, to = np.unique(uid, return_inverse=True)
+        total = lambda x: np.bincount(to, x, len(uid))
+        known, base, tree = total(times * (count[at] > 0)).astype(np.int64), total(base), total(times * weight[at])
+        more = batch_of(plain.schema, uid, *[[None] * len(uid)] * 3, known, base, base + tree)
+        return pa.concat_tables([plain, pa.Table.from_batches([more])])
+
+    packed = docs.mapInArrow(run, f"part int, {row_schema}, runs binary, rows binary, times binary")
+    by_part = F.expr(f"cast(shiftright(shiftrightunsigned(key, 32) * {parts}L, 32) as int)").alias("part")
+    entries = others.select(by_part, "key", "c", "w").groupBy("part")
+    found = packed.groupBy("part").cogroup(entries).applyInArrow(look_up, row_schema)
+    only = lambda c: F.first(c, ignorenulls=True).alias(c)
+    scored = stored(found.groupBy("uid").agg(only("key"), only("train"), *[F.sum(c).alias(c) for c in ("n_tokens", "known", "base", "score")]))
+    model.destroy()
+    release(table)
+    return scored.select(
+        F.col("key").alias(key), "train", "n_tokens", F.col("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"), "score",
     )

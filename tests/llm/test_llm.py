@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from gridcast.llm import (
     chunk_dedup, decontaminate, lm_score, packing, pii, quality_crf, queries, robust_rules, secret_scan, shingle_join, suffix_dedup,
 )
 from gridcast.llm.text import flat, shingle_sets, span_hashes, word_spans
+from gridcast.sources.tables import shared_folder
 
 
 def texts(df):
@@ -108,6 +110,30 @@ def test_lm_tables_score_like_the_tree(odd, monkeypatch):
         assert {r.doc_id: r.score for r in lm_score.score_texts(odd, train).collect()} == pytest.approx(want, rel=1e-7)
 
 
+def test_lm_scoring_leaves_only_its_result_on_disk(spark, odd):
+    """The tables behind the scores are deleted, and so are the files of the exchanges that made them."""
+    folder = Path(re.sub("^file:/*", "/", shared_folder(spark))) / "gridcast"
+    before = set(folder.glob("*"))
+    scored = lm_score.score_texts(odd, F.lit(True))
+    assert len(set(folder.glob("*")) - before) == 1
+    assert scored.count() == odd.count() == scored.dropDuplicates(["doc_id"]).count()  # read twice
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def test_lm_run_keys_stay_inside_a_text():
+    """Equal runs have equal keys wherever they are, and no run crosses two texts."""
+    begin = np.array([0, 4, 5, 9])
+    found = lm_score.mix(np.array([1, 2, 3, 9, 9, 2, 3, 1, 9], np.uint64))
+    for k, (key, whole) in enumerate(lm_score.runs(found, begin, 4), 1):
+        want = [i for a, b in zip(begin, begin[1:], strict=False) for i in range(a, b - k + 1)]
+        assert np.flatnonzero(whole).tolist() == want
+        of = {i: tuple(found[i : i + k]) for i in want}
+        assert all((key[i] == key[j]) == (of[i] == of[j]) for i in want for j in want)
+        if k > 1:
+            assert all(key[i] == lm_score.run_key(last[i : i + 1], last[i + 1 : i + 2], k)[0] for i in want)
+        last = key
+
+
 def test_lm_contexts_do_not_depend_on_the_size(spark):
     """A passage that occurs three times is learnt from, however many other words there are."""
     passage = " ".join(f"word{i}" for i in range(40))
