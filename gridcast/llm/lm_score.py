@@ -12,8 +12,8 @@ goes to all other words in proportion to the parent. Each word is scored by the
 A position is a word with the three words before it. All positions after the same last word meet in one part, so that the
 states that end with that word, and all their next words, are counted, grown and scored there at once; the root's
 probability of a rare last word is found before, where all its occurrences meet. Only sums for each text leave a part. The
-parts are gone through in ``ROUNDS``, so the exchange on disk holds a share of the positions at a time; the texts are read
-again for each. A word after which there are more positions than a part should hold is split by the word before it, and so
+parts are gone through in ``ROUNDS``, so the exchange on disk holds a share of the positions at a time; each reads the words
+from a stored table of their numbers. A word after which there are more positions than a part should hold is split by the word before it, and so
 on; the states that several parts share are counted first, and their table is sent to those parts. Frequent words, at
 least ``HOT_SHARE`` of all, are sent as numbers.
 """
@@ -441,12 +441,6 @@ def score_positions(words: np.ndarray, learn: np.ndarray, hot: list, entries: tu
     return score
 
 
-def steady(docs: DataFrame) -> DataFrame:
-    """The rows in partitions that are the same each time they're read: stored, if an exchange or chance is behind them."""
-    plan = docs._jdf.queryExecution()
-    return docs if plan.optimizedPlan().deterministic() and "Exchange" not in plan.executedPlan().toString() else cut(docs)
-
-
 def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row: key, train, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -456,7 +450,7 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    docs = steady(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.coalesce(train, F.lit(False)).alias("train")))
+    docs = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text_parts, each = -(-parts // 4), parts * GROUPS
     all_parts = each * ROUNDS
@@ -495,10 +489,10 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     def compact(x: np.ndarray, row: np.ndarray, learn: np.ndarray, ids: np.ndarray, words: np.ndarray) -> tuple:
         return x, np.vstack([ids, (row * 2 + learn).astype(np.int32)]), *(w[i < 0] for i, w in zip(ids, words, strict=True))
 
-    def sent(held: list, turn: int, each: int, turns: int) -> pa.RecordBatch:
+    def sent(held: list, base: int, turn: int, each: int, turns: int) -> pa.RecordBatch:
         columns = [np.concatenate(x, axis=-1) for x in zip(*held, strict=True)]
         some, n, *blobs = model.value[0].packed(*columns, first=turn * each, parts=each, all_parts=turns * each)
-        return batch_of(pack_schema, some, np.full(len(some), TaskContext.get().partitionId() << 33), n, *blobs)
+        return batch_of(pack_schema, some, np.full(len(some), base), n, *blobs)
 
     def contexts(found: np.ndarray, begin: np.ndarray, at: np.ndarray, ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and words of ``length`` words before the places and of the place itself; no word before the text."""
@@ -525,45 +519,70 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
 
         return df.select("part", "uids", *names).groupBy("part").applyInArrow(add, f"uid long, {', '.join(f'{c} double' for c in names)}")
 
-    # Words that aren't frequent meet all their occurrences: counts for their texts, and for runs of two of which they're the last.
-    def rare_words(batches: Iterator[pa.RecordBatch], turn: int, turns: int) -> Iterator[pa.RecordBatch]:
-        common, first_uid, size, held, schema = model.value[0], TaskContext.get().partitionId() << 33, 0, [], None
-        texts = [c.split()[0] for c in row_schema.split(", ")]
+    # The words' numbers are stored once; later passes read them. Rows of texts and of blocks of texts are in one table.
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, size, first_uid, schema = model.value[0], 0, TaskContext.get().partitionId() << 33, None
         logs = np.log10(common.count + 1.0) - log_root
 
-        def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
-            have = dict(zip(batch.schema.names, batch.columns, strict=True))
-            return pa.RecordBatch.from_arrays([have.get(f.name, pa.nulls(len(batch), f.type)) for f in schema], schema=schema)
+        def whole(**have) -> pa.RecordBatch:
+            n = len(have["uid"])
+            return pa.RecordBatch.from_arrays([have.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
 
         for b in blocks(batches):
             found, begin = tokens(b)
-            n_rows, ids = b.num_rows, common.ids(found)
-            row = np.repeat(np.arange(n_rows), np.diff(begin))
-            schema = schema or pa.schema([("part", pa.int32()), *((c, t) for c, t in zip(texts, (pa.int64(), b.schema.field("key").type, pa.bool_(), pa.int64(), pa.float64(), pa.float64()), strict=True)),
-                                          *((f.name, f.type) for f in list(pack_schema)[2:])])
-            if turn == 0:
-                here, number = ids >= 0, np.arange(size, size + n_rows)
-                known, base = np.bincount(row[here], common.count[ids[here]] > 0, n_rows), np.bincount(row[here], logs[ids[here]], n_rows)
-                values = (pa.array(first_uid + number), b.column("key"), b.column("train"), *map(pa.array, (np.diff(begin), known, base)))
-                yield whole(pa.RecordBatch.from_arrays([pa.array((number % parts).astype(np.int32)), *values], names=["part", *texts]))
-            at = np.flatnonzero(ids < 0)
-            x = mix(found[at])
-            if turns > 1:
-                mine = part_of(x, turns) == turn
-                at, x = at[mine], x[mine]
-            learn = b.column("train").to_numpy(zero_copy_only=False)[row[at]]
-            held.append(compact(x, size + row[at], learn, *contexts(found, begin, at, ids, 1)))
+            ids, row, n_rows = common.ids(found), np.repeat(np.arange(b.num_rows), np.diff(begin)), b.num_rows
+            schema = schema or pa.schema([("uid", pa.int64()), b.schema.field("key"), b.schema.field("train"), ("n_tokens", pa.int64()), ("known", pa.float64()), ("base", pa.float64()),
+                                          *((c, pa.binary()) for c in ("sizes", "learn", "numbers", "words"))])
+            here = ids >= 0
+            known, base = np.bincount(row[here], common.count[ids[here]] > 0, n_rows), np.bincount(row[here], logs[ids[here]], n_rows)
+            uid = first_uid + size + np.arange(n_rows)
+            yield whole(uid=pa.array(uid), key=b.column("key"), train=b.column("train"), n_tokens=pa.array(np.diff(begin)), known=pa.array(known), base=pa.array(base))
+            learn = b.column("train").to_numpy(zero_copy_only=False).astype(np.uint8)
+            numbers = pa.compress(ids.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+            blobs = (np.diff(begin).astype(np.int32).tobytes(), learn.tobytes(), numbers, found[~here].tobytes())
+            yield whole(uid=pa.array(uid[:1]), **{c: pa.array([x], pa.binary()) for c, x in zip(("sizes", "learn", "numbers", "words"), blobs, strict=True)})
             size += n_rows
-            if sum(len(h[0]) for h in held) > HELD:
-                yield whole(sent(held, turn, parts, turns))
+
+    coded = stored(docs.mapInArrow(encode, f"{row_schema}, sizes binary, learn binary, numbers binary, words binary"))
+    coded_words = coded.filter("numbers is not null").select("uid", "sizes", "learn", "numbers", "words")
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """Of each block: where its texts' uids begin, the words and their numbers, where texts begin, and of each word its text's
+        place and whether it's learnt from."""
+        symbols = model.value[0].symbols
+        for batch in batches:
+            for uid, sizes, learn, numbers, words in zip(*(batch.column(c).to_pylist() for c in ("uid", "sizes", "learn", "numbers", "words")), strict=True):
+                sizes = np.frombuffer(sizes, np.int32)
+                begin = np.append(0, np.cumsum(sizes, dtype=np.int64))
+                data = np.frombuffer(pa.decompress(numbers, 4 * int(begin[-1]), "zstd"), np.uint8).reshape(4, -1)
+                ids = np.ascontiguousarray(data.T).view(np.int32).ravel()
+                found = symbols[ids]
+                found[ids < 0] = np.frombuffer(words, np.uint64)
+                yield uid, found, ids, begin, np.repeat(np.arange(len(sizes)), sizes), np.frombuffer(learn, np.uint8)
+
+    def exchanged(batches: Iterator[pa.RecordBatch], choose: Callable, length: int, turn: int, each: int, turns: int) -> Iterator[pa.RecordBatch]:
+        """The places that ``choose`` gives for this turn, with the value that decides their part, and their words."""
+        held, base = [], 0
+        for uid, found, ids, begin, row, learn in decoded(batches):
+            if held and (base != uid >> 33 << 33 or sum(len(h[0]) for h in held) > HELD):
+                yield sent(held, base, turn, each, turns)
                 held = []
+            base = uid >> 33 << 33
+            at, x = choose(found, ids, begin)
+            mine = part_of(x, turns) == turn
+            at, x = at[mine], x[mine]
+            held.append(compact(x, uid - base + row[at], learn[row[at]], *contexts(found, begin, at, ids, length)))
         if held:
-            yield whole(sent(held, turn, parts, turns))
+            yield sent(held, base, turn, each, turns)
+
+    # Words that aren't frequent meet all their occurrences: counts for their texts, and for runs of two of which they're the last.
+    def rare_places(found: np.ndarray, ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(ids < 0)
+        return at, mix(found[at])
 
     def count_rare(group: pa.Table) -> pa.Table:
         common, hot, _ = model.value
-        texts = group.filter(group.column("n").is_null()).drop_columns(["part", "n", "numbers", "words"])
-        (c, d), _, uid, learn = common.unpacked(group.filter(group.column("n").is_valid()), 2)
+        (c, d), _, uid, learn = common.unpacked(group, 2)
         _, order, first = sorted_keys(d)
         count = np.zeros(len(d), np.int64)
         if len(d):
@@ -573,60 +592,45 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
         run, order, first = sorted_keys(run_key(c[able], d[able], 2))
         enough = np.diff(np.append(first, len(able))) >= LEAST
         run, first = run[enough], able[order[first[enough]]]
-        out = [{"kind": np.zeros(len(texts), np.int32), **{c: texts.column(c) for c in texts.column_names}},
-               {"kind": np.ones(len(some), np.int32), "part": some.astype(np.int32), **{c: pa.array(x, pa.binary()) for c, x in zip(("uids", "known_sums", "base_sums"), sums, strict=True)}},
-               {"kind": np.full(len(run), 2, np.int32), "part": part_of(mix(c[first]), all_parts), "run": run.view(np.int64), "p": (count[first] + 1) / size}]
-        schema = pa.schema([("kind", pa.int32()), *((f.name, f.type) for f in texts.schema), ("part", pa.int32()), ("run", pa.int64()), ("p", pa.float64()),
-                            *((c, pa.binary()) for c in ("uids", "known_sums", "base_sums"))])
-        whole = lambda x: pa.table([x.get(f.name, pa.nulls(len(x["kind"]), f.type)) for f in schema], schema=schema)
+        out = [{"part": some.astype(np.int32), **{c: pa.array(x, pa.binary()) for c, x in zip(("uids", "known", "base"), sums, strict=True)}},
+               {"part": part_of(mix(c[first]), all_parts), "run": run.view(np.int64), "p": (count[first] + 1) / size}]
+        schema = pa.schema([("part", pa.int32()), ("run", pa.int64()), ("p", pa.float64()), *((c, pa.binary()) for c in ("uids", "known", "base"))])
+        whole = lambda x: pa.table([x.get(f.name, pa.nulls(len(x["part"]), f.type)) for f in schema], schema=schema)
         return pa.concat_tables([whole(x) for x in out])
 
     pack_names = "n int, numbers binary, words binary"
-    rare_schema = f"kind int, {row_schema}, part int, run long, p double, uids binary, known_sums binary, base_sums binary"
+    rare_schema, pack = "part int, run long, p double, uids binary, known binary, base binary", f"part int, uid long, {pack_names}"
     turns_of_rare, rare_tables = max(1, math.ceil(ROUNDS * rare)), []
     for turn in range(turns_of_rare):
-        sent_words = docs.mapInArrow(lambda x, turn=turn: rare_words(x, turn, turns_of_rare), f"part int, {row_schema}, {pack_names}")
-        rare_tables.append(stored(sent_words.groupBy("part").applyInArrow(count_rare, rare_schema)))
+        words = coded_words.mapInArrow(lambda x, turn=turn: exchanged(x, rare_places, 1, turn, parts, turns_of_rare), pack)
+        rare_tables.append(stored(words.groupBy("part").applyInArrow(count_rare, rare_schema)))
     rare_rows = rare_tables[0]
     for x in rare_tables[1:]:
         rare_rows = rare_rows.unionByName(x)
 
     # Each position's word and the words before it meet all others after the same context, where the tree is grown.
-    def positions(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
+    def positions(found: np.ndarray, ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         common, hot, turns = model.value
-        size, held = 0, []
-        for b in blocks(batches):
-            found, begin = tokens(b)
-            ids, row = common.ids(found), np.repeat(np.arange(b.num_rows), np.diff(begin))
-            inside = np.ones(len(found), bool)
-            inside[begin[:-1]] = False  # a text's first word has no context
-            inside[1:] &= (ids[:-1] < 0) | (common.count[ids[:-1]] >= LEAST)  # the word before is no context
-            at = np.flatnonzero(inside)
-            x = mix(found[at - 1])
-            if hot:
-                place = _place(hot[0], found[at - 1])
-                some = np.flatnonzero(place >= 0)
-                deep = contexts(found, begin, at[some], ids, 3)[1]
-                pair = run_key(deep[1], deep[2], 2)
-                state, longer, place = deep[2].copy(), np.where(deep[1] != 0, pair, np.uint64(0)), place[some]
-                first, times = (t[place] for t in turns[0])
-                for k in range(1, len(hot)):
-                    on = _place(hot[k], longer)
-                    hit = (on >= 0) & (state == (deep[2] if k == 1 else pair)) & (longer != 0)
-                    state, first, times = (np.where(hit, *t) for t in ((longer, state), (turns[k][0][on], first), (turns[k][1][on], times)))
-                    triple = np.where(deep[0] != 0, run_key(run_key(deep[0], deep[1], 2), pair, 3), np.uint64(0))
-                    longer = np.where(hit, triple if k == 1 else mix(deep[3]), longer)
-                x[some] = value_in((first + mix(longer) % times) * np.uint64(all_parts) // np.uint64(places), all_parts)
-            mine = part_of(x, ROUNDS) == turn
-            at, x = at[mine], x[mine]
-            learn = b.column("train").to_numpy(zero_copy_only=False)[row[at]]
-            held.append(compact(x, size + row[at], learn, *contexts(found, begin, at, ids, 3)))
-            size += b.num_rows
-            if sum(len(h[0]) for h in held) > HELD:
-                yield sent(held, turn, each, ROUNDS)
-                held = []
-        if held:
-            yield sent(held, turn, each, ROUNDS)
+        inside = np.ones(len(found), bool)
+        inside[begin[:-1]] = False  # a text's first word has no context
+        inside[1:] &= (ids[:-1] < 0) | (common.count[ids[:-1]] >= LEAST)  # the word before is no context
+        at = np.flatnonzero(inside)
+        x = mix(found[at - 1])
+        if hot:
+            place = _place(hot[0], found[at - 1])
+            some = np.flatnonzero(place >= 0)
+            deep = contexts(found, begin, at[some], ids, 3)[1]
+            pair = run_key(deep[1], deep[2], 2)
+            state, longer, place = deep[2].copy(), np.where(deep[1] != 0, pair, np.uint64(0)), place[some]
+            first, times = (t[place] for t in turns[0])
+            for k in range(1, len(hot)):
+                on = _place(hot[k], longer)
+                hit = (on >= 0) & (state == (deep[2] if k == 1 else pair)) & (longer != 0)
+                state, first, times = (np.where(hit, *t) for t in ((longer, state), (turns[k][0][on], first), (turns[k][1][on], times)))
+                triple = np.where(deep[0] != 0, run_key(run_key(deep[0], deep[1], 2), pair, 3), np.uint64(0))
+                longer = np.where(hit, triple if k == 1 else mix(deep[3]), longer)
+            x[some] = value_in((first + mix(longer) % times) * np.uint64(all_parts) // np.uint64(places), all_parts)
+        return at, x
 
     def grow_part(records: pa.Table, entries: pa.Table) -> pa.Table:
         common, hot, _ = model.value
@@ -651,7 +655,7 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
         part, uids, sums = partial(uid[some], score[some])
         return pa.table({"part": pa.array(part, pa.int32()), "uids": pa.array(uids, pa.binary()), "score": pa.array(sums, pa.binary())})
 
-    entries = [rare_rows.filter("kind = 2").select("part", "kind", "run", "p", F.lit(0.0).alias("w"))]
+    entries = [rare_rows.filter("run is not null").select("part", F.lit(2).alias("kind"), "run", "p", F.lit(0.0).alias("w"))]
     for (_, rows, kept), where in zip(levels, to, strict=True):
         routes = F.broadcast(spark.createDataFrame([(s, p) for s, some in where.items() for p in some], "state long, part int"))
         entries.append(rows.join(routes, "state").select("part", F.lit(3).alias("kind"), F.col("key").alias("run"), "p", "w"))
@@ -662,19 +666,19 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     scores = []
     for turn in range(ROUNDS):
         own = every.filter(F.col("part").between(turn * each, (turn + 1) * each - 1)).withColumn("part", F.col("part") - turn * each)
-        packed = docs.mapInArrow(lambda x, turn=turn: positions(x, turn), f"part int, uid long, {pack_names}")
+        packed = coded_words.mapInArrow(lambda x, turn=turn: exchanged(x, positions, 3, turn, each, ROUNDS), pack)
         found = packed.groupBy("part").cogroup(own.groupBy("part")).applyInArrow(grow_part, "part int, uids binary, score binary")
         scores.append(stored(summed(found, "score")))
     names = ["uid", "key", "train", "n_tokens", "known", "base", "score"]
-    more = summed(rare_rows.filter("kind = 1").select("part", "uids", F.col("known_sums").alias("known"), F.col("base_sums").alias("base")), "known", "base")
-    found = rare_rows.filter("kind = 0").select(*names[:-1])
+    more = summed(rare_rows.filter("run is null"), "known", "base")
+    found = coded.filter("numbers is null").select(*names[:-1])
     for x in (more, *scores):
         found = found.unionByName(x, allowMissingColumns=True)
     only = lambda c: F.first(c, ignorenulls=True).alias(c)
     add = lambda c: F.coalesce(F.sum(c), F.lit(0.0)).alias(c)
     scored = stored(found.groupBy("uid").agg(only("key"), only("train"), only("n_tokens"), *map(add, names[4:])))
     model.destroy()
-    release(docs, *rare_tables, *scores, *[x for _, *tables in levels for x in tables])
+    release(coded, *rare_tables, *scores, *[x for _, *tables in levels for x in tables])
     return scored.select(
         F.col("key").alias(key), "train", "n_tokens", F.col("known").cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         F.col("base").alias("base_score"), (F.col("base") + F.col("score")).alias("score"),
